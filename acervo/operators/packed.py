@@ -20,7 +20,7 @@ OPEN, CLOSE, ESC = "", "", ""
 HOLE = f"{OPEN}[0-9]+{CLOSE}"
 
 #: A quoted span: double quotes (with ``""`` or ``\"`` inside), guillemets, or curly double quotes.
-QUOTED = r'"(?:[^"\\]|\\.|"")*"|«(?:[^«»]|«[^«»]*»)*»|“[^“”]*”'
+QUOTED = r'"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"|«[^«»]*+(?:«[^«»]*+»[^«»]*+)*+»|“[^“”]*+”'
 
 #: Enumerators by style, tried in this order; group 1 is the number.
 ENUMERATORS = (r"\[([0-9]{1,3})\] ?", r"\(([0-9]{1,3})\) ?", r"([0-9]{1,3})\) ?", r"([0-9]{1,3})\.-? ", r"([0-9]{1,3}) ")
@@ -48,6 +48,11 @@ STYLES = {
 }
 
 
+def let(c: Column, body) -> Column:
+    """``body(c)`` with ``c`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def escape(c: Column) -> Column:
     """Makes room for placeholders: private-use characters of the input get an escape pair."""
     for k, ch in enumerate((ESC, OPEN, CLOSE)):
@@ -85,9 +90,8 @@ def restore(piece: Column, spans: Column) -> Column:
 
 def unquote(c: Column) -> Column:
     """Removes the quotes that enclose a whole value; a quote mark escaped inside becomes one mark."""
-    inner = F.substring(c, F.lit(2), F.length(c) - 2)
-    inner = F.regexp_replace(F.replace(inner, F.lit('""'), F.lit('"')), r"\\(.)", "$1")
-    return F.when(c.rlike(f"(?s)^(?:{QUOTED})$"), inner).otherwise(c)
+    inner = lambda x: F.regexp_replace(F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')), r"\\(.)", "$1")
+    return let(c, lambda x: F.when(x.rlike(f"(?s)^(?:{QUOTED})$"), inner(x)).otherwise(x))
 
 
 def bare(c: Column) -> Column:
@@ -109,27 +113,35 @@ def _in_sequence(m: Column, style: str, between: str) -> Column:
     inside a value (a page number, a reference) is out of sequence and therefore splits nothing.
     """
     pieces = F.split(m, rf"(?:{between})\s*(?={style}\S)|\s+(?={style}[\p{{Lu}}{OPEN}])", -1)
-    number = lambda p: F.regexp_extract(p, _lead(style), 1).cast("int")
-    first = F.coalesce(number(F.get(pieces, F.lit(0))), F.lit(1))
+    number = lambda p: F.regexp_extract(p, _lead(style), 1).try_cast("int")
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
 
-    def step(acc: Column, p: Column) -> Column:
-        opens = F.coalesce(number(p) == first + acc["n"], F.lit(False))
-        flushed = F.when(acc["n"] > 0, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"])
-        return F.struct(
-            F.when(opens, flushed).otherwise(acc["done"]).alias("done"),
-            F.when(opens, F.regexp_replace(p, _lead(style), "")).otherwise(F.concat(acc["cur"], F.lit(" "), p)).alias("cur"),
-            (acc["n"] + opens.cast("int")).alias("n"),
-        )
+    def fold(numbered: Column) -> Column:
+        first = F.coalesce(F.get(numbered, F.lit(0))["k"], F.lit(1))
+
+        def step(acc: Column, p: Column) -> Column:
+            opens = F.coalesce(p["k"] == first + acc["n"], F.lit(False))
+            flushed = F.when(acc["n"] > 0, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"])
+            return F.struct(
+                F.when(opens, flushed).otherwise(acc["done"]).alias("done"),
+                F.when(opens, F.regexp_replace(p["p"], _lead(style), "")).otherwise(F.concat(acc["cur"], F.lit(" "), p["p"])).alias("cur"),
+                (acc["n"] + opens.cast("int")).alias("n"),
+            )
+
+        return F.aggregate(numbered, start, step, lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
+
+    return let(F.transform(pieces, lambda p: F.struct(p.alias("p"), number(p).alias("k"))), fold)
 
-    return F.aggregate(pieces, start, step, lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
+
+def tidy(c: Column) -> Column:
+    """Line ends as line feeds, blank ends trimmed."""
+    return F.regexp_replace(F.regexp_replace(c, r"\r\n?", "\n"), r"^\s+|\s+$", "")
 
 
 def pieces(m: Column, style: Style) -> Column:
     """Array of the masked pieces of a masked value; pieces may be blank."""
-    m = F.regexp_replace(F.regexp_replace(m, r"\r\n?", "\n"), r"^\s+|\s+$", "")
     seps = style.strong + (r"|\n" if style.lines else "")
-    only_quoted = m.rlike(rf"^\[?\s*{HOLE}(?:\s*[,;]\s*{HOLE})*\s*[,;]?\s*\]?$")
+    only_quoted = m.rlike(rf"^\[?\s*{HOLE}(?:\s*[,;]\s*{HOLE})*+\s*[,;]?\s*\]?$")
     commas = F.split(F.regexp_replace(m, r"^\[|\]$", ""), r"\s*[,;]\s*", -1)
     bullets = F.split(F.regexp_replace(m, rf"^(?:{BULLET})", ""), rf"\n+\s*(?:{BULLET})", -1)
     plain = F.split(m, rf"\s*(?:{seps})\s*", -1)
@@ -144,7 +156,6 @@ def pieces(m: Column, style: Style) -> Column:
 
 def entries(m: Column) -> Column:
     """Array of the masked entries of a manifest: ``k: v; k: v || ...``, one entry per line, or JSON objects."""
-    m = F.regexp_replace(m, r"^\s+|\s+$", "")
     json = F.split(F.regexp_replace(m, r"^\[\s*\{|\}\s*\]$", ""), r"\}\s*,\s*\{", -1)
     return F.when(m.rlike(r"^\[\s*\{"), json).otherwise(F.split(m, r"\s*(?:\|\||[\r\n]+)\s*", -1))
 
@@ -168,23 +179,21 @@ def unpack(df: DataFrame, key: str, fields: dict[str, Style | None]) -> DataFram
     repeated rows give repeated values. The table is read once and nothing is shuffled.
     """
 
-    def values(name: str, style: Style | None) -> Column:
-        text = escape(F.col(name))
-        spans = quoted_spans(text)
-        masked = mask(text)
+    texts = F.explode(F.array(*[F.struct(F.lit(n).alias("campo"), F.col(n).alias("text")) for n in fields])).alias("f")
+    rows = df.select(F.col(key), texts).select(key, "f.*").where(r"text rlike '\\S'").withColumn("text", tidy(escape(F.col("text"))))
+    rows = rows.withColumn("spans", quoted_spans(F.col("text"))).withColumn("masked", tidy(mask(F.col("text"))))
+    spans = F.col("spans")
+    got = F.lit(None).cast("array<string>")
+    for name, style in fields.items():
         if style is None:
-            got = F.transform(entries(masked), lambda p: unescape(bare(entry_id(p, spans))))
+            value = F.transform(entries(F.col("masked")), lambda p: entry_id(p, spans))
         else:
-            got = F.transform(pieces(masked, style), lambda p: unescape(bare(restore(p, spans))))
-        return F.filter(got, lambda v: v.isNotNull() & (v != ""))
-
-    packed = df.select(
-        F.col(key),
-        F.explode(F.array(*[F.struct(F.lit(n).alias("campo"), values(n, s).alias("v")) for n, s in fields.items()])).alias("f"),
-    )
-    return packed.select(F.col(key), F.col("f.campo").alias("campo"), F.posexplode("f.v").alias("i", "valor")).select(
-        key, "campo", (F.col("i") + 1).cast("int").alias("pos"), "valor"
-    )
+            value = F.transform(pieces(F.col("masked"), style), lambda p: restore(p, spans))
+        got = F.when(F.col("campo") == name, value).otherwise(got)
+    rows = rows.withColumn("v", F.filter(F.transform(got, lambda v: unescape(bare(v))), lambda v: v.isNotNull() & (v != "")))
+    # The outer form keeps the optimizer from evaluating "v" a second and third time in an inferred filter.
+    each = rows.select(key, "campo", F.posexplode_outer("v").alias("i", "valor")).where("valor is not null")
+    return each.select(key, "campo", (F.col("i") + 1).cast("int").alias("pos"), "valor")
 
 
 #: The packed fields of ``circulares``.
