@@ -76,7 +76,7 @@ def items(counts: DataFrame, kinds: list[tuple[str, int]], key: str = "doc_id",
     """
     kind = F.explode(F.array(*[F.struct(F.lit(n).alias("contenedor"), F.lit(c).cast("bigint").alias("cap")) for n, c in kinds]))
     each = counts.select(F.col(key), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n"), kind.alias("k")).select(key, "n", "k.*")
-    pieces = each.withColumn("pieza", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / F.col("cap")) - 1, F.lit(0)))).cast("int"))
+    pieces = each.withColumn("pieza", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / F.col("cap")) - 1, F.lit(0)).cast("int"))))
     start = F.col("pieza") * F.col("cap")
     return pieces.select("contenedor", key, "pieza", start.alias("desde"), F.least(F.col("cap"), F.col("n") - start).alias("largo"))
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo.llm import packing, tokens
+from acervo.llm import packing, pii, tokens
 from acervo.plans.catalog import Catalog
-from acervo.session import small, spread, table
+from acervo.session import spread, table
 
 LLM = Catalog()
 
@@ -38,3 +38,20 @@ def p8_contenedores(spark, sf_dir):
 def p8_llenado(spark, sf_dir):
     """How full the containers are, per kind."""
     return packing.fill_report(p8_contenedores(spark, sf_dir), table(spark, sf_dir, "contenedores"))
+
+
+@LLM.query("p9_found")
+def p9_found(spark, sf_dir):
+    return pii.found_items(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@LLM.query("p9_textos")
+def p9_textos(spark, sf_dir):
+    """The texts with each item replaced by a placeholder of its type."""
+    return pii.redacted(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@LLM.query("p9_resumen")
+def p9_resumen(spark, sf_dir):
+    """Items and texts per type."""
+    return pii.item_counts(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
