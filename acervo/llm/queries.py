@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo.llm import packing, pii, tokens
+from acervo.llm import names, packing, pii, tokens
 from acervo.plans.catalog import Catalog
 from acervo.session import spread, table
 
@@ -55,3 +55,20 @@ def p9_textos(spark, sf_dir):
 def p9_resumen(spark, sf_dir):
     """Items and texts per type."""
     return pii.item_counts(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def _entities(spark, sf_dir):
+    return names.entities(names.typed_names(table(spark, sf_dir, "circulares", *names.PERSONS, *names.OFFICES)))
+
+
+@LLM.query("p6_found")
+def p6_found(spark, sf_dir):
+    return names.pairs(_entities(spark, sf_dir))
+
+
+@LLM.query("p6_entidades")
+def p6_entidades(spark, sf_dir):
+    """Each different string with the entity it names and the number of strings of that entity."""
+    e = _entities(spark, sf_dir)
+    sizes = e.groupBy("campo", "entidad").agg(F.count("*").alias("formas"))
+    return e.join(sizes, ["campo", "entidad"])
