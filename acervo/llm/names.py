@@ -244,57 +244,60 @@ def _full(c: str) -> Column:
 def persons(rows: DataFrame) -> DataFrame:
     """``(campo, nombre, entidad)`` of parsed persons.
 
-    Names with a given name and two surnames in full make the entities; second given names that differ in full split them.
-    Every other name looks its most specific key up in a table with one row per key, and joins the entity if the key has
-    only one. Names that fit no entity make entities of their own, in the same way with what they have.
+    Names with a given name and two surnames in full make the entities; second given names that differ in full split them,
+    and an entity with one given name joins the only one that has it as second given name. Every other name looks its most
+    specific key up in a table with one row per key, and joins the entity if the key has only one. Names that fit no entity
+    make entities of their own, in the same way with what they have.
     """
-    whole = rows.where(_full("g1") & _full("s1") & _full("s2"))
-    base = [F.col("campo"), F.col("s1"), F.col("s2"), F.col("g1")]
-    seconds = whole.where(_full("g2")).groupBy(*base).agg(F.collect_set(_initial("g2")).alias("i2"), F.countDistinct("g2").alias("n2"))
-    known = whole.join(seconds, ["campo", "s1", "s2", "g1"], "left").withColumn("split", F.coalesce(F.col("n2") > 1, F.lit(False)))
-    # With several second given names, a name without one in full is settled by its key below.
-    settled = known.where(~F.col("split") | _full("g2")).withColumn("entidad", F.when(F.col("split"), _key(F.col("s1"), F.col("s2"), F.col("g1"), F.col("g2"))).otherwise(_key(F.col("s1"), F.col("s2"), F.col("g1"))))
-    entities = settled.groupBy("campo", "entidad", "s1", "s2", "g1").agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2"))
-    # Someone may go by the second given name alone: an entity with one given name joins the only one that has it second.
-    seconds = entities.where("g2 is not null")
-    by_second = seconds.groupBy("campo", "s1", "s2", F.col("g2").alias("g1")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra")).where("una = otra")
-    moved = entities.where("g2 is null").join(by_second, ["campo", "s1", "s2", "g1"]).select("campo", "entidad", "una")
+    is_whole = _full("g1") & _full("s1") & _full("s2")
+    base = ["campo", "s1", "s2", "g1"]
+    whole = rows.where(is_whole)
+    spread = whole.groupBy(*base).agg(F.countDistinct(F.when(_full("g2"), F.col("g2"))).alias("n2"))
+    known = cut(whole.join(spread, base).withColumn("doble", F.col("n2") > 1))
+    settled = known.where(~F.col("doble") | _full("g2")).withColumn("entidad", _key(F.col("s1"), F.col("s2"), F.col("g1"), F.when(F.col("doble"), F.col("g2"))))
+    every = cut(settled.groupBy("entidad", *base).agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2")))
+    doubles = every.where("g2 is not null")
+    by_second = doubles.groupBy("campo", "s1", "s2", F.col("g2").alias("g1")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra")).where("una = otra")
+    moved = every.where("g2 is null").join(by_second, base).select("campo", "entidad", "una")
     out = settled.join(moved, ["campo", "entidad"], "left").select("campo", "nombre", F.coalesce("una", "entidad").alias("entidad"))
-    entities = entities.join(moved, ["campo", "entidad"], "left_anti")
-    rest = rows.join(out.select("campo", "nombre").distinct(), ["campo", "nombre"], "left_anti")
-    first = _looked_up(rest, entities)
-    rest2 = rest.join(first.select("campo", "nombre"), ["campo", "nombre"], "left_anti")
-    second = _looked_up(rest2, seconds.select("campo", "entidad", "s1", "s2", F.col("g2").alias("g1"), F.lit(None).cast("string").alias("g2")))
-    linked = first.unionByName(second)
-    left = rest.join(linked.select("campo", "nombre"), ["campo", "nombre"], "left_anti")
-    half = left.where(_full("g1") & _full("s1"))
-    own = half.select("campo", "nombre", _key("~", F.col("s1"), F.col("g1")).alias("entidad"), "s1", "s2", "g1", "g2")
-    small_entities = own.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"))
-    last = left.join(half.select("campo", "nombre").distinct(), ["campo", "nombre"], "left_anti")
-    linked2 = _looked_up(last, small_entities)
-    alone = last.join(linked2.select("campo", "nombre").distinct(), ["campo", "nombre"], "left_anti").select("campo", "nombre", _key("~", F.col("s1"), F.col("s2"), F.col("g1"), F.col("g2")).alias("entidad"))
-    return out.unionByName(linked).unionByName(own.select("campo", "nombre", "entidad")).unionByName(linked2).unionByName(alone).distinct()
-
-
-def _looked_up(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """``(campo, nombre, entidad)`` of the names whose most specific key belongs to one entity."""
-    s2 = {"full": F.col("s2"), "initial": _initial("s2"), "none": F.lit("")}
-    g1 = {"full": F.col("g1"), "initial": _initial("g1")}
-    g2 = {"full": F.col("g2"), "initial": _initial("g2"), "none": F.lit("")}
-    keys = [
-        (f"{a[0]}{b[0]}{c[0]}", _key(f"{a[0]}{b[0]}{c[0]}", F.col("s1"), s2[a], g1[b], g2[c]))
-        for a in s2 for b in g1 for c in g2
-    ]
-    table = entities.select("campo", "entidad", F.explode(F.array(*[k for _, k in keys])).alias("clave")).groupBy("campo", "clave").agg(
-        F.min("entidad").alias("entidad"), F.max("entidad").alias("otra")
-    )
-    kind = lambda c, none=True: F.when(F.col(c).isNull(), F.lit("n")).when(F.length(c) > 1, F.lit("f")).otherwise(F.lit("i"))
-    which = F.concat(kind("s2"), kind("g1"), kind("g2"))
-    own = F.lit(None).cast("string")
-    for name, k in keys:
-        own = F.when(which == name, k).otherwise(own)
-    one = rows.withColumn("clave", own).join(table.where("entidad = otra"), ["campo", "clave"]).select("campo", "nombre", "entidad").distinct()
-    return one.groupBy("campo", "nombre").agg(F.min("entidad").alias("entidad"), F.max("entidad").alias("otra")).where("entidad = otra").drop("otra")
+    first = _key_table(every.join(moved, ["campo", "entidad"], "left_anti")).withColumnRenamed("entidad", "e1")
+    second = _key_table(doubles.select("campo", "entidad", "s1", "s2", F.col("g2").alias("g1"), F.lit(None).cast("string").alias("g2"))).withColumnRenamed("entidad", "e2")
+    partial = rows.where(~is_whole).unionByName(known.where(F.col("doble") & ~_full("g2")).select(*rows.columns)).withColumn("clave", _own_key())
+    looked = partial.join(first, ["campo", "clave"], "left").join(second, ["campo", "clave"], "left").withColumn("entidad", F.coalesce("e1", "e2")).drop("e1", "e2")
+    best = looked.groupBy("campo", "nombre").agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra"))
+    looked = cut(looked.join(best, ["campo", "nombre"]))
+    linked = looked.where("una = otra").select("campo", "nombre", F.col("una").alias("entidad"))
+    left = looked.where("una is null or una <> otra").select(*rows.columns, "clave")
+    half = left.where(_full("g1")).withColumn("entidad", _key("~", F.col("s1"), F.col("g1")))
+    third = _key_table(half.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"))).withColumnRenamed("entidad", "e3")
+    alone = _key("~", F.col("s1"), F.col("s2"), F.col("g1"), F.col("g2"))
+    last = left.where(~_full("g1")).join(third, ["campo", "clave"], "left").select("campo", "nombre", F.coalesce("e3", alone).alias("entidad"))
+    return out.unionByName(linked).unionByName(half.select("campo", "nombre", "entidad")).unionByName(last).distinct()
+
+
+_FORMS = [(a, b, c) for a in "fin" for b in "fi" for c in "fin"]
+
+
+def _form_key(form: tuple[str, str, str]) -> Column:
+    """Key of a name with the second surname, given name and second given name in full, as initial or not at all."""
+    part = lambda kind, c: {"f": F.col(c), "i": _initial(c), "n": F.lit("")}[kind]
+    return _key("".join(form), F.col("s1"), part(form[0], "s2"), part(form[1], "g1"), part(form[2], "g2"))
+
+
+def _own_key() -> Column:
+    """The most specific key of a name."""
+    kind = lambda c: F.when(F.col(c).isNull(), "n").when(F.length(c) > 1, "f").otherwise("i")
+    which, own = F.concat(kind("s2"), kind("g1"), kind("g2")), F.lit(None).cast("string")
+    for form in _FORMS:
+        own = F.when(which == "".join(form), _form_key(form)).otherwise(own)
+    return own
+
+
+def _key_table(entities: DataFrame) -> DataFrame:
+    """``(campo, clave, entidad)``: the keys that belong to one entity only."""
+    keys = entities.select("campo", "entidad", F.explode(F.array(*[_form_key(f) for f in _FORMS])).alias("clave"))
+    one = keys.groupBy("campo", "clave").agg(F.min("entidad").alias("entidad"), F.max("entidad").alias("otra"))
+    return one.where("entidad = otra").drop("otra")
 
 
 def entities(names: DataFrame) -> DataFrame:
