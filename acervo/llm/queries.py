@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo.llm import names, packing, pii, tokens
+from acervo.llm import names, packing, pii, tokens, truncation
 from acervo.plans.catalog import Catalog
 from acervo.session import spread, table
 
@@ -72,3 +72,18 @@ def p6_entidades(spark, sf_dir):
     e = _entities(spark, sf_dir)
     sizes = e.groupBy("campo", "entidad").agg(F.count("*").alias("formas"))
     return e.join(sizes, ["campo", "entidad"])
+
+
+def _judged(spark, sf_dir):
+    return truncation.judged(table(spark, sf_dir, "circulares", "circular_id", "fuente", "materia", "antecedentes"))
+
+
+@LLM.query("p2_found")
+def p2_found(spark, sf_dir):
+    return _judged(spark, sf_dir).where("cortado").select("circular_id", "campo")
+
+
+@LLM.query("p2_tasas")
+def p2_tasas(spark, sf_dir):
+    """How often each source cuts each column."""
+    return truncation.cut_rates(_judged(spark, sf_dir))
