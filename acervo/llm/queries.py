@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acervo.llm import names, packing, pii, tokens, truncation
+from acervo.llm import names, packing, pii, scans, tokens, truncation
 from acervo.plans.catalog import Catalog
 from acervo.session import spread, table
 
@@ -87,3 +87,20 @@ def p2_found(spark, sf_dir):
 def p2_tasas(spark, sf_dir):
     """How often each source cuts each column."""
     return truncation.cut_rates(_judged(spark, sf_dir))
+
+
+@LLM.query("p5_found")
+def p5_found(spark, sf_dir):
+    return scans.noisy_lines(table(spark, sf_dir, "circulares", "circular_id", *scans.FIELDS))
+
+
+@LLM.query("p5_textos")
+def p5_textos(spark, sf_dir):
+    """The three fields as continuous readable paragraphs."""
+    return scans.repaired(table(spark, sf_dir, "circulares", "circular_id", *scans.FIELDS))
+
+
+@LLM.query("p5_resumen")
+def p5_resumen(spark, sf_dir):
+    """Findings and records per field and kind."""
+    return p5_found(spark, sf_dir).groupBy("campo", "clase").agg(F.count("*").alias("lineas"), F.countDistinct("circular_id").alias("registros"))
