@@ -61,6 +61,11 @@ def let(c: Column, body) -> Column:
     return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
+def guarded(c: Column, patterns, chain) -> Column:
+    """``chain(c)`` where one of several patterns occurs, else ``c``: sound text is read once instead of once per rule."""
+    return let(c, lambda x: F.when(any_of(x, patterns), chain(x)).otherwise(x))
+
+
 def first_match(lines: Column, pattern: str, group: int = 1, where=None) -> Column:
     """Group of a case-ignoring pattern in the first of several lines that has it; null if none has."""
     fits = lambda l: rx(l, pattern) & (where(l) if where is not None else F.lit(True))

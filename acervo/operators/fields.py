@@ -86,15 +86,23 @@ def date_and_place(text: Column, lines: Column, compat: bool = False) -> dict[st
     """ISO date and city: first from lines that name a city, else from the first 50 lines that speak of no other circular."""
     year = r"([0-9lI|oO3b]{4}|\d{2,4})"
     pattern = dates.DATE.replace(r"(\d{2,4})", year)
-    rows = F.split(dates.fix_dates(text), "\r\n|[\n\r]", -1)
-    dated = F.filter(indexed(rows), lambda x: rx(x["l"], pattern))
-    city = F.filter(dated, lambda x: rx(x["l"], "santiago|valpara[ií]so|concepci[oó]n"))
-    other = F.filter(dated, lambda x: (x["i"] < 50) & ~rx(x["l"], "complementa|modifica|deroga"))
-    line = F.coalesce(F.get(city, F.lit(0))["l"], F.get(other, F.lit(0))["l"])
-    g = lambda k: F.regexp_extract(line, ci(pattern), k)
-    date = F.when(line.isNull(), F.lit("")).otherwise(dates.iso_from(g(2), g(3), dates.fix_year(g(4), compat)))
-    place = F.when(line.isNotNull() & (g(1) != ""), F.initcap(g(1))).otherwise(F.lit(DEFAULT_PLACE))
-    return {"fecha": date, "lugar": place, "fecha_lugar": F.when(date != "", F.concat_ws(", ", place, date)).otherwise(place)}
+    near = F.filter(indexed(F.split(text, "\r\n|[\n\r]", -1)), lambda x: rx(x["l"], dates.MONTH) & x["l"].rlike(r"\d"))
+    rows = F.transform(near, lambda x: F.struct(x["i"].alias("i"), dates.fix_dates(x["l"]).alias("l")))
+    dated = F.filter(rows, lambda x: rx(x["l"], pattern))
+
+    def of(line: Column) -> Column:
+        g = lambda k: F.regexp_extract(line, ci(pattern), k)
+        date = F.when(line.isNull(), F.lit("")).otherwise(dates.iso_from(g(2), g(3), dates.fix_year(g(4), compat)))
+        return F.struct(date.alias("fecha"), F.when(line.isNotNull() & (g(1) != ""), F.initcap(g(1))).otherwise(F.lit(DEFAULT_PLACE)).alias("lugar"))
+
+    def chosen(dated: Column) -> Column:
+        city = F.filter(dated, lambda x: rx(x["l"], "santiago|valpara[ií]so|concepci[oó]n"))
+        other = F.filter(dated, lambda x: (x["i"] < 50) & ~rx(x["l"], "complementa|modifica|deroga"))
+        return let(F.coalesce(F.get(city, F.lit(0))["l"], F.get(other, F.lit(0))["l"]), of)
+
+    got = let(dated, chosen)
+    date, place = got["fecha"], got["lugar"]
+    return {"fecha": date, "lugar": place, "fecha_lugar": F.concat_ws(", ", place, F.when(date != "", date))}
 
 
 def recipient(text: Column, lines: Column) -> Column:
@@ -149,7 +157,8 @@ def amendments(text: Column, lines: Column) -> Column:
         notes = F.array_distinct(F.filter(F.transform(single, squeeze), lambda n: n != ""))
         return F.when(block != "", block).otherwise(F.array_join(notes, "; "))
 
-    return F.coalesce(let(T.fix_words(text), found), F.lit(""))
+    named = any_of(text, (r"Modificada\s+por", r"sin\s+efecto\s+por\s+Circular", r"Aclarada\s+por\s+Circular", r"Complementada\s+por\s+Circular"))
+    return F.when(named, F.coalesce(let(T.fix_words(text), found), F.lit(""))).otherwise("")
 
 
 def subject_index(lines: Column) -> Column:

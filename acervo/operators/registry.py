@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.functions.regex import rx
+from acervo.functions.regex import let, rx
 from acervo.operators import body, distribution, fields, images, manifest, signer, tables
 from acervo.operators.lines import with_lines
 
@@ -58,12 +58,14 @@ REGISTRY.register("modificaciones_posteriores")(lambda t, l: {"modificaciones_po
 
 def block_result(name: str, values: dict[str, Column]) -> Column:
     """Result of one extractor: name, success, data, confidence 1 or 0, remark."""
-    some = F.lit(False)
-    for v in values.values():
-        some = some | (F.coalesce(v, F.lit("")) != "")
     data = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])
-    remark = F.when(some, F.lit("")).otherwise(F.lit(f"Sin resultado en el bloque {name}."))
-    return F.struct(F.lit(name).alias("nombre_bloque"), some.alias("exito"), data.alias("datos"), some.cast("int").cast("double").alias("confianza"), remark.alias("observaciones"))
+
+    def result(m: Column) -> Column:
+        some = F.exists(F.map_values(m), lambda v: F.coalesce(v, F.lit("")) != "")
+        remark = F.when(some, F.lit("")).otherwise(F.lit(f"Sin resultado en el bloque {name}."))
+        return F.struct(F.lit(name).alias("nombre_bloque"), some.alias("exito"), m.alias("datos"), some.cast("int").cast("double").alias("confianza"), remark.alias("observaciones"))
+
+    return let(data, result)
 
 
 def blocks(df: DataFrame, key: str = "doc_id", text: str = "text", registry: Registry = REGISTRY) -> DataFrame:

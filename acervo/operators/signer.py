@@ -68,15 +68,19 @@ def signer(text: Column, lines: Column) -> dict[str, Column]:
     tail = F.filter(F.transform(F.coalesce(near, F.array().cast("array<string>")), T.fix_signer), lambda l: l != "")
     from_line = F.get(F.filter(head(lines, 30), lambda l: rx(l, r"^\s*DE\s*(:|\s+(JEFE|DIRECTOR|MINISTRO|SUBSECRETARI|SECRETARI))")), F.lit(0))
     pieces = F.transform(F.split(F.regexp_replace(F.regexp_replace(from_line, ci(r"^\s*DE\s*:?\s*"), ""), r"\.$", ""), r"\s*[,–—-]\s*"), T.fix_signer)
-    by = let(parts, chosen)
+    by = let(parts, lambda p: let(p, chosen))
     nonempty = lambda c: F.when(c != "", c)
     name = F.coalesce(nonempty(by["name"]), nonempty(_letters(F.try_element_at(F.filter(tail, P.is_person_name), F.lit(-1)))), F.get(F.filter(pieces, P.is_person_name), F.lit(0)), F.lit(""))
     post = F.coalesce(
         nonempty(by["post"]), F.get(F.filter(tail, lambda l: rx(l, POST)), F.lit(0)), F.get(F.filter(pieces, lambda l: rx(l, POST) & ~P.is_person_name(l)), F.lit(0)), F.lit("")
     )
-    name, post = strip(T.fix_signer(name)), strip(T.fix_signer(post))
-    both = F.when((name != "") & (post != ""), F.concat_ws(", ", name, post)).otherwise(F.concat(name, post))
-    return {"firmante": F.regexp_replace(squeeze(both), r"\.$", ""), "nombre_firmante": name, "cargo_firmante": post}
+
+    def together(p: Column) -> Column:
+        both = F.when((p["n"] != "") & (p["c"] != ""), F.concat_ws(", ", p["n"], p["c"])).otherwise(F.concat(p["n"], p["c"]))
+        return F.struct(F.regexp_replace(squeeze(both), r"\.$", "").alias("firmante"), p["n"].alias("nombre_firmante"), p["c"].alias("cargo_firmante"))
+
+    got = let(F.struct(strip(T.fix_signer(name)).alias("n"), strip(T.fix_signer(post)).alias("c")), together)
+    return {c: got[c] for c in ("firmante", "nombre_firmante", "cargo_firmante")}
 
 
 __all__ = ["indexed", "signature_lines", "signer"]
