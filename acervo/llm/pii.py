@@ -155,7 +155,7 @@ class Finder:
 
     @staticmethod
     def mail(t: str, at: int, end: int) -> tuple[int, int] | None:
-        while at > 0 and t[at - 1].isspace() and at > end - 12 and not t[at:end].strip("@"):
+        if at > 0 and t[at - 1].isspace():
             at -= 1
         m = AT.match(t, at)
         if not m:
