@@ -30,7 +30,7 @@ def _only_headings(l: Column) -> Column:
 
 
 def _letters(l: Column) -> Column:
-    return strip(F.regexp_replace(l, "[^A-ZÁÉÍÓÚÑa-z\\s]", ""))
+    return strip(F.regexp_replace(l, "[^\\p{L}\\s]", ""))
 
 
 def signature_lines(lines: Column) -> Column:

@@ -71,5 +71,7 @@ def wide_table(eav: DataFrame, names: DataFrame) -> DataFrame:
 def filled_cells(eav: DataFrame, names: DataFrame) -> DataFrame:
     """One row ``(file, campo, row_no)`` per filled cell of the wide table; see :func:`widen`."""
     w = widen(eav, names)
+    if not w.columns[1:]:  # no attribute is known, so no cell can be filled
+        return w.select("file", F.lit("").alias("campo"), F.lit(0).alias("row_no")).where(F.lit(False))
     cells = F.array(*[F.struct(F.lit(c).alias("campo"), F.col(f"`{c}`.row_no").alias("row_no")) for c in w.columns[1:]])
     return w.select("file", F.explode(F.filter(cells, lambda x: x["row_no"].isNotNull())).alias("c")).select("file", "c.campo", "c.row_no")
