@@ -75,13 +75,16 @@ def rolling(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def core(value: str) -> tuple[str, str]:
-    """The text of a value without padding blanks and closing mark, and its kind: E with a mark that it goes on, P closed, N open."""
+    """The text of a value without padding blanks and closing mark, and its kind.
+
+    E: with a mark that it goes on; P: closed; Q: closed, over several lines (its last word may be broken or misread); N: open.
+    """
     t = " ".join(value.split())
     m = re.search(MARK, t)
     if m:
         return t[: m.start()].rstrip(" ."), "E"
     if t.endswith("."):
-        return t[:-1], "P"
+        return t[:-1], "Q" if "\n" in value.strip() else "P"
     return t, "N"
 
 
@@ -174,7 +177,7 @@ def followed(texts: list[str], known: np.ndarray, size: int) -> Iterator[tuple[i
                 e[k + 1 : -1][stop | ((nxt == 32) & after)] = 2
                 for m in _ITEM.finditer(t):
                     e[k + m.start()] = 1
-            if kind == "P":
+            if kind in "PQ":
                 e[-1] = 1
             codes.append(c)
             events.append(e[1:])
@@ -200,7 +203,7 @@ def scored(ends: DataFrame, model: DataFrame) -> DataFrame:
     order both are null.
     """
     place = F.col("fin")[0].alias("c")
-    different = ends.select("campo", "lengua", (F.col("tipo") == "P").alias("propio"), place, "fin").distinct()
+    different = ends.select("campo", "lengua", F.col("tipo").isin("P", "Q").alias("propio"), place, "fin").distinct()
     orders = F.array(*[F.struct(F.lit(n).alias("orden"), F.col("fin")[i].alias("h")) for i, n in enumerate(ORDERS)])
     each = different.select("campo", "lengua", "propio", "c", F.explode(orders).alias("o")).select("campo", "lengua", "propio", "c", "o.*")
     seen = each.join(model, ["campo", "lengua", "orden", "h"]).withColumn("fines", F.col("fines") - F.col("propio").cast("int"))
@@ -209,7 +212,7 @@ def scored(ends: DataFrame, model: DataFrame) -> DataFrame:
     word = _odds(F.col("fines") + F.col("clausulas") + F.col("otros"), F.col("letras"))
     best = seen.groupBy("campo", "lengua", "propio", "c").agg(F.max(F.struct("orden", main.alias("m"), word.alias("w"))).alias("b"))
     scores = best.select("campo", "lengua", "propio", "c", F.col("b.m").alias("logodds"), F.col("b.w").alias("en_palabra"))
-    return ends.withColumn("propio", F.col("tipo") == "P").withColumn("c", F.col("fin")[0]).join(scores, ["campo", "lengua", "propio", "c"], "left").drop("propio", "c", "fin")
+    return ends.withColumn("propio", F.col("tipo").isin("P", "Q")).withColumn("c", F.col("fin")[0]).join(scores, ["campo", "lengua", "propio", "c"], "left").drop("propio", "c", "fin")
 
 
 def limits(ends: DataFrame) -> DataFrame:
@@ -229,7 +232,7 @@ def judged(df: DataFrame, key: str = "circular_id", source: str = "fuente", fiel
     """``(key, fuente, campo, tipo, logodds, cortado)``: one row per value that is not null or blank.
 
     A value with a mark that it goes on is cut. An open value is cut if its log-odds, less what its length says, are below
-    the threshold of its language and column. A closed value is cut only if it ends within a word. A value without evidence
+    the threshold of its language and column. A closed value of one line is cut only if it ends within a word. A value without evidence
     counts as whole unless its length is a limit. Repeated rows give repeated rows; a null source is a source of its own.
     """
     rows = values(df, key, source, fields)
@@ -237,7 +240,7 @@ def judged(df: DataFrame, key: str = "circular_id", source: str = "fuente", fiel
     n = ends.select(F.approx_count_distinct(F.col("fin")[0])).first()[0]
     bits = bitmap(ends, min(MAX_BITS, max(MIN_BITS, 1 << (int(n) * len(ORDERS) * 8).bit_length())))
     marks = cut(scored(ends, counts(rows, bits)))
-    learnt = marks.where("tipo = 'P' and logodds is not null").groupBy("campo", "lengua").agg(F.percentile_approx("logodds", SHARE).alias("q"))
+    learnt = marks.where("tipo in ('P', 'Q') and logodds is not null").groupBy("campo", "lengua").agg(F.percentile_approx("logodds", SHARE).alias("q"))
     thresholds = learnt.select("campo", "lengua", F.greatest(F.least("q", F.lit(HIGH)), F.lit(LOW)).alias("umbral"))
     length = limits(marks).withColumnRenamed("fuente", "_f")
     whole = marks.join(small(thresholds), ["campo", "lengua"], "left").join(
@@ -247,7 +250,7 @@ def judged(df: DataFrame, key: str = "circular_id", source: str = "fuente", fiel
     bound = F.coalesce("umbral", F.lit(LOW))
     open_cut = F.coalesce("logodds", F.lit(0.0)) - F.coalesce("limite", F.lit(0.0)) < bound
     closed_cut = F.coalesce("en_palabra", F.lit(0.0)) < F.lit(LOW)
-    decision = F.when(F.col("tipo") == "E", True).when(F.col("tipo") == "N", open_cut).otherwise(closed_cut)
+    decision = F.when(F.col("tipo") == "E", True).when(F.col("tipo") == "N", open_cut).when(F.col("tipo") == "P", closed_cut).otherwise(False)
     return whole.select(key, "fuente", "campo", "tipo", "logodds", decision.alias("cortado"))
 
 
