@@ -75,7 +75,7 @@ def p6_entidades(spark, sf_dir):
 
 
 def _judged(spark, sf_dir):
-    return truncation.judged(table(spark, sf_dir, "circulares", "circular_id", "fuente", "materia", "antecedentes"))
+    return truncation.judged(spread(table(spark, sf_dir, "circulares", "circular_id", "fuente", "materia", "antecedentes")))
 
 
 @LLM.query("p2_found")
