@@ -8,7 +8,7 @@ from acervo.functions import casts
 from acervo.operators import orphans as O
 from acervo.operators import packed, wide
 from acervo.plans.catalog import CORE
-from acervo.session import table
+from acervo.session import spread, table
 
 
 def _list(words) -> str:
@@ -17,7 +17,7 @@ def _list(words) -> str:
 
 @CORE.query("p1_found")
 def p1_found(spark, sf_dir):
-    fields = table(spark, sf_dir, "circulares", "circular_id", *packed.FIELDS)
+    fields = spread(table(spark, sf_dir, "circulares", "circular_id", *packed.FIELDS))
     return packed.packed_values(fields)
 
 
@@ -57,14 +57,14 @@ q AS (SELECT *, CASE tipo
 
 @CORE.query("p3_found", _WIDE + "SELECT file, campo, row_no FROM q WHERE legible")
 def p3_found(spark, sf_dir):
-    eav = table(spark, sf_dir, "eav", "file", "row_no", "campo", "valor_extraido")
+    eav = spread(table(spark, sf_dir, "eav", "file", "row_no", "campo", "valor_extraido"))
     return wide.filled_cells(eav, table(spark, sf_dir, "campos_eav"))
 
 
 @CORE.query("p3_ancha")
 def p3_ancha(spark, sf_dir):
     """The wide table itself: one typed row per extraction file."""
-    eav = table(spark, sf_dir, "eav", "file", "row_no", "campo", "valor_extraido")
+    eav = spread(table(spark, sf_dir, "eav", "file", "row_no", "campo", "valor_extraido"))
     return wide.wide_table(eav, table(spark, sf_dir, "campos_eav"))
 
 

@@ -17,7 +17,7 @@ query = CORE.query
 
 
 def docs(spark, sf_dir, *columns):
-    return table(spark, sf_dir, "documents", "doc_id", "text", *columns)
+    return spread(table(spark, sf_dir, "documents", "doc_id", "text", *columns))
 
 
 def doc_lines(spark, sf_dir):
@@ -25,7 +25,7 @@ def doc_lines(spark, sf_dir):
 
 
 def circ(spark, sf_dir, *columns):
-    return table(spark, sf_dir, "circulares", "circular_id", *columns)
+    return spread(table(spark, sf_dir, "circulares", "circular_id", *columns))
 
 
 _L = "WITH " + S.lines()
@@ -435,7 +435,7 @@ def _(spark, sf_dir):
 
 @query("body_sections")
 def _(spark, sf_dir):
-    return body.sections(with_lines(spread(docs(spark, sf_dir))))
+    return body.sections(with_lines(docs(spark, sf_dir)))
 
 
 @query("csv_body_resegment")
@@ -445,18 +445,18 @@ def _(spark, sf_dir):
 
 @query("extractor_registry")
 def _(spark, sf_dir):
-    return registry.blocks(spread(docs(spark, sf_dir)))
+    return registry.blocks(docs(spark, sf_dir))
 
 
 @query("circular_records")
 def _(spark, sf_dir):
     """The record of every document: all fields, manifests, sections and body."""
-    return registry.records(spread(docs(spark, sf_dir)))
+    return registry.records(docs(spark, sf_dir))
 
 
 @query("record_json")
 def _(spark, sf_dir):
-    return registry.records(spread(docs(spark, sf_dir)), with_body=False).select("doc_id", F.to_json(F.struct("*")).alias("json"))
+    return registry.records(docs(spark, sf_dir), with_body=False).select("doc_id", F.to_json(F.struct("*")).alias("json"))
 
 
 # -- aggregations, pivots, manifests
