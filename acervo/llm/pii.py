@@ -33,7 +33,7 @@ PHONE = (
     "fono", "cel.", "celular", "contacto", "también", "desde el", "o al", "enquiries", "whatsapp", "tel.", "tel:", "llamar al", "phone", "móvil",
     "+56", "(56", "0056", "(02)", "(09)",
 )
-PLOT = ("parcela", "lote", "sitio", "kilómetro", " km", "\nkm")
+PLOT = ("parcela", "lote", "sitio", "kilómetro", " km")
 NAME_CUES = (
     "sr.", "sra.", "srta.", "don", "doña", "señor", "señora", "señorita", "vecino", "vecina", "suscribe,", "nombre es", "atte.,", "saluda,", "gracias,", "attention", "contact",
     "asisten:", "propiedad de", "solicitado por", "encargo de", "notifíquese a", "ud.,",
@@ -143,9 +143,9 @@ class Finder:
         self.automaton = ahocorasick.Automaton()
         anchors: dict[str, str] = {}
         for kind, words in (("n", GIVEN_ANCHORS), ("c", NAME_CUES), ("k", PLOT), ("p", PHONE), ("i", IDENTITY), ("m", MAIL)):
-            for w in {x for w in words for x in (w, fold(w))}:
+            for w in {y for w in words for x in (w, fold(w)) for y in (x, x.replace(" ", "  "))}:
                 anchors[w] = anchors.get(w, "") + kind
-        for w in [f"{b}{d}" for b in " \n\t#°º\xa0" for d in "123456789"]:
+        for w in [f"{b}{d}" for b in " \t#°º" for d in "123456789"]:
             anchors[w] = anchors.get(w, "") + "#"
         for w, kinds in anchors.items():
             self.automaton.add_word(w, (len(w), kinds))
@@ -332,6 +332,7 @@ class Finder:
         f = t.lower()
         if len(f) != len(t):  # a few letters have a lower case of two characters
             f = "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
+        f = f.replace("\n", " ").replace("\r", " ").replace("\xa0", " ")  # cues of several words may be wrapped
         found: list[tuple[int, int, str]] = []
         names: list[tuple[int, bool]] = []
         befores: list[int] = []
@@ -357,8 +358,8 @@ class Finder:
                         m = LEAD.match(t, end)
                         names.append((m.end(), True))
                         if f[start:end] == "asisten:":
-                            stop = f.find("\n", end)
-                            line = t[end : stop if stop > 0 else end + 600]
+                            stop = SENTENCE_END.search(t, end)
+                            line = t[end : stop.start() if stop else len(t)][:MOST_LIST]
                             names += [(end + m.end(), True) for m in re.finditer(rf";\s*(?:{TITLE}\s+)*", line, re.I)]
                 elif k == "m":
                     s = self.mail(t, start, end)
@@ -412,9 +413,15 @@ class Finder:
         g = g and given.match(t, g.end())
         if g and (INITIAL.fullmatch(g[0]) or known_given(g[0])):
             end = g.end()
-        return base + m.start(1), end
+        first = m.start(1)
+        if re.match(r"de\s+(?!la\b|las\b|los\b)", m[1], re.I):  # the word before a name, not a part of it
+            first += re.match(r"de\s+", m[1], re.I).end()
+        return base + first, end
 
 
+#: End of a sentence (not the stop of an initial), and the longest list of names.
+SENTENCE_END, MOST_LIST = re.compile(r"(?<=\w\w)\.(?=\s|$)"), 20_000
+
 # Lower-case words that end a name written in lower case.
 STOP_LOWER = frozenset(
     """senala consulta en y e al a con por para que de rut run cedula pasaporte vive fono cel at the jefe jefa se solicita presenta expone pide ha es fue no si o ni como su sus lo le
