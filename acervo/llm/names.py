@@ -29,7 +29,7 @@ PERSONS, OFFICES = ("nombre_firmante",), ("emisor", "destinatarios")
 
 # Titles before and marks after a person's name, particles, folded.
 TITLES = frozenset("arq arquitecto arquitecta ing ingeniero ingeniera abog abogado abogada don dona sr sra srta senor senora dr dra prof lic mg s sub subrogante".split())
-PARTICLES = frozenset("de del la las los y e da di viuda vda".split())
+PARTICLES = frozenset("de del la las los da di viuda vda".split())
 
 # Words by which an office is known, in order of decision.
 ROLES = (
@@ -207,8 +207,11 @@ def tokenized(names: DataFrame) -> DataFrame:
 
 
 def parsed(rows: DataFrame) -> DataFrame:
-    """``(campo, nombre, oficina, g1, g2, s1, s2)``: an office's key, or the parts of a person; one row per meaning of a nickname."""
-    schema = pa.schema([("campo", pa.string()), ("nombre", pa.string()), ("oficina", pa.string()), ("g1", pa.string()), ("g2", pa.string()), ("s1", pa.string()), ("s2", pa.string())])
+    """``(campo, nombre, oficina, g1, g2, s1, s2, varios)``: an office's key, or the parts of a person.
+
+    A nickname with several meanings gives a row for each, with ``varios`` true.
+    """
+    schema = pa.schema([*[(c, pa.string()) for c in ("campo", "nombre", "oficina", "g1", "g2", "s1", "s2")], ("varios", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,15 +220,15 @@ def parsed(rows: DataFrame) -> DataFrame:
                 if r["clase"] == "o":
                     key = parse_office(r["partes"])
                     if key:
-                        out.append((r["campo"], r["nombre"], key, None, None, None, None))
+                        out.append((r["campo"], r["nombre"], key, None, None, None, None, False))
                     continue
                 first, second, surname, other = parse_person(r["partes"], r["tras"])
                 if first and surname:
-                    out += [(r["campo"], r["nombre"], None, g, second, surname[0], other) for g in first]
+                    out += [(r["campo"], r["nombre"], None, g, second, surname[0], other, len(first) > 1) for g in first]
             columns = list(zip(*out)) if out else [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    ddl = "campo string, nombre string, oficina string, g1 string, g2 string, s1 string, s2 string"
+    ddl = "campo string, nombre string, oficina string, g1 string, g2 string, s1 string, s2 string, varios boolean"
     return rows.select("clase", "campo", "nombre", "partes", "tras").mapInArrow(run, ddl)
 
 
@@ -251,14 +254,22 @@ def persons(rows: DataFrame) -> DataFrame:
     """
     is_whole = _full("g1") & _full("s1") & _full("s2")
     base = ["campo", "s1", "s2", "g1"]
-    whole = rows.where(is_whole)
+    whole = _meant(rows.where(is_whole), base)
     spread = whole.groupBy(*base).agg(F.countDistinct(F.when(_full("g2"), F.col("g2"))).alias("n2"))
     known = cut(whole.join(spread, base).withColumn("doble", F.col("n2") > 1))
     settled = known.where(~F.col("doble") | _full("g2")).withColumn("entidad", _key(F.col("s1"), F.col("s2"), F.col("g1"), F.when(F.col("doble"), F.col("g2"))))
     every = cut(settled.groupBy("entidad", *base).agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2")))
     doubles = every.where("g2 is not null")
     by_second = doubles.groupBy("campo", "s1", "s2", F.col("g2").alias("g1")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra")).where("una = otra")
-    moved = every.where("g2 is null").join(by_second, base).select("campo", "entidad", "una")
+    single = every.where("g2 is null")
+    moved = single.join(by_second, base).select("campo", "entidad", "una")
+    # A misspelling may look like another given name: without an own full form it joins the only one within an edit.
+    alike = single.join(moved.select("campo", "entidad"), ["campo", "entidad"], "left_anti").join(
+        doubles.select("campo", "s1", "s2", F.col("g1").alias("otro"), F.col("entidad").alias("una")), ["campo", "s1", "s2"]
+    )
+    edit = F.levenshtein("g1", "otro", 2)
+    near = alike.where((edit == 1) | ((edit == 2) & _swapped(F.col("g1"), F.col("otro")))).groupBy("campo", "entidad").agg(F.min("una").alias("una"), F.max("una").alias("otra"))
+    moved = cut(moved.unionByName(near.where("una = otra").drop("otra")))
     out = settled.join(moved, ["campo", "entidad"], "left").select("campo", "nombre", F.coalesce("una", "entidad").alias("entidad"))
     first = _key_table(every.join(moved, ["campo", "entidad"], "left_anti")).withColumnRenamed("entidad", "e1")
     second = _key_table(doubles.select("campo", "entidad", "s1", "s2", F.col("g2").alias("g1"), F.lit(None).cast("string").alias("g2"))).withColumnRenamed("entidad", "e2")
@@ -275,6 +286,16 @@ def persons(rows: DataFrame) -> DataFrame:
     return out.unionByName(linked).unionByName(half.select("campo", "nombre", "entidad")).unionByName(last).distinct()
 
 
+def _meant(whole: DataFrame, base: list[str]) -> DataFrame:
+    """Of the meanings of a nickname, those that another full name of these surnames bears out; else the first."""
+    borne = whole.where("not varios").select(*base).distinct().withColumn("hay", F.lit(1))
+    seen = whole.join(borne, base, "left").withColumn("hay", F.coalesce("hay", F.lit(0)))
+    best = seen.where("varios").groupBy("campo", "nombre").agg(F.max(F.struct("hay", F.lit(1)))["hay"].alias("tope"), F.min("g1").alias("primero"))
+    got = seen.join(best, ["campo", "nombre"], "left")
+    keep = ~F.col("varios") | ((F.col("tope") == 1) & (F.col("hay") == 1)) | ((F.col("tope") == 0) & (F.col("g1") == F.col("primero")))
+    return got.where(keep).select(*whole.columns)
+
+
 _FORMS = [(a, b, c) for a in "fin" for b in "fi" for c in "fin"]
 
 
