@@ -78,7 +78,8 @@ def references(circulares: DataFrame) -> DataFrame:
     )
     return (
         circulares.select("circular_id", "recibido_en", F.explode(fields).alias("f"))
-        .select("circular_id", "recibido_en", F.col("f.campo").alias("campo"), F.explode("f.nums").alias("num"))
+        .select("circular_id", "recibido_en", F.col("f.campo").alias("campo"), F.explode_outer("f.nums").alias("num"))
+        .where("num is not null")  # the outer form keeps the numbers from being computed again in an inferred filter
     )
 
 
