@@ -102,7 +102,7 @@ def parse_office(parts: list[str]) -> str | None:
         return None
     if role is None:
         return "?|" + " ".join(sorted(held - {"de", "del", "la", "las", "los", "el", "y"}))
-    return role + "|" + " ".join(p for p in parts if p not in COMMON or (role in ("seremi", "dom", "alcalde", "secpla") and p in ("los", "las", "del") and False))
+    return role + "|" + " ".join(p for p in parts if p not in COMMON)
 
 
 # -- the segment join
