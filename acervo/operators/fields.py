@@ -86,7 +86,7 @@ def date_and_place(text: Column, lines: Column, compat: bool = False) -> dict[st
     """ISO date and city: first from lines that name a city, else from the first 50 lines that speak of no other circular."""
     year = r"([0-9lI|oO3b]{4}|\d{2,4})"
     pattern = dates.DATE.replace(r"(\d{2,4})", year)
-    near = F.filter(indexed(F.split(text, "\r\n|[\n\r]", -1)), lambda x: rx(x["l"], dates.MONTH) & x["l"].rlike(r"\d"))
+    near = F.filter(indexed(F.split(text, "\r\n|[\n\r]", -1)), lambda x: x["l"].rlike(r"\d") & rx(x["l"], dates.MONTH))
     rows = F.transform(near, lambda x: F.struct(x["i"].alias("i"), dates.fix_dates(x["l"]).alias("l")))
     dated = F.filter(rows, lambda x: rx(x["l"], pattern))
 
