@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo.functions import text as T
 from acervo.functions.regex import any_of, ci, let, rx, strip
+from acervo.operators.lines import first_index, last_index
 from acervo.operators.signer import DISTRIBUTION
 
 OPENERS = r"^((\d+\.|\d+!|l\.|I\.)\s*)?(Sr\.|Sra\.|Sres\.)\s+(Ministr|Subsecretari|Contralor|Gobernador|Director|Jefe)"
@@ -61,8 +62,16 @@ def distribution(text: Column, lines: Column, skip: tuple[str, ...] = ()) -> Col
             .otherwise(add(on, s["got"], s["n"], l, True))
         )
 
-    rows = F.filter(F.transform(lines, lambda l, i: F.struct(i.alias("i"), l.alias("l"))), lambda x: x["l"] != "")
-    return F.aggregate(rows, zero, step, lambda s: s["got"])
+    # A header clears what was found before, so the fold starts at the last one; without a header it starts at the first line
+    # that can open the list, and without such a line there is no list.
+    is_header = lambda l: rx(l, DISTRIBUTION) & ~rx(l, r"^(A|PARA)\b")
+    opener = first_index(lines, lambda l: any_of(l, (DISTRIBUTION, OPENERS, LATE_OPENERS, r"Saluda\s+atent")))
+
+    def folded(start: Column) -> Column:
+        rows = F.filter(F.transform(lines, lambda l, i: F.struct(i.alias("i"), l.alias("l"))), lambda x: (x["i"] >= start) & (x["l"] != ""))
+        return F.when(start >= 0, F.aggregate(rows, zero, step, lambda s: s["got"])).otherwise(empty)
+
+    return let(let(last_index(lines, is_header), lambda h: F.when(h >= 0, h).otherwise(opener)), folded)
 
 
 def distribution_text(items: Column) -> Column:

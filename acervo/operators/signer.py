@@ -79,7 +79,10 @@ def signer(text: Column, lines: Column) -> dict[str, Column]:
         both = F.when((p["n"] != "") & (p["c"] != ""), F.concat_ws(", ", p["n"], p["c"])).otherwise(F.concat(p["n"], p["c"]))
         return F.struct(F.regexp_replace(squeeze(both), r"\.$", "").alias("firmante"), p["n"].alias("nombre_firmante"), p["c"].alias("cargo_firmante"))
 
-    got = let(F.struct(strip(T.fix_signer(name)).alias("n"), strip(T.fix_signer(post)).alias("c")), together)
+    # A text without greeting, list or sender has no signer; one look at its lines spares the rest.
+    marked = F.exists(lines, lambda l: rx(l, rf"{GREETING}|^DISTRIBUCI[ÓO]N|^(1\.\s+)?Sr\.\s+Ministro|^\s*DE\s*(:|\s+(JEFE|DIRECTOR|MINISTRO|SUBSECRETARI|SECRETARI))"))
+    parts_of = F.struct(strip(T.fix_signer(name)).alias("n"), strip(T.fix_signer(post)).alias("c"))
+    got = let(F.when(F.coalesce(marked, F.lit(False)), parts_of).otherwise(F.struct(F.lit("").alias("n"), F.lit("").alias("c"))), together)
     return {c: got[c] for c in ("firmante", "nombre_firmante", "cargo_firmante")}
 
 

@@ -834,7 +834,7 @@ def _image_rows(spark):
     return spark.createDataFrame(rows, "doc_id int, num int, page int, xref int, w int, h int, bytes int, page_w double, page_h double, x0 double, y0 double, x1 double, y1 double")
 
 
-_IMAGE_VALUES = "(VALUES " + ", ".join(f"({p}, {x}, {w}, {h}, {s}, {x0}, {y0}, {x1}, {y1})" for x, w, h, s, x0, y0, x1, y1, p in _IMAGES) + ") AS i(page, xref, w, h, bytes, x0, y0, x1, y1)"
+_IMAGE_VALUES = "(VALUES " + ", ".join(f"({p}, {x}, {w}, {h}, {s}, {x0}::DOUBLE, {y0}::DOUBLE, {x1}::DOUBLE, {y1}::DOUBLE)" for x, w, h, s, x0, y0, x1, y1, p in _IMAGES) + ") AS i(page, xref, w, h, bytes, x0, y0, x1, y1)"
 _IMAGE_OK = "h >= 60 AND w >= 60 AND bytes >= 1000 AND NOT (page = 1 AND y0 < 150) AND NOT (x1 - x0 >= 600 * 0.9 AND y1 - y0 >= 800 * 0.9)"
 
 
