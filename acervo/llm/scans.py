@@ -27,12 +27,12 @@ from acervo.session import cut, spread
 
 #: Most words and line forms that are broadcast; labelled lines and damaged words on which the perceptrons are fitted.
 VOCABULARY, FORMS, LINES, WORDS = 200_000, 20_000, 24_000, 9_000
-#: A word is known from this count on; a repair must be this many times as frequent as an unknown word or one with a mark
-#: inside, as a known word that differs by a usual misreading, and as a known word that differs otherwise.
-KNOWN, TIMES, USUAL, OTHER = 3, 8, 20, 1000
-#: Shares of all words: a word as frequent as SOUND is not looked at, one as frequent as WHOLE is no piece of a torn word, and
-#: one as frequent as TAUGHT may teach the editor. As shares they mean the same at every size.
-SOUND, WHOLE, TAUGHT = 5e-4, 1.2e-4, 1e-5
+#: A repair must be more than this many times as frequent as an unknown word or one with a mark inside, and this many times as a known word that differs by a
+#: usual misreading, and as a known word that differs otherwise.
+TIMES, USUAL, OTHER = 8, 20, 1000
+#: Shares of all words: a word is known from UNKNOWN on, one as frequent as WHOLE is no piece of a torn word, and one as frequent
+#: as TAUGHT may teach the editor. As shares they mean the same at every size; no count is compared with a fixed number.
+UNKNOWN, WHOLE, TAUGHT = 2.3e-5, 1.2e-3, 1e-5
 #: So many of the most frequent words are known as torn words.
 TORN = 20_000
 #: A line form is furniture evidence from this many records on; a line is compared with so many of the most frequent ones.
@@ -260,7 +260,7 @@ def usual_readings(w: str) -> set[str]:
 def fit_editor(vocabulary: dict[str, int]) -> Perceptron:
     """An editor trained on frequent words, whole and damaged; words that are themselves usual misreadings teach nothing."""
     rng = random.Random(11)
-    least = max(4 * KNOWN, sum(vocabulary.values()) * TAUGHT)
+    least = sum(vocabulary.values()) * TAUGHT
     sound = (w for w, n in vocabulary.items() if n >= least and len(w) > 3 and w.isalpha() and not any(vocabulary.get(x, 0) >= USUAL * n for x in usual_readings(w)))
     frequent = sorted(sound, key=lambda w: (-vocabulary[w], w))[:WORDS]
     samples = []
@@ -285,8 +285,9 @@ class Reader:
     def __init__(self, vocabulary: dict[str, int], forms: dict[str, tuple[int, float]], lines: Perceptron, editor: Perceptron) -> None:
         self.vocabulary, self.forms, self.lines, self.editor = vocabulary, forms, lines, editor
         total = sum(vocabulary.values())
-        self.sound, self.whole = max(50 * KNOWN, total * SOUND), max(50 * KNOWN, total * WHOLE)
-        often = sorted((w for w, n in vocabulary.items() if n >= 3 * KNOWN and len(w) > 3), key=lambda w: (-vocabulary[w], w))[:TORN]
+        # No word is frequent enough to be the repair of one as frequent as ``sound``.
+        self.sound, self.whole, self.unknown = max(vocabulary.values(), default=0) / TIMES + 1, total * WHOLE, total * UNKNOWN
+        often = sorted((w for w, n in vocabulary.items() if n >= TIMES and len(w) > 3), key=lambda w: (-vocabulary[w], w))[:TORN]
         self.heads = {w[:k] for w in often for k in range(1, len(w))}
         self.fine: dict[str, bool] = {}
         self.cache: dict[str, str | None] = {}
@@ -333,8 +334,9 @@ class Reader:
         n = self.count(w)
         if len(w) < 3 or not _LETTER.search(w) or re.fullmatch(r"[a-z]{1,2}-?[0-9]+[a-z]?|[0-9.,]+[a-zº°]{0,2}|.*(?:www|@.*\.).*", w):
             return None
-        least = max(KNOWN * 3, n * TIMES)
+        least = max(n, 1) * TIMES + 1
         marked = not w.isalpha()  # no word of a language has a digit or sign amid its letters
+        doubtful = marked or n < self.unknown
         usual = usual_readings(w)
         ranked = []
         for i in range(len(w)):
@@ -350,11 +352,11 @@ class Reader:
             if got not in tried:
                 tried.add(got)
                 c = self.count(got)
-                if c >= least and (n < KNOWN or marked or c >= n * (USUAL if got in usual else OTHER)) and (best is None or c > best[0]):
+                if c >= least and (doubtful or c >= n * (USUAL if got in usual else OTHER)) and (best is None or c > best[0]):
                     best = (c, got)
 
         for got in sorted(usual):
-            if self.count(got) >= max(least, n * (TIMES if marked else USUAL)) and (best is None or self.count(got) > best[0]):
+            if self.count(got) >= max(least, n * (TIMES if doubtful else USUAL)) and (best is None or self.count(got) > best[0]):
                 best = (self.count(got), got)
         if best:
             return best[1]
@@ -369,7 +371,7 @@ class Reader:
                     consider(ops)
                     if op[0] == "R" and i + 1 < len(w):
                         consider([*ops[: i + 1], "D", *ops[i + 2 :]])
-        if best is None and n < KNOWN:
+        if best is None and marked:
             best = self.lexical(w, least)
         return best[1] if best else None
 
@@ -421,11 +423,11 @@ class Reader:
                 if nxt and lines[j].lstrip()[: 1] == nxt[0][2][:1]:
                     rest = nxt[0][2]
                     whole, compound = (head + rest).lower(), f"{head}-{rest}".lower()
-                    joined = self.count(whole) >= KNOWN or self.repaired(whole) is not None
-                    if not (self.count(compound) >= KNOWN and not self.count(whole) > self.count(compound)) and (joined or rest[:1].islower()):
+                    joined = self.count(whole) > 0 or self.repaired(whole) is not None
+                    if not (self.count(compound) and not self.count(whole) > self.count(compound)) and (joined or rest[:1].islower()):
                         broken[i] = True
                         tail = (head, rest, j)
-                    elif self.count(compound) >= KNOWN:
+                    elif self.count(compound):
                         tail = (head, rest, j)
                 if words and end.endswith(words[-1][2]) or words and words[-1][1] >= len(end) - 1:
                     words = words[:-1]
@@ -433,7 +435,7 @@ class Reader:
                 head, rest, j = tail
                 if broken[i]:
                     fixed = self.repaired(head + rest)
-                    if fixed and self.count((head + rest).lower()) < KNOWN:
+                    if fixed:
                         same = 0
                         h = head.lower()
                         while same < min(len(h), len(fixed)) and h[same] == fixed[same]:
@@ -453,7 +455,7 @@ class Reader:
                     t, u, v = words[a + 1]
                     both = w + v
                     c = self.count(both.lower())
-                    if len(both) > 3 and v[:1].isalpha() and c >= KNOWN * 3 and c >= TIMES * max(min(n, counts[a + 1]), 1) and not line[e:t].strip():
+                    if len(both) > 3 and v[:1].isalpha() and c >= TIMES * max(min(n, counts[a + 1]), 1) and not line[e:t].strip():
                         misread[i] = True
                         fixes.append((s, u, both))
                         a += 2
@@ -496,7 +498,7 @@ class Reader:
 def fit(df: DataFrame, fields: tuple[str, ...], key: str) -> Reader:
     """Statistics over all records, then the two perceptrons on bounded samples."""
     counts = cut(statistics(spread(df.select(*fields)), fields))
-    rows = counts.where(f"clase = 'p' and n >= {KNOWN}").orderBy(F.desc("n"), "forma").limit(VOCABULARY).collect()
+    rows = counts.where("clase = 'p'").orderBy(F.desc("n"), "forma").limit(VOCABULARY).collect()
     vocabulary = {r["forma"]: r["n"] for r in rows}
     rows = counts.where(f"clase = 'r' and n >= {REPEATED} and length(forma) > 0").orderBy(F.desc("n"), "forma").limit(FORMS).collect()
     forms = {r["forma"]: (r["n"], r["raras"] / r["n"]) for r in rows}

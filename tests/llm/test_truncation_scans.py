@@ -105,3 +105,18 @@ def test_reader_edges():
     r = scans.Reader({"edificación": 50, "obra": 90}, {}, scans.Perceptron(), scans.Perceptron())
     assert r.judge("una obra\ncontinua") [1] == [False, False]
     assert r.repair("") == "" and r.repair("obra") == "obra" and len(r.judge("x\n" * 5000)[0]) == 5001
+
+
+def test_misreadings_are_found_at_every_size(spark):
+    """The same texts once and ten times have the same misread words, also those of one letter read as another."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(sentence(rng) + "." for _ in range(8)), None, None) for i in range(800)]
+    for at, (word, read) in enumerate((("edificación", "edifieación"), ("subdivisión", "subdivislón"), ("estacionamientos", "esfacionamientos"))):
+        rows = [(i, t.replace(word, "instalación") if i >= 400 else t, None, None) for i, t, _, _ in rows]  # seen less than OTHER times
+        k = next(i for i, r in enumerate(rows) if i >= 9 * at and word in r[1])
+        rows[k] = (k, rows[k][1].replace(word, read, 1), None, None)
+    df = spark.createDataFrame(rows, "circular_id bigint, cuerpo string, notas_al_pie string, antecedentes string")
+    once = {r["circular_id"] for r in scans.noisy_lines(df).where("clase = 'lectura'").collect()}
+    ten = df.crossJoin(spark.range(10).select(F.col("id").alias("copia"))).withColumn("circular_id", F.col("circular_id") * 10 + F.col("copia"))
+    often = [r["circular_id"] for r in scans.noisy_lines(ten).where("clase = 'lectura'").collect()]
+    assert len(once) == 3 and sorted(often) == sorted(i * 10 + k for i in once for k in range(10)), (once, sorted(often))
