@@ -27,16 +27,19 @@ from acervo.session import cut, spread
 
 #: Most words and line forms that are broadcast; labelled lines and damaged words on which the perceptrons are fitted.
 VOCABULARY, FORMS, LINES, WORDS = 200_000, 20_000, 24_000, 9_000
-#: A repair must be more than this many times as frequent as an unknown word or one with a mark inside, and this many times as a known word that differs by a
-#: usual misreading, and as a known word that differs otherwise.
+#: A repair must be more than this many times as frequent as an unknown word or one with a mark inside, and this many times as
+#: frequent as a known word that differs by a usual misreading, and as a known word that differs otherwise.
 TIMES, USUAL, OTHER = 8, 20, 1000
 #: Shares of all words: a word is known from UNKNOWN on, one as frequent as WHOLE is no piece of a torn word, and one as frequent
 #: as TAUGHT may teach the editor. As shares they mean the same at every size; no count is compared with a fixed number.
 UNKNOWN, WHOLE, TAUGHT = 2.3e-5, 1.2e-3, 1e-5
 #: So many of the most frequent words are known as torn words.
 TORN = 20_000
-#: A line form is furniture evidence from this many records on; a line is compared with so many of the most frequent ones.
-REPEATED, FURNITURE = 5, 64
+#: A line form is furniture evidence from this many records on.
+REPEATED = 5
+#: A form is furniture if it intrudes in this share of its records, or from a lower share on if it is not so many times rarer than
+#: the most frequent one.
+CLEAR, RARE = 0.7, 20
 #: A line that is like no furniture is noise only if it has fewer letters than this.
 SHORT = 12
 
@@ -291,9 +294,14 @@ class Reader:
         self.heads = {w[:k] for w in often for k in range(1, len(w))}
         self.fine: dict[str, bool] = {}
         self.cache: dict[str, str | None] = {}
-        # The most frequent forms are enough: their misread variants are like them.
-        often = sorted((f for f, (n, share) in forms.items() if n >= REPEATED and share >= 0.3 and _LETTER.search(f)), key=lambda f: (-forms[f][0], f))
-        self.furniture = [trigrams(f) for f in often[:FURNITURE]]
+        # Rare forms that intrude only now and then are text that recurs by chance.
+        often = {f: v for f, v in forms.items() if v[0] >= REPEATED and v[1] >= 0.3 and _LETTER.search(f)}
+        most = max((n for n, _ in often.values()), default=0)
+        self.furniture = [trigrams(f) for f, (n, share) in often.items() if share >= CLEAR or n * RARE >= most]
+        self.places: dict[str, list[int]] = defaultdict(list)  # the furniture forms that have a trigram
+        for k, f in enumerate(self.furniture):
+            for g in f:
+                self.places[g].append(k)
         self.alike: dict[str, bool] = {}
 
     def like_furniture(self, line: str) -> bool:
@@ -303,7 +311,10 @@ class Reader:
             if len(self.alike) > 200_000:
                 self.alike.clear()
             own = trigrams(form)
-            self.alike[form] = any(2 * len(own & f) >= 0.6 * (len(own) + len(f)) for f in self.furniture)
+            # A form is like this one only if they share 3 of 7 of its trigrams, so one of the rarest of them; a form is like itself.
+            seen = sorted((g for g in own if g in self.places), key=lambda g: len(self.places[g]))
+            near = {k for g in seen[: max(0, len(seen) - (3 * len(own) + 6) // 7 + 1)] for k in self.places[g]}
+            self.alike[form] = any(2 * len(own & self.furniture[k]) >= 0.6 * (len(own) + len(self.furniture[k])) for k in near)
         return self.alike[form]
 
     def in_order(self, token: str) -> bool:

@@ -120,3 +120,21 @@ def test_misreadings_are_found_at_every_size(spark):
     ten = df.crossJoin(spark.range(10).select(F.col("id").alias("copia"))).withColumn("circular_id", F.col("circular_id") * 10 + F.col("copia"))
     often = [r["circular_id"] for r in scans.noisy_lines(ten).where("clase = 'lectura'").collect()]
     assert len(once) == 3 and sorted(often) == sorted(i * 10 + k for i in once for k in range(10)), (once, sorted(often))
+
+
+class Noise(scans.Perceptron):
+    def best(self, features, default):
+        return "r"
+
+
+def test_furniture_of_every_rank():
+    """A line is compared with all furniture forms, and no less exactly through the index."""
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(24)) for _ in range(300)]
+    r = scans.Reader({}, {f: (1000 - k, 0.9) for k, f in enumerate(names)}, Noise(), scans.Perceptron())
+    text = f"la obra que se refiere a los permisos de edificación y\n{names[250].upper()}\nde las obras que se indican en este acto, según consta\n{names[280][:9]}x{names[280][10:]}\nen los antecedentes del permiso que se indican ahí."
+    assert r.judge(text)[1] == [False, True, False, True, False]
+    for f in names[:60]:
+        for line in (f[:20], f[:14] + names[0][:9], f[3:9] + f[12:20], f[:8], f[:11] + "zzzzz"):
+            own = scans.trigrams(scans.line_form(line))
+            assert r.like_furniture(line) == any(2 * len(own & scans.trigrams(g)) >= 0.6 * (len(own) + len(scans.trigrams(g))) for g in names)
