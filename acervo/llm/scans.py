@@ -13,6 +13,7 @@ Counts of words and of line forms cover all records. Both perceptrons are fitted
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import unicodedata
@@ -33,8 +34,6 @@ TIMES, USUAL, OTHER = 8, 20, 1000
 #: Shares of all words: a word is known from UNKNOWN on, one as frequent as WHOLE is no piece of a torn word, and one as frequent
 #: as TAUGHT may teach the editor. As shares they mean the same at every size; no count is compared with a fixed number.
 UNKNOWN, WHOLE, TAUGHT = 2.3e-5, 1.2e-3, 1e-5
-#: So many of the most frequent words are known as torn words.
-TORN = 20_000
 #: A line form is furniture evidence from this many records on.
 REPEATED = 5
 #: A form is furniture if it intrudes in this share of its records, or from a lower share on if it is not so many times rarer than
@@ -290,9 +289,8 @@ class Reader:
         total = sum(vocabulary.values())
         # No word is frequent enough to be the repair of one as frequent as ``sound``.
         self.sound, self.whole, self.unknown = max(vocabulary.values(), default=0) / TIMES + 1, total * WHOLE, total * UNKNOWN
-        often = sorted((w for w, n in vocabulary.items() if n >= TIMES and len(w) > 3), key=lambda w: (-vocabulary[w], w))[:TORN]
-        self.heads = {w[:k] for w in often for k in range(1, len(w))}
         self.fine: dict[str, bool] = {}
+        self.tears: dict[tuple[str, str], bool] = {}
         self.cache: dict[str, str | None] = {}
         # Rare forms that intrude only now and then are text that recurs by chance.
         often = {f: v for f, v in forms.items() if v[0] >= REPEATED and v[1] >= 0.3 and _LETTER.search(f)}
@@ -318,17 +316,32 @@ class Reader:
         return self.alike[form]
 
     def in_order(self, token: str) -> bool:
-        """True if a token needs no look: a frequent word, or one that is no misreading and begins no torn word."""
+        """True if a token needs no look by itself: a frequent word, or one that is no misreading."""
         got = self.fine.get(token)
         if got is None:
             if len(self.fine) > 300_000:
                 self.fine.clear()
             w = token.strip(_OUTER).lower()
-            n = self.count(w)
-            got = n >= self.sound or (self.repaired(w) is None and (not _LETTER.search(w) or n >= self.whole or w not in self.heads))
+            got = self.count(w) >= self.sound or self.repaired(w) is None
             self.fine[token] = got
         return got
 
+    def torn(self, w: str, v: str) -> bool:
+        """True if two neighbouring words are the pieces of one."""
+        both = (w + v).lower()
+        least = min(self.count(w.lower()), self.count(v.lower()))
+        return least < self.whole and len(both) > 3 and v[:1].isalpha() and self.count(both) >= TIMES * max(least, 1) and bool(_LETTER.search(w))
+
+    def torn_tokens(self, a: str, b: str) -> bool:
+        """The same for two tokens, which have no mark between them."""
+        got = self.tears.get((a, b))
+        if got is None:
+            if len(self.tears) > 300_000:
+                self.tears.clear()
+            got = a[-1] not in _OUTER and b[0] not in _OUTER and self.torn(a.lstrip(_OUTER), b.rstrip(_OUTER))
+            self.tears[a, b] = got
+        return got
+
     def count(self, word: str) -> int:
         return self.vocabulary.get(word, 0)
 
@@ -421,7 +434,8 @@ class Reader:
             line = lines[i]
             j = body[k + 1] if k + 1 < len(body) else None
             end = line.rstrip()
-            if i not in skip and end[-1] not in BREAKS and "|" not in line and all(map(self.in_order, line.split())):
+            tokens = line.split()
+            if i not in skip and end[-1] not in BREAKS and "|" not in line and all(map(self.in_order, tokens)) and not any(map(self.torn_tokens, tokens, tokens[1:])):
                 repaired[i] = line
                 continue
             words = words_of(line)
@@ -457,18 +471,16 @@ class Reader:
                 words = words[:-1]  # the last word of a value that nothing closes may have lost its end, which is no misreading
             counts = [self.vocabulary.get(w.lower(), 0) for _, _, w in words]
             a = skip.get(i, 0)
-            if not counts or min(counts[a:], default=self.sound) >= self.sound:
+            if not counts or min(counts[a:], default=math.inf) >= max(self.sound, self.whole):
                 a = len(words)
             while a < len(words):
                 s, e, w = words[a]
                 n = counts[a]
-                if a + 1 < len(words) and min(n, counts[a + 1]) < self.whole and _LETTER.search(w):
+                if a + 1 < len(words) and min(n, counts[a + 1]) < self.whole:
                     t, u, v = words[a + 1]
-                    both = w + v
-                    c = self.count(both.lower())
-                    if len(both) > 3 and v[:1].isalpha() and c >= TIMES * max(min(n, counts[a + 1]), 1) and not line[e:t].strip():
+                    if not line[e:t].strip() and self.torn(w, v):
                         misread[i] = True
-                        fixes.append((s, u, both))
+                        fixes.append((s, u, w + v))
                         a += 2
                         continue
                 got = self.repaired(w) if n < self.sound else None

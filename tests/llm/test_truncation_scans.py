@@ -138,3 +138,11 @@ def test_furniture_of_every_rank():
         for line in (f[:20], f[:14] + names[0][:9], f[3:9] + f[12:20], f[:8], f[:11] + "zzzzz"):
             own = scans.trigrams(scans.line_form(line))
             assert r.like_furniture(line) == any(2 * len(own & scans.trigrams(g)) >= 0.6 * (len(own) + len(scans.trigrams(g))) for g in names)
+
+
+def test_torn_words_with_a_frequent_head():
+    """A word torn after a frequent word or before a piece that begins no word is found in a line of words in order."""
+    vocabulary = {"de": 40000, "la": 30000, "si": 5000, "simple": 900, "desarrollo": 900, "una": 9000, "declaración": 900, "obra": 900, "sarrollo": 1, "mple": 1}
+    r = scans.Reader(vocabulary, {}, scans.Perceptron(), scans.Perceptron())
+    got = r.judge("una declaración si mple de obra.\nuna declaración de la obra.\nuna obra de sarrollo.\nuna (si) mple de la obra.")
+    assert got[3] == [True, False, True, False] and got[4][0] == "una declaración simple de obra." and got[4][2] == "una obra desarrollo."
