@@ -338,6 +338,7 @@ class Finder:
         befores: list[int] = []
         hits = [(e - n + 1, e + 1, kinds) for e, (n, kinds) in self.automaton.iter(f)]
         phones: list[tuple[int, int]] = []
+        listed = 0
         for start, end, kinds in hits:
             for k in kinds:
                 if k == "#":
@@ -357,10 +358,10 @@ class Finder:
                     else:
                         m = LEAD.match(t, end)
                         names.append((m.end(), True))
-                        if f[start:end] == "asisten:":
+                        if f[start:end] == "asisten:" and end > listed:  # a cue within a list adds nothing to it
                             stop = SENTENCE_END.search(t, end)
-                            line = t[end : stop.start() if stop else len(t)][:MOST_LIST]
-                            names += [(end + m.end(), True) for m in re.finditer(rf";\s*(?:{TITLE}\s+)*", line, re.I)]
+                            listed = stop.start() if stop else len(t)
+                            names += [(m.end(), True) for m in LIST_NAME.finditer(t, end, listed)]
                 elif k == "m":
                     s = self.mail(t, start, end)
                     if s:
@@ -419,8 +420,8 @@ class Finder:
         return base + first, end
 
 
-#: End of a sentence (not the stop of an initial), and the longest list of names.
-SENTENCE_END, MOST_LIST = re.compile(r"(?<=\w\w)\.(?=\s|$)"), 20_000
+#: End of a sentence (not the stop of an initial), and what stands before a name in a list.
+SENTENCE_END, LIST_NAME = re.compile(r"(?<=\w\w)\.(?=\s|$)"), re.compile(rf";\s*(?:{TITLE}\s+)*", re.I)
 
 # Lower-case words that end a name written in lower case.
 STOP_LOWER = frozenset(

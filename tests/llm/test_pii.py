@@ -56,3 +56,9 @@ def test_tables(spark):
 
 def test_check_digit():
     assert all(pii.valid_rut(f"{n}-{rut(n)}") for n in (1234567, 30686957, 11111111, 40296072)) and not pii.valid_rut(BAD) and not pii.valid_rut("1-9")
+
+
+def test_long_attendance_list():
+    """A list of names is read to its end, however long it is."""
+    text = "Asisten: " + "; ".join(f"{'ABCDEFGH'[i % 8]}. Soto Mora" for i in range(3000))
+    assert sum(k == "nombre" for _, _, k in pii.find(text)) == 3000
