@@ -1,14 +1,19 @@
 """Text of scanned pages: finding page furniture, words broken at line ends and misread words, and repairing them.
 
-Method: an averaged-perceptron character editor. It predicts for each character of a doubtful word whether to keep, replace or
-delete it or to insert another one after it, and for each line end whether the word goes on in the next line of text. It is
-trained on words of the corpus itself, damaged by the ways in which scanners misread; a proposal counts only if the repaired
-word is much more frequent in the whole corpus than the written one. Running headers, footers, page numbers, stamps and dirt
-are told from text by an averaged perceptron over the characters of a line and its position in the page: how it fills the width
-of the block, what stands before and after it, and how often the same line (but for digits) comes back in other records.
-
-Counts of words and of line forms cover all records. Both perceptrons are fitted on bounded samples (:data:`LINES`,
-:data:`WORDS`); the vocabulary is bounded by :data:`VOCABULARY`, the most frequent forms.
+Method: an averaged-perceptron character editor reads a word, a pair of neighbouring words or the two pieces of a word around a line
+end, and predicts for each character whether to keep, replace or delete it or to insert another one after it; at a line end it predicts
+whether the pieces join, join as a compound or stay apart, and at a blank whether it tears a word. Its margin over keeping everything
+proposes and ranks the repairs; counts over the whole corpus only validate them: a repair must be much more frequent than what is
+written. Running headers, footers, page numbers, stamps and dirt are told from text by a second averaged perceptron over the position
+of a line in the page (how it fills the width of the block, what stands before and after it), its characters, and how like it is to
+line forms that intrude into open sentences all over the corpus.
+
+How it is spread out: one pass counts words and line forms; the editor and the line perceptron are fitted on bounded samples
+(:data:`WORDS`, :data:`LINES`); a second pass labels the lines and names the doubtful terms on them; each *different* term is judged
+once, its repairs being validated by joins with the whole table of counts; the verdicts are joined back to the lines. What is broadcast
+is bounded by shares: a word as frequent as :data:`UNKNOWN` of all words (at most ``1 / UNKNOWN`` of them), a line form as frequent as
+:data:`FORM` of all forms. Rarer words are never broadcast and never left out: they meet their counts in the joins, and no key of
+these joins can be hot, as frequent words are settled by the broadcast.
 """
 
 from __future__ import annotations
@@ -20,27 +25,29 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.session import cut, spread
 
-#: Most words and line forms that are broadcast; labelled lines and damaged words on which the perceptrons are fitted.
-VOCABULARY, FORMS, LINES, WORDS = 200_000, 20_000, 24_000, 9_000
-#: A repair must be more than this many times as frequent as an unknown word or one with a mark inside, and this many times as
-#: frequent as a known word that differs by a usual misreading, and as a known word that differs otherwise.
-TIMES, USUAL, OTHER = 8, 20, 1000
-#: Shares of all words: a word is known from UNKNOWN on, one as frequent as WHOLE is no piece of a torn word, and one as frequent
-#: as TAUGHT may teach the editor. As shares they mean the same at every size; no count is compared with a fixed number.
-UNKNOWN, WHOLE, TAUGHT = 2.3e-5, 1.2e-3, 1e-5
-#: A line form is furniture evidence from this many records on.
-REPEATED = 5
-#: A form is furniture if it intrudes in this share of its records, or from a lower share on if it is not so many times rarer than
-#: the most frequent one.
-CLEAR, RARE = 0.7, 20
-#: A line that is like no furniture is noise only if it has fewer letters than this.
-SHORT = 12
+#: Labelled lines and damaged words on which the perceptrons are fitted.
+LINES, WORDS = 24_000, 24_000
+#: A repair must be this many times as frequent as an unknown word or one with a mark inside, and this many times as frequent as a known word.
+TIMES, KNOWN_TIMES = 8, 20
+#: Shares of all words: a word is known, and may teach the editor, from UNKNOWN on, and one as frequent as WHOLE is no piece of a torn
+#: word; share of all line forms from which a form is broadcast. As shares they mean the same at every size.
+UNKNOWN, WHOLE, FORM = 2.3e-5, 1.2e-3, 2e-5
+#: Margin below keeping at which the editor still proposes an operation.
+FLOOR = -30.0
+#: Weights below this are forgotten.
+SLIGHT = 0.15
+#: Likeness of a line to a form that intrudes, from which on the line may be furniture although it leaves no room.
+LIKE = 0.6
+#: A form is furniture if the share of its lines that intrude is surely above this (the lower bound of Wilson's interval, one error in 20),
+#: or from a lower share on if it is not so many times rarer than the most frequent one.
+CLEAR, LEAST_CLEAR, RARE = 0.55, 0.3, 20
 
 # Marks that break a word at a line end, and usual misreadings (what is printed, what is read).
 BREAKS = "-‐‑¬­"
@@ -49,118 +56,255 @@ MISREAD = (
     ("a", "@"), ("s", "5"), ("g", "9"), ("b", "6"), ("z", "2"), ("ó", "�"), ("í", "�"), ("á", "�"), ("é", "�"), ("ú", "�"), ("ñ", "�"), ("ó", "o"), ("i", "í"),
     ("í", "1"), ("e", "c"), ("c", "e"), ("ó", "6"), ("i", "."), ("a", "~"), ("o", "~"), ("t", "f"), ("i", "!"), ("l", "|"), ("é", "€"), ("á", "@"), ("ó", "0"),
 )
-ALPHABET = "abcdefghijklmnopqrstuvwxyzáéíóúñü"
+DIRT = "'.`~·"
 _WORD = re.compile(r"[^\s|]+")
 _OUTER = "\"'«»“”()[]{},;:.¿?¡!|…*•"
 _LETTER = re.compile(r"[^\W\d_]")
 _BROKEN_END = re.compile(rf"\S*[{BREAKS}][ \t\r]*(?:\n|\Z)")
 _ACCENTS = str.maketrans("áéíóúüñàèìòù", "aeiouunaeiou")
+_NOT_WORD = re.compile(r"[a-z]{1,2}-?[0-9]+[a-z]?|[0-9.,]+[a-zº°]{0,2}|.*(?:www|@.*\.).*")
+_CLOSED_END = re.compile(r"[.:;)\]\"»]\s*$")
 
 
-# -- averaged perceptron
+# -- averaged perceptrons
 
 
 class Perceptron:
-    """A multi-class averaged perceptron with sparse features."""
-
-    def __init__(self) -> None:
-        self.weights: dict[str, dict[str, float]] = {}
-
-    def scores(self, features: list[str]) -> dict[str, float]:
-        out: dict[str, float] = defaultdict(float)
-        for f in features:
-            w = self.weights.get(f)
-            if w:
-                for c, x in w.items():
-                    out[c] += x
-        return out
+    """A multi-class averaged perceptron over sparse features that are 64-bit hashes.
 
-    def best(self, features: list[str], default: str) -> str:
-        s = self.scores(features)
-        return max(s, key=lambda c: (s[c], c)) if s else default
+    Fitted in small batches: the guesses of a batch are made with the weights before it. A class without any weight is never
+    preferred to the first one, so a perceptron without weights always answers with its first class.
+    """
 
-    def fit(self, samples: list[tuple[list[str], str]], epochs: int, seed: int = 7) -> Perceptron:
-        totals: dict[tuple[str, str], float] = defaultdict(float)
-        stamps: dict[tuple[str, str], int] = defaultdict(int)
-        order, rng, step = list(range(len(samples))), random.Random(seed), 0
-        default = samples[0][1] if samples else ""
+    def __init__(self, classes: list[str]) -> None:
+        self.classes = classes
+        self.keys = np.zeros(0, np.uint64)
+        self.weights = np.zeros((1, len(classes)), np.float32)  # the last row stands for features never seen
+
+    def rows(self, features: np.ndarray) -> np.ndarray:
+        """Rows of the weights for an array of features."""
+        if not len(self.keys):
+            return np.zeros(features.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, features), len(self.keys) - 1)
+        return np.where(self.keys[at] == features, at, len(self.keys))
+
+    def scores(self, features: np.ndarray) -> np.ndarray:
+        """``(samples, classes)`` for features ``(samples, templates)``."""
+        rows = self.rows(features)
+        total = self.weights[rows[:, 0]].copy() if rows.shape[1] else np.zeros((len(rows), len(self.classes)), np.float32)
+        for t in range(1, rows.shape[1]):
+            total += self.weights[rows[:, t]]
+        return total
+
+    def fit(self, features: np.ndarray, labels: np.ndarray, epochs: int, batch: int = 64, seed: int = 7) -> Perceptron:
+        self.keys = np.unique(features)
+        n, c = len(self.keys), len(self.classes)
+        if not len(labels):
+            return self
+        ids = np.searchsorted(self.keys, features)
+        w, u = np.zeros((n + 1, c), np.float32), np.zeros((n + 1, c), np.float64)
+        rng, step = np.random.default_rng(seed), 0
         for _ in range(epochs):
-            rng.shuffle(order)
-            for i in order:
+            order = rng.permutation(len(labels))
+            for a in range(0, len(order), batch):
                 step += 1
-                features, truth = samples[i]
-                guess = self.best(features, default)
-                if guess == truth:
-                    continue
-                for f in features:
-                    w = self.weights.setdefault(f, {})
-                    for c, d in ((truth, 1.0), (guess, -1.0)):
-                        k = (f, c)
-                        totals[k] += (step - stamps[k]) * w.get(c, 0.0)
-                        stamps[k] = step
-                        w[c] = w.get(c, 0.0) + d
-        for f, w in self.weights.items():
-            for c in list(w):
-                k = (f, c)
-                w[c] = round((totals[k] + (step - stamps[k] + 1) * w[c]) / max(step, 1), 4)
-                if not w[c]:
-                    del w[c]
-        self.weights = {f: w for f, w in self.weights.items() if w}
+                at = order[a : a + batch]
+                x, y = ids[at], labels[at]
+                guess = w[x].sum(1).argmax(1)
+                wrong = np.flatnonzero(guess != y)
+                if len(wrong):
+                    f = x[wrong].ravel()
+                    for classes, d in ((y[wrong], 1.0), (guess[wrong], -1.0)):
+                        cls = np.repeat(classes, x.shape[1])
+                        np.add.at(w, (f, cls), d)
+                        np.add.at(u, (f, cls), d * step)
+        w = (w - u / (step + 1)).astype(np.float32)
+        told = np.abs(w[:-1]).max(1) >= SLIGHT  # features that hardly say anything are forgotten
+        self.keys, self.weights = self.keys[told], w[np.append(told, True)]
         return self
 
 
-# -- lines
+def mixed(parts: list[np.ndarray], kind: int) -> np.ndarray:
+    """One 64-bit hash of several integer columns and a number of the template."""
+    h = np.full(parts[0].shape if parts else (), 0x9E3779B97F4A7C15 * (kind + 1) & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    with np.errstate(over="ignore"):
+        for p in parts:
+            h = (h ^ p.astype(np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)
+            h ^= h >> np.uint64(32)
+    return h
 
 
-def line_form(line: str) -> str:
-    """A line without differences of case, accents, digits and blanks."""
-    return re.sub(r"\s+", " ", re.sub(r"[0-9]+", "9", line.lower().translate(_ACCENTS))).strip()
+# -- the character editor
 
+#: Windows of characters around the one that is edited: so many to the left, so many to the right.
+WINDOWS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2), (2, 1), (1, 2), (2, 2), (3, 1), (1, 3), (3, 3), (5, 1), (1, 5))
+_PAD = 6
 
-def layout(lines: list[str]) -> list[dict]:
-    """What the position of each line says: whether it leaves room for the next word, and how its neighbours look."""
-    # Lines on which two packed values meet are longer than the block is wide.
-    width = max((len(x.rstrip()) for x in lines if "|" not in x), default=0) or max((len(x.rstrip()) for x in lines), default=0)
-    out: list[dict] = []
-    full = [i for i, x in enumerate(lines) if x.strip()]
-    place = {i: k for k, i in enumerate(full)}
-    for i, x in enumerate(lines):
-        s = x.strip()
-        k = place.get(i)
-        if k is None:
-            out.append({})
-            continue
-        nxt = lines[full[k + 1]].strip() if k + 1 < len(full) else ""
-        prv = lines[full[k - 1]].strip() if k else ""
-        first = nxt.split(" ", 1)[0] if nxt else ""
-        room = bool(nxt) and len(x.rstrip()) + 1 + len(first) <= width - 6
-        out.append({
-            "room": room, "last": not nxt, "first": not prv, "blank_before": i > 0 and not lines[i - 1].strip(), "blank_after": i + 1 < len(lines) and not lines[i + 1].strip(),
-            "closed": s[-1] in ".:;" or s.endswith(".)"), "next_low": nxt[:1].islower(), "prev_open": bool(prv) and prv[-1] not in ".:;|",
-            "low": s[0].islower() and (" " in s or s[-1] in ".:;,"),
-        })
-    return out
 
+def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all characters of some words, one word after the other, and where each word begins."""
+    joined = "\0" * _PAD + ("\0" * _PAD).join(words) + "\0" * _PAD
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    begins = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(begins[-1]) + np.repeat(np.arange(1, len(words) + 1) * _PAD, lengths)
+    return np.stack([mixed([codes[at + k] for k in range(-a, b + 1)], i) for i, (a, b) in enumerate(WINDOWS)], 1), begins
 
-def odd(line: str, p: dict) -> bool:
-    """True if a line looks like an intrusion: it leaves room amid an open sentence, is not closed and does not begin in lower case."""
-    return bool(p) and p["room"] and p["prev_open"] and not p["low"] and not p["closed"] and line.strip()[-1] not in BREAKS + ","
 
+def damage(word: str, rng: random.Random) -> list[tuple[str, str]]:
+    """``(read character, operation)`` of a word damaged in one place: K keep, D delete, R replace, I keep and insert after."""
+    ops = [(c, "K") for c in word]
+    kind = rng.random()
+    if kind < 0.7:
+        fits = [(p, r) for p, r in MISREAD if p in word]
+        if not fits:
+            return ops
+        printed, read = rng.choice(fits)
+        i = rng.choice([k for k, c in enumerate(word) if c == printed])
+        return ops[:i] + [(read[0], f"R{printed}")] + [(c, "D") for c in read[1:]] + ops[i + 1 :]
+    i = rng.randrange(1, len(word))
+    if kind < 0.78:  # a lost character
+        return ops[: i - 1] + [(word[i - 1], f"I{word[i]}")] + ops[i + 1 :]
+    if kind < 0.86:  # dirt between two characters
+        return ops[:i] + [(rng.choice(DIRT), "D")] + ops[i:]
+    return ops[:i] + [(rng.choice(DIRT), f"R{word[i]}")] + ops[i + 1 :]  # dirt on a character
+
+
+def torn(word: str, rng: random.Random) -> list[tuple[str, str]]:
+    """A word torn by a blank, which is to be deleted."""
+    i = rng.randrange(1, len(word))
+    return [(c, "K") for c in word[:i]] + [(" ", "D")] + [(c, "K") for c in word[i:]]
+
+
+def line_end(head: str, rest: str, op: str) -> list[tuple[str, str]]:
+    """Two pieces around a line end: J joined without the mark, C joined with it, K not joined."""
+    return [(c, "K") for c in head] + [("-", "K"), ("\n", op)] + [(c, "K") for c in rest]
+
+
+class Editor(Perceptron):
+    """The character editor. ``ops`` are its classes, the first of them being K."""
+
+    def best_edits(self, words: list[str], size: int = 4000) -> Iterator[tuple[str, dict[str, float]]]:
+        """Each word with the words that it may stand for and their margins over the word as it is."""
+        drop = self.classes.index("D")
+        usable = np.array([c == "D" or c[0] in "RI" for c in self.classes])
+        for a in range(0, len(words), size):
+            part = words[a : a + size]
+            features, begins = characters(part)
+            s = self.scores(features)
+            m = s - s[:, :1]
+            allowed = usable & (m > FLOOR) & (s != 0)
+            which = np.argpartition(-np.where(allowed, m, -1e9), min(6, m.shape[1] - 1), 1)[:, :6] if len(m) else np.zeros((0, 4), int)
+            good = np.take_along_axis(allowed, which, 1)
+            for k, w in enumerate(part):
+                lo, hi = begins[k], begins[k + 1]
+                found: dict[str, float] = {}
+                if good[lo:hi].any():
+                    options = [[(self.classes[c], float(m[i, c])) for c, g in zip(which[i], good[i]) if g] for i in range(lo, hi)]
+                    drops = [float(x) if ok else None for x, ok in zip(m[lo:hi, drop], allowed[lo:hi, drop])]
+                    found = proposals(w, options, drops)
+                yield w, found
+
+    def joins(self, pairs: list[tuple[str, str]]) -> list[str]:
+        """For the pieces of each pair: J, C or K."""
+        if not pairs:
+            return []
+        features, begins = characters([f"{a}-\n{b}" for a, b in pairs])
+        at = begins[:-1] + np.fromiter((len(a) + 1 for a, _ in pairs), np.int64, len(pairs))
+        allowed = np.array([c in "KJC" for c in self.classes])
+        s = np.where(allowed, self.scores(features[at]), -1e9)
+        return [self.classes[c] for c in s.argmax(1)]
+
+    def tears(self, pairs: list[tuple[str, str]]) -> list[float]:
+        """Margin of deleting the blank between two words over keeping it; minus infinity if the editor knows nothing of it."""
+        if not pairs:
+            return []
+        features, begins = characters([f"{a} {b}" for a, b in pairs])
+        at = begins[:-1] + np.fromiter((len(a) for a, _ in pairs), np.int64, len(pairs))
+        s = self.scores(features[at])
+        d = s[:, self.classes.index("D")]
+        return np.where(d != 0, d - s[:, 0], -np.inf).tolist()
+
+
+def applied(word: str, edits: dict[int, str]) -> str:
+    out = []
+    for i, c in enumerate(word):
+        op = edits.get(i, "K")
+        out.append(c if op == "K" else "" if op == "D" else op[1:] if op[0] == "R" else c + op[1:])
+    return "".join(out)
+
+
+def proposals(w: str, options: list[list[tuple[str, float]]], drops: list[float | None]) -> dict[str, float]:
+    """Words that one operation, one replacement with a deletion behind it, or all operations with a margin above 0 make of a word."""
+    found: dict[str, float] = {}
+
+    def add(edits: dict[int, str], margin: float) -> None:
+        got = applied(w, edits)
+        if got != w and margin > found.get(got, FLOOR):
+            found[got] = margin
+
+    base, total = {}, 0.0
+    for i, o in enumerate(options):
+        if o:
+            op, x = max(o, key=lambda t: t[1])
+            if x > 0:
+                base[i] = op
+                total += x
+    if base:
+        add(base, total)
+    for i, o in enumerate(options):
+        for op, x in o:
+            add({i: op}, x)
+            if op[0] == "R" and i + 1 < len(w) and drops[i + 1] is not None:
+                add({i: op, i + 1: "D"}, x + drops[i + 1])
+            if len(base) > (i in base):
+                add({**base, i: op}, total - max([0.0, *[y for o2, y in o if base.get(i) == o2]]) + x)
+    return found
+
+
+def fit_editor(words: dict[str, int], compounds: dict[str, int]) -> Editor:
+    """An editor trained on frequent words, whole and damaged, torn by blanks and broken at line ends, and on neighbouring words.
+
+    ``words`` are frequent words; those that an usual misreading makes of a much more frequent word teach nothing.
+    """
+    rng = random.Random(11)
+    sound = [w for w, n in words.items() if len(w) > 3 and w.isalpha() and not any(words.get(x, 0) >= KNOWN_TIMES * n for x in misread_of(w))]
+    frequent = sorted(sound, key=lambda w: (-words[w], w))[:WORDS]
+    taught = set(frequent)
+    mates = [w for w in sorted(words, key=lambda w: (-words[w], w)) if w.isalpha() and (len(w) < 4 or w in taught)][:2000]
+    pieces = sorted((c for c in compounds if re.fullmatch(r"[^\W\d_]{3,}-[^\W\d_]{3,}", c)), key=lambda c: (-compounds[c], c))[: WORDS // 10]
+    samples: list[list[tuple[str, str]]] = []
+    for k in range(min(WORDS, 60 * len(frequent))):
+        w = frequent[k % len(frequent)]
+        samples.append(damage(w, rng))
+        i = rng.randrange(1, len(w))
+        samples.append(line_end(w[:i], w[i:], "J"))
+        if k % 3 == 0:
+            samples.append(torn(w, rng))
+            samples.append([(c, "K") for c in f"{rng.choice(mates)} {rng.choice(mates)}"])
+        if k % 8 == 0 and pieces:
+            head, rest = pieces[k // 8 % len(pieces)].split("-")
+            samples.append(line_end(head, rest, "C"))
+    classes = ["K", "D", "J", "C", *sorted({o for s in samples for _, o in s} - {"K", "D", "J", "C"})]
+    if not samples:
+        return Editor(classes)
+    place = {c: i for i, c in enumerate(classes)}
+    features, _ = characters(["".join(c for c, _ in s) for s in samples])
+    labels = np.array([place[o] for s in samples for _, o in s])
+    return Editor(classes).fit(features, labels, 4)
+
+
+def misread_of(w: str) -> set[str]:
+    """The words that a word may stand for by one usual misreading with a telling form (several letters, a digit or a sign)."""
+    return {w[: m.start()] + p + w[m.end() :] for p, r in MISREAD if len(r) > 1 or not r.isalpha() for m in re.finditer(re.escape(r), w)}
 
-def line_features(line: str, p: dict, forms: dict[str, tuple[int, float]]) -> list[str]:
-    form = line_form(line)
-    s = line.strip()
-    n, share = forms.get(form, (0, 0.0))
-    t = f"^{form}$"
-    letters = len(_LETTER.findall(s))
-    f = ["b"] + [f"g{t[i : i + 3]}" for i in range(max(1, len(t) - 2))]
-    f += [f"{k}{int(v)}" for k, v in p.items()]
-    f += [
-        f"n{min(n, 64).bit_length()}", f"s{int(share * 4)}", f"n{min(n, 64).bit_length()}s{int(share * 4)}", f"l{letters > 0}", f"v{int(4 * letters / max(len(s), 1))}",
-        f"z{len(s) // 12}", f"e{s[-1] if not s[-1].isalnum() else 'A'}", f"r{p['room']}c{p['closed']}w{p['low']}", f"o{p['prev_open']}{p['next_low']}w{p['low']}",
-        f"u{s.isupper()}", f"N{n >= REPEATED and share > 0.5}r{p['room']}w{p['low']}c{p['closed']}",
-    ]
-    return f
+
+# -- lines
+
+
+def line_form(line: str) -> str:
+    """A line without differences of case, accents, digits and blanks."""
+    return re.sub(r"\s+", " ", re.sub(r"[0-9]+", "9", line.lower().translate(_ACCENTS))).strip()
 
 
 def trigrams(form: str) -> frozenset[str]:
@@ -168,7 +312,7 @@ def trigrams(form: str) -> frozenset[str]:
     return frozenset(t[i : i + 3] for i in range(len(t) - 2))
 
 
-def bare_number(line: str) -> bool:
+def bare(line: str) -> bool:
     """A line without letters that cannot be the end of a sentence, or of single letters and marks only."""
     s = line.strip()
     if not re.search(r"[^\W\d_]{2}|[0-9]", s):
@@ -176,7 +320,130 @@ def bare_number(line: str) -> bool:
     return not _LETTER.search(s) and not re.fullmatch(r"[^\w]*[0-9][0-9.,°]*[.;,)]+", s)
 
 
-# -- words
+#: Position of a line in its value: it leaves room for the next word; nothing follows or precedes it; blank lines before and after;
+#: it is closed by a mark; the next line begins in lower case; the line before is open.
+Place = tuple[bool, bool, bool, bool, bool, bool, bool, bool]
+
+
+def layout(lines: list[str]) -> list[Place | None]:
+    """The place of each line; None for a blank line and for one that begins in lower case, which is text."""
+    ends = [x.rstrip() for x in lines]
+    # Lines on which two packed values meet are longer than the block is wide.
+    width = max((len(x) for x in ends if "|" not in x), default=0) or max(map(len, ends), default=0)
+    out: list[Place | None] = [None] * len(lines)
+    full = [i for i, x in enumerate(ends) if x]
+    full = [i for i in full if ends[i].strip()]
+    for k, i in enumerate(full):
+        s = ends[i].lstrip()
+        if s[0].islower() and (" " in s or s[-1] in ".:;,") and not (len(s) < 12 and bare(s)):
+            continue
+        nxt = ends[full[k + 1]].lstrip() if k + 1 < len(full) else ""
+        prv = ends[full[k - 1]] if k else ""
+        out[i] = (
+            bool(nxt) and len(ends[i]) + 1 + len(nxt.split(" ", 1)[0]) <= width - 6, not nxt, not prv, i > 0 and not ends[i - 1], i + 1 < len(ends) and not ends[i + 1],
+            s[-1] in ".:;" or s.endswith(".)"), nxt[:1].islower(), bool(prv) and prv[-1] not in ".:;|",
+        )
+    return out
+
+
+def intrudes(line: str, p: Place) -> bool:
+    """True if a line leaves room amid an open sentence and is not closed."""
+    return p[0] and p[7] and not p[5] and line.rstrip()[-1] not in BREAKS + ","
+
+
+def surely(share: float, n: int, z: float = 1.645) -> float:
+    """Lower bound of Wilson's interval of a share seen in n cases."""
+    return (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+class Furniture:
+    """Line forms that intrude all over the corpus, and how like them a line is."""
+
+    def __init__(self, forms: dict[str, tuple[int, float]]) -> None:
+        self.forms = forms
+        often = {f: v for f, v in forms.items() if v[1] >= LEAST_CLEAR and _LETTER.search(f)}
+        most = max((n for n, _ in often.values()), default=0)
+        # Rare forms that intrude only now and then are text that recurs by chance.
+        self.known = [trigrams(f) for f, (n, share) in sorted(often.items()) if surely(share, n) >= CLEAR or n * RARE >= most]
+        self.places: dict[str, list[int]] = defaultdict(list)  # the furniture forms that have a trigram
+        for k, f in enumerate(self.known):
+            for g in f:
+                self.places[g].append(k)
+        self.grams = frozenset(self.places)
+        self.alike: dict[str, float] = {}
+
+    def likeness(self, form: str) -> float:
+        """Dice's share of common trigrams with the most like furniture form, if it is LIKE or more, else 0."""
+        got = self.alike.get(form)
+        if got is None:
+            if len(self.alike) > 200_000:
+                self.alike.clear()
+            own = trigrams(form)
+            seen = own & self.grams
+            got, need = 0.0, (3 * len(own) + 6) // 7
+            if len(seen) >= need:
+                # A form is that like this one only if they share 3 of 7 of its trigrams, so one of the rarest of them.
+                rare = sorted(seen, key=lambda g: len(self.places[g]))[: len(seen) - need + 1]
+                near = {k for g in rare for k in self.places[g]}
+                got = max((2 * len(own & self.known[k]) / (len(own) + len(self.known[k])) for k in near), default=0.0)
+                got = got if got >= LIKE else 0.0
+            self.alike[form] = got
+        return got
+
+    def features(self, line: str, p: Place) -> tuple[int, ...]:
+        """Features of a line: its place, its characters, and how it recurs."""
+        form, s = line_form(line), line.strip()
+        n, share = self.forms.get(form, (0, 0.0))
+        like = self.likeness(form)
+        letters = len(_LETTER.findall(s))
+        room, last, first, before, after, closed, low, opened = p
+        near, short, plain = int(like * 10), min(letters // 4, 6), bare(line)
+        parts = (
+            (room, closed, opened), (room, opened, low), (last, first), (before, after), (near, room), (near, closed, opened), (near, int(share * 4)), (min(n, 64).bit_length(), int(share * 4)),
+            (short, room), (short, near), (plain, room, last), (plain, letters > 0), (int(4 * letters / len(s)), room), (len(s) // 12, room), (s.isupper(), room, near), ("|" in s, near),
+            (ord(s[-1]) if not s[-1].isalnum() else 0, room), (near, n > 0, room, short), (before, after, near, short), (last, room, near, short), (plain, near, short, room),
+        )
+        return tuple(hash((i, *map(int, x))) & 0xFFFFFFFFFFFFFFFF for i, x in enumerate(parts))
+
+    def candidate(self, line: str, p: Place) -> bool:
+        """True if a line may be furniture: it leaves room, is bare, or is like a form that intrudes."""
+        return p[0] or p[1] or self.likeness(line_form(line)) > 0 or bare(line)
+
+
+def fit_lines(texts: list[str], furniture: Furniture) -> Perceptron:
+    """A perceptron for lines that intrude, on labels that the corpus gives itself.
+
+    Noise: bare lines, and lines of a form that intrudes all over the corpus, also with a character misread. Text: lines that are closed or
+    open a sentence after a closed one, lines that fill the width, and long lines like no furniture. Other lines teach nothing.
+    """
+    rng = random.Random(5)
+    features, labels = [], []
+    for t in texts:
+        lines = t.split("\n")
+        for x, p in zip(lines, layout(lines)):
+            if p is None or len(labels) >= LINES:
+                continue
+            like = furniture.likeness(line_form(x))
+            letters = len(_LETTER.findall(x))
+            if bare(x) or (like >= 0.9 and not p[5]):
+                labels.append(1)
+            elif not like and (p[5] or not p[0] or letters >= 16):
+                labels.append(0)
+            else:
+                continue
+            features.append(furniture.features(x, p))
+            if labels[-1]:  # the same line misread: its count is lost, its letters nearly the same
+                y = list(x)
+                for _ in range(1 + len(y) // 20):
+                    y[rng.randrange(len(y))] = rng.choice("1~.Iao")
+                if "".join(y).strip():
+                    features.append(furniture.features("".join(y), p))
+                    labels.append(1)
+    width = len(features[0]) if features else 1
+    return Perceptron(["t", "r"]).fit(np.array(features, np.uint64).reshape(len(features), width), np.array(labels, np.int64), 5, 16)
+
+
+# -- words of a line
 
 
 def words_of(line: str) -> list[tuple[int, int, str]]:
@@ -191,8 +458,156 @@ def words_of(line: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def readable(w: str) -> bool:
+    """True for a lower-case word that can be judged: three characters or more with a letter, and no code, number or address."""
+    return len(w) >= 3 and bool(_LETTER.search(w)) and not _NOT_WORD.fullmatch(w)
+
+
+def cased(fix: str, written: str) -> str:
+    return fix.upper() if written.isupper() and len(written) > 1 else fix.capitalize() if written[:1].isupper() else fix
+
+
+class Reader:
+    """Labels the lines of values: furniture, broken line ends, and the terms on them that are to be judged."""
+
+    def __init__(self, common: dict[str, int], total: int, furniture: Furniture, lines: Perceptron, editor: Editor) -> None:
+        self.common, self.total, self.furniture, self.lines, self.editor = common, total, furniture, lines, editor
+        self.unknown, self.whole = total * UNKNOWN, total * WHOLE
+        self.known: dict[str, str] = {}  # frequent words that are misreadings of much more frequent ones
+        for w, found in editor.best_edits([w for w in sorted(common) if readable(w)]):
+            n = common[w]
+            fits = [(m, common[g], g) for g, m in found.items() if common.get(g, 0) > n * (TIMES if not w.isalpha() else KNOWN_TIMES) and (m > 0 or not w.isalpha())]
+            if fits:
+                self.known[w] = max(fits)[2]
+        #: Frequent words that may be pieces of a torn word.
+        self.pieces = {x for v, n in common.items() for i in range(1, len(v)) for x in (v[:i], v[i:]) if common.get(x, self.whole) < min(self.whole, n / TIMES + 1)}
+        self.fine: set[str] = set()
+
+    def is_fine(self, token: str) -> bool:
+        w = token.strip(_OUTER).lower()
+        if w in self.common:
+            return w not in self.known and w not in self.pieces
+        return not _LETTER.search(w) or bool(_NOT_WORD.fullmatch(w))
+
+    def noise(self, values: list[list[str]]) -> list[list[bool]]:
+        """Which lines of the values are no part of the text."""
+        out = [[False] * len(v) for v in values]
+        at, rows = [], []
+        for k, lines in enumerate(values):
+            if len(lines) > 1:
+                for i, p in enumerate(layout(lines)):
+                    if p is not None and self.furniture.candidate(lines[i], p):
+                        at.append((k, i))
+                        rows.append(self.furniture.features(lines[i], p))
+        if rows:
+            for (k, i), best in zip(at, self.lines.scores(np.array(rows, np.uint64)).argmax(1)):
+                out[k][i] = best == 1
+        return out
+
+    def findings(self, texts: list[str]) -> Iterator[tuple]:
+        """``(text number, line, line after, kind, term, start, end, fix)`` of everything to be found or judged in some texts.
+
+        Kinds: ``ruido``, ``corte`` and ``lectura`` are found; ``w`` (a rare word), ``t`` (two pieces of a torn word) and ``j`` (two pieces
+        around a line end) are terms to be judged.
+        """
+        values = [t.split("\n") for t in texts]
+        noise = self.noise(values)
+        bodies = [[i for i, x in enumerate(v) if not z[i] and x and not x.isspace()] for v, z in zip(values, noise)]
+        ends, pairs = [], []
+        for k, (lines, body) in enumerate(zip(values, bodies)):
+            yield from ((k, i, i, "ruido", None, 0, 0, None) for i, x in enumerate(noise[k]) if x)
+            for i, j in zip(body, body[1:]):
+                end = lines[i].rstrip()
+                if end[-1] in BREAKS and len(end) > 1 and end[-2].isalpha():
+                    nxt = words_of(lines[j])
+                    if nxt and lines[j].lstrip()[:1] == nxt[0][2][:1]:
+                        head = re.search(r"\S+$", end[:-1])[0].lstrip(_OUTER)
+                        ends.append((k, i, j))
+                        pairs.append((head.lower(), nxt[0][2].lower(), nxt[0][2][:1].islower()))
+        rests: set[tuple[int, int]] = set()  # lines whose first word is the rest of one
+        for (k, i, j), (head, rest, low), op in zip(ends, pairs, self.editor.joins([p[:2] for p in pairs])):
+            if op == "K":
+                continue
+            rests.add((k, j))
+            if op == "J":
+                whole = head + rest
+                n = self.common.get(whole, 0)
+                if n and n > self.common.get(f"{head}-{rest}", 0):
+                    yield k, i, j, "corte", whole, 0, 0, None
+                    fix = self.known.get(whole)
+                    if fix:
+                        yield k, i if differs(head, fix) else j, j, "lectura", None, 0, 0, None
+                else:
+                    yield k, i, j, "j", f"{head}\n{rest}" if low else f"{head}\n{rest}\n", len(head), 0, None
+        tears, torn_pairs = [], []
+        fine = self.fine
+        for k, (lines, body) in enumerate(zip(values, bodies)):
+            last = body[-1] if body else -1
+            for i in body:
+                line = lines[i]
+                tokens = line.split()
+                if line.rstrip()[-1] in BREAKS:
+                    tokens.pop()
+                if (k, i) in rests:
+                    del tokens[:1]
+                if not fine.issuperset(tokens):
+                    new = {t for t in tokens if t not in fine and self.is_fine(t)}
+                    if len(fine) > 400_000:
+                        fine.clear()
+                    fine |= new
+                    if "|" in line or not fine.issuperset(tokens):
+                        yield from self.line_terms(k, i, line, i == last, (k, i) in rests, tears, torn_pairs)
+        for (k, i, a, b, fix, term), m in zip(tears, self.editor.tears(torn_pairs)):
+            if m > FLOOR:
+                yield k, i, i, "lectura" if term is None else "t", term, a, b, fix
+
+    def line_terms(self, k: int, i: int, line: str, last: bool, rest: bool, tears: list, torn_pairs: list) -> Iterator[tuple]:
+        words = words_of(line)
+        end = line.rstrip()
+        if words and end[-1] in BREAKS and words[-1][1] >= len(end) - 1:
+            words = words[:-1]
+        if last and words and words[-1][2].isalpha() and not _CLOSED_END.search(line) or end.endswith("..."):
+            words = words[:-1]  # the last word of a value that nothing closes may have lost its end, which is no misreading
+        if rest:
+            words = words[1:]
+        low = [w.lower() for _, _, w in words]
+        for x, (a, b, w) in enumerate(words):
+            n = self.common.get(low[x], 0)
+            if n:
+                fix = self.known.get(low[x])
+                if fix:
+                    yield k, i, i, "lectura", None, a, b, cased(fix, w)
+            elif readable(low[x]):
+                yield k, i, i, "w", low[x], a, b, None
+            if x + 1 < len(words):
+                c, d, v = words[x + 1]
+                m = self.common.get(low[x + 1], 0)
+                both = low[x] + low[x + 1]
+                least = min(n, m)
+                if least < self.whole and len(both) > 3 and v[0].isalpha() and _LETTER.search(w) and not line[b:c].strip():
+                    if least:  # both are frequent, so is the whole if it is so much more frequent
+                        if low[x] in self.pieces or low[x + 1] in self.pieces:
+                            if self.common.get(both, 0) >= TIMES * least:
+                                tears.append((k, i, a, d, w + v, None))
+                                torn_pairs.append((low[x], low[x + 1]))
+                    else:
+                        tears.append((k, i, a, d, w + v, f"{low[x]} {low[x + 1]}"))
+                        torn_pairs.append((low[x], low[x + 1]))
+
+
+def differs(head: str, fix: str) -> bool:
+    """True if a repaired word differs from the written one within its head."""
+    return not fix.startswith(head)
+
+
+# -- over tables
+
+FIELDS = ("cuerpo", "notas_al_pie", "antecedentes")
+_FOUND = "campo string, linea int, sigue int, clase string, termino string, desde int, hasta int, arreglo string"
+
+
 def statistics(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """``(clase, forma, n, raras)`` over all values: words (``p``) by occurrences, line forms (``r``) by records and odd occurrences."""
+    """``(clase, forma, n, raras)`` over all values: words (``p``), and line forms (``r``) with how often they intrude."""
     source = df.select(*fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,19 +620,14 @@ def statistics(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
                         continue
                     text = unicodedata.normalize("NFC", text)
                     lines = text.split("\n")
-                    if len(lines) == 1:
-                        raw.update(text.lower().replace("|", " ").split())
-                        continue
-                    raw.update(_BROKEN_END.sub(" ", text).lower().replace("|", " ").split())
-                    forms, rare = set(), set()
-                    for x, p in zip(lines, layout(lines)):
-                        if p and len(x) <= 100 and not p["low"] and not p["closed"]:
-                            k = line_form(x)
-                            forms.add(k)
-                            if odd(x, p):
-                                rare.add(k)
-                    seen.update(forms)
-                    strange.update(rare)
+                    raw.update((text if len(lines) == 1 else _BROKEN_END.sub(" ", text)).lower().replace("|", " ").split())
+                    if len(lines) > 1:
+                        for x, p in zip(lines, layout(lines)):
+                            if p is not None and not p[5]:
+                                k = line_form(x)
+                                seen[k] += 1
+                                if intrudes(x, p):
+                                    strange[k] += 1
             count: Counter = Counter()
             for w, n in raw.items():
                 count[w.strip(_OUTER)] += n
@@ -228,387 +638,183 @@ def statistics(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     return source.mapInArrow(run, "clase string, forma string, n bigint, raras bigint").groupBy("clase", "forma").agg(F.sum("n").alias("n"), F.sum("raras").alias("raras"))
 
 
-# -- the character editor
-
-
-def char_features(w: str, i: int) -> list[str]:
-    at = lambda k: w[k] if 0 <= k < len(w) else "_"
-    a, b, c, d, e = at(i - 2), at(i - 1), at(i), at(i + 1), at(i + 2)
-    return [f"c{c}", f"bc{b}{c}", f"cd{c}{d}", f"bcd{b}{c}{d}", f"abc{a}{b}{c}", f"cde{c}{d}{e}", f"abcd{a}{b}{c}{d}", f"bcde{b}{c}{d}{e}", f"abcde{a}{b}{c}{d}{e}"]
-
-
-def damage(word: str, rng: random.Random) -> list[tuple[str, str]]:
-    """``(read character, operation)`` of a word damaged in one place: K keep, D delete, R replace, I keep and insert after."""
-    ops = [(c, "K") for c in word]
-    kind = rng.random()
-    if kind < 0.85:
-        fits = [(p, r) for p, r in MISREAD if p in word]
-        if not fits:
-            return ops
-        printed, read = rng.choice(fits)
-        i = rng.choice([k for k, c in enumerate(word) if c == printed])
-        return ops[:i] + [(read[0], f"R{printed}")] + [(c, "D") for c in read[1:]] + ops[i + 1 :]
-    i = rng.randrange(1, len(word))
-    if kind < 0.93:  # a lost character
-        return ops[: i - 1] + [(word[i - 1], f"I{word[i]}")] + ops[i + 1 :]
-    return ops[:i] + [(rng.choice("'.`~1"), "D")] + ops[i:]
-
-
-def usual_readings(w: str) -> set[str]:
-    """The words that a word may stand for by one usual misreading with a telling form (several letters, a digit or a sign)."""
-    return {w[: m.start()] + p + w[m.end() :] for p, r in MISREAD if len(r) > 1 or not r.isalpha() for m in re.finditer(re.escape(r), w)}
-
-
-def fit_editor(vocabulary: dict[str, int]) -> Perceptron:
-    """An editor trained on frequent words, whole and damaged; words that are themselves usual misreadings teach nothing."""
-    rng = random.Random(11)
-    least = sum(vocabulary.values()) * TAUGHT
-    sound = (w for w, n in vocabulary.items() if n >= least and len(w) > 3 and w.isalpha() and not any(vocabulary.get(x, 0) >= USUAL * n for x in usual_readings(w)))
-    frequent = sorted(sound, key=lambda w: (-vocabulary[w], w))[:WORDS]
-    samples = []
-    for k in range(min(WORDS, 6 * len(frequent))):
-        w = frequent[k % len(frequent)]
-        ops = damage(w, rng)
-        read = "".join(c for c, _ in ops)
-        samples += [(char_features(read, i), op) for i, (_, op) in enumerate(ops)]
-    return Perceptron().fit(samples, 3)
-
-
-def apply(word: str, ops: list[str]) -> str:
-    out = []
-    for c, op in zip(word, ops):
-        out.append(c if op == "K" else "" if op == "D" else op[1:] if op[0] == "R" else c + op[1:])
-    return "".join(out)
-
-
-class Reader:
-    """Judges the lines of a value with the vocabulary and the two perceptrons."""
-
-    def __init__(self, vocabulary: dict[str, int], forms: dict[str, tuple[int, float]], lines: Perceptron, editor: Perceptron) -> None:
-        self.vocabulary, self.forms, self.lines, self.editor = vocabulary, forms, lines, editor
-        total = sum(vocabulary.values())
-        # No word is frequent enough to be the repair of one as frequent as ``sound``.
-        self.sound, self.whole, self.unknown = max(vocabulary.values(), default=0) / TIMES + 1, total * WHOLE, total * UNKNOWN
-        self.fine: dict[str, bool] = {}
-        self.tears: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, str | None] = {}
-        # Rare forms that intrude only now and then are text that recurs by chance.
-        often = {f: v for f, v in forms.items() if v[0] >= REPEATED and v[1] >= 0.3 and _LETTER.search(f)}
-        most = max((n for n, _ in often.values()), default=0)
-        self.furniture = [trigrams(f) for f, (n, share) in often.items() if share >= CLEAR or n * RARE >= most]
-        self.places: dict[str, list[int]] = defaultdict(list)  # the furniture forms that have a trigram
-        for k, f in enumerate(self.furniture):
-            for g in f:
-                self.places[g].append(k)
-        self.alike: dict[str, bool] = {}
-
-    def like_furniture(self, line: str) -> bool:
-        """True if a line shares most of its letters in sequence with a line that comes back as an intrusion."""
-        form = line_form(line)
-        if form not in self.alike:
-            if len(self.alike) > 200_000:
-                self.alike.clear()
-            own = trigrams(form)
-            # A form is like this one only if they share 3 of 7 of its trigrams, so one of the rarest of them; a form is like itself.
-            seen = sorted((g for g in own if g in self.places), key=lambda g: len(self.places[g]))
-            near = {k for g in seen[: max(0, len(seen) - (3 * len(own) + 6) // 7 + 1)] for k in self.places[g]}
-            self.alike[form] = any(2 * len(own & self.furniture[k]) >= 0.6 * (len(own) + len(self.furniture[k])) for k in near)
-        return self.alike[form]
-
-    def in_order(self, token: str) -> bool:
-        """True if a token needs no look by itself: a frequent word, or one that is no misreading."""
-        got = self.fine.get(token)
-        if got is None:
-            if len(self.fine) > 300_000:
-                self.fine.clear()
-            w = token.strip(_OUTER).lower()
-            got = self.count(w) >= self.sound or self.repaired(w) is None
-            self.fine[token] = got
-        return got
-
-    def torn(self, w: str, v: str) -> bool:
-        """True if two neighbouring words are the pieces of one."""
-        both = (w + v).lower()
-        least = min(self.count(w.lower()), self.count(v.lower()))
-        return least < self.whole and len(both) > 3 and v[:1].isalpha() and self.count(both) >= TIMES * max(least, 1) and bool(_LETTER.search(w))
-
-    def torn_tokens(self, a: str, b: str) -> bool:
-        """The same for two tokens, which have no mark between them."""
-        got = self.tears.get((a, b))
-        if got is None:
-            if len(self.tears) > 300_000:
-                self.tears.clear()
-            got = a[-1] not in _OUTER and b[0] not in _OUTER and self.torn(a.lstrip(_OUTER), b.rstrip(_OUTER))
-            self.tears[a, b] = got
-        return got
-
-    def count(self, word: str) -> int:
-        return self.vocabulary.get(word, 0)
-
-    def repaired(self, word: str) -> str | None:
-        """The word that a misread word stands for; None if it is in order or nothing better is known."""
-        w = word.lower()
-        if w not in self.cache:
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[w] = self._repaired(w)
-        return self.cache[w]
-
-    def _repaired(self, w: str) -> str | None:
-        n = self.count(w)
-        if len(w) < 3 or not _LETTER.search(w) or re.fullmatch(r"[a-z]{1,2}-?[0-9]+[a-z]?|[0-9.,]+[a-zº°]{0,2}|.*(?:www|@.*\.).*", w):
-            return None
-        least = max(n, 1) * TIMES + 1
-        marked = not w.isalpha()  # no word of a language has a digit or sign amid its letters
-        doubtful = marked or n < self.unknown
-        usual = usual_readings(w)
-        ranked = []
-        for i in range(len(w)):
-            s = self.editor.scores(char_features(w, i))
-            ranked.append(sorted(s, key=lambda c: (-s[c], c))[:5] or ["K"])
-        base = [r[0] for r in ranked]
-        tried = {w}
-        best: tuple[int, str] | None = None
-
-        def consider(ops: list[str]) -> None:
-            nonlocal best
-            got = apply(w, ops)
-            if got not in tried:
-                tried.add(got)
-                c = self.count(got)
-                if c >= least and (doubtful or c >= n * (USUAL if got in usual else OTHER)) and (best is None or c > best[0]):
-                    best = (c, got)
-
-        for got in sorted(usual):
-            if self.count(got) >= max(least, n * (TIMES if doubtful else USUAL)) and (best is None or self.count(got) > best[0]):
-                best = (self.count(got), got)
-        if best:
-            return best[1]
-        consider(base)
-        if best:
-            return best[1]
-        keep = ["K"] * len(w)
-        for start in (base, keep):
-            for i, options in enumerate(ranked):
-                for op in options:
-                    ops = [*start[:i], op, *start[i + 1 :]]
-                    consider(ops)
-                    if op[0] == "R" and i + 1 < len(w):
-                        consider([*ops[: i + 1], "D", *ops[i + 2 :]])
-        if best is None and marked:
-            best = self.lexical(w, least)
-        return best[1] if best else None
-
-    def lexical(self, w: str, least: int) -> tuple[int, str] | None:
-        """For a word with a mark or digit inside: the most frequent word with another letter, or none, in its place."""
-        best = None
-        for i, c in enumerate(w):
-            if c in "áéíóúñü" or (c.isalpha() and c.isascii()):
-                continue
-            for x in ("", *ALPHABET):
-                got = w[:i] + x + w[i + 1 :]
-                k = self.count(got)
-                if k >= least and (best is None or k > best[0]):
-                    best = (k, got)
-        return best
-
-    def judge(self, text: str) -> tuple[list[str], list[bool], list[bool], list[bool], dict[int, str]]:
-        """Lines of a value; which of them are noise, end within a word, and have a misread word; and repaired lines."""
-        lines = text.split("\n")
-        places = layout(lines)
-        noise = [False] * len(lines)
-        if len(lines) > 1:
-            for i, (x, p) in enumerate(zip(lines, places)):
-                if p:
-                    noise[i] = bare_number(x) or (
-                        not p["low"]
-                        and "|" not in x
-                        and (self.like_furniture(x) or (p["room"] and len(_LETTER.findall(x)) < SHORT))
-                        and self.lines.best(line_features(x, p, self.forms), "t") == "r"
-                    )
-        body = [i for i, x in enumerate(lines) if x.strip() and not noise[i]]
-        broken, misread = [False] * len(lines), [False] * len(lines)
-        repaired: dict[int, str] = {}
-        skip: dict[int, int] = {}
-        for k, i in enumerate(body):
-            line = lines[i]
-            j = body[k + 1] if k + 1 < len(body) else None
-            end = line.rstrip()
-            tokens = line.split()
-            if i not in skip and end[-1] not in BREAKS and "|" not in line and all(map(self.in_order, tokens)) and not any(map(self.torn_tokens, tokens, tokens[1:])):
-                repaired[i] = line
-                continue
-            words = words_of(line)
-            fixes: list[tuple[int, int, str]] = []
-            tail = None
-            if j is not None and end and end[-1] in BREAKS and len(end) > 1 and end[-2].isalpha():
-                m = re.search(r"(\S+)$", end[:-1])
-                head = m[1].lstrip(_OUTER)
-                nxt = words_of(lines[j])
-                if nxt and lines[j].lstrip()[: 1] == nxt[0][2][:1]:
-                    rest = nxt[0][2]
-                    whole, compound = (head + rest).lower(), f"{head}-{rest}".lower()
-                    joined = self.count(whole) > 0 or self.repaired(whole) is not None
-                    if not (self.count(compound) and not self.count(whole) > self.count(compound)) and (joined or rest[:1].islower()):
-                        broken[i] = True
-                        tail = (head, rest, j)
-                    elif self.count(compound):
-                        tail = (head, rest, j)
-                if words and end.endswith(words[-1][2]) or words and words[-1][1] >= len(end) - 1:
-                    words = words[:-1]
-            if tail:
-                head, rest, j = tail
-                if broken[i]:
-                    fixed = self.repaired(head + rest)
-                    if fixed:
-                        same = 0
-                        h = head.lower()
-                        while same < min(len(h), len(fixed)) and h[same] == fixed[same]:
-                            same += 1
-                        misread[i if same < len(h) else j] = True
-                skip[j] = 1
-            if j is None and words and words[-1][2].isalpha() and not re.search(r"[.:;)\]\"»]\s*$", line) or end.endswith("..."):
-                words = words[:-1]  # the last word of a value that nothing closes may have lost its end, which is no misreading
-            counts = [self.vocabulary.get(w.lower(), 0) for _, _, w in words]
-            a = skip.get(i, 0)
-            if not counts or min(counts[a:], default=math.inf) >= max(self.sound, self.whole):
-                a = len(words)
-            while a < len(words):
-                s, e, w = words[a]
-                n = counts[a]
-                if a + 1 < len(words) and min(n, counts[a + 1]) < self.whole:
-                    t, u, v = words[a + 1]
-                    if not line[e:t].strip() and self.torn(w, v):
-                        misread[i] = True
-                        fixes.append((s, u, w + v))
-                        a += 2
-                        continue
-                got = self.repaired(w) if n < self.sound else None
-                if got:
-                    misread[i] = True
-                    fixes.append((s, e, got.upper() if w.isupper() and len(w) > 1 else got.capitalize() if w[:1].isupper() else got))
-                a += 1
-            out, last = [], 0
-            for s, e, x in sorted(fixes):
-                out += [line[last:s], x]
-                last = e
-            repaired[i] = "".join([*out, line[last:]])
-        return lines, noise, broken, misread, repaired
-
-    def repair(self, text: str) -> str:
-        """The value as continuous paragraphs: noise left out, broken words joined, misread words replaced."""
-        lines, noise, broken, _, repaired = self.judge(text)
-        if len(lines) == 1:
-            return repaired.get(0, text)
-        out = ""
-        glue = ""
-        for i, x in enumerate(lines):
-            if noise[i]:
-                continue
-            if not x.strip():
-                continue
-            t = " ".join(repaired[i].split())
-            opens = re.match(r"(?:\(?[0-9]{1,3}[.)]|\[[0-9]+\]|[-•])\s", t) and (not out or out.rstrip()[-1:] in ".:;")
-            out += ("\n" if out and opens and glue == " " else glue if out else "") + t
-            glue = " "
-            if broken[i]:
-                out, glue = out.rstrip()[:-1], ""
-            elif out[-1:] == "-" and i + 1 < len(lines):
-                glue = ""
-        return out
-
-
-def fit(df: DataFrame, fields: tuple[str, ...], key: str) -> Reader:
-    """Statistics over all records, then the two perceptrons on bounded samples."""
+def fit(df: DataFrame, fields: tuple[str, ...]) -> tuple[Reader, DataFrame]:
+    """The reader and the whole table of word counts ``(forma, n)``."""
     counts = cut(statistics(spread(df.select(*fields)), fields))
-    rows = counts.where("clase = 'p'").orderBy(F.desc("n"), "forma").limit(VOCABULARY).collect()
-    vocabulary = {r["forma"]: r["n"] for r in rows}
-    rows = counts.where(f"clase = 'r' and n >= {REPEATED} and length(forma) > 0").orderBy(F.desc("n"), "forma").limit(FORMS).collect()
-    forms = {r["forma"]: (r["n"], r["raras"] / r["n"]) for r in rows}
+    totals = {r["clase"]: r["n"] for r in counts.groupBy("clase").agg(F.sum("n").alias("n")).collect()}
+    words, forms = totals.get("p", 0), totals.get("r", 0)
+    frequent = counts.where((F.col("clase") == "p") & (F.col("n") >= words * UNKNOWN)).select("forma", "n").collect()  # at most 1 / UNKNOWN rows
+    often = counts.where((F.col("clase") == "r") & (F.col("n") >= max(2.0, forms * FORM)) & (F.col("forma") != "")).select("forma", "n", "raras").collect()  # at most 1 / FORM rows
+    furniture = Furniture({r["forma"]: (r["n"], r["raras"] / r["n"]) for r in often})
+    # A bounded sample of values to label: in the order of a hash, so that runs agree.
     several = df.select(F.explode(F.array(*fields)).alias("t")).where("t like '%\n%'")
-    # A bounded sample of labelled lines: whole values in the order of a hash, so that runs agree.
     texts = [r["t"] for r in several.withColumn("h", F.xxhash64("t")).orderBy("h").limit(LINES // 12).select("t").collect()]
-    return Reader(vocabulary, forms, fit_lines(texts, forms), fit_editor(vocabulary))
+    common = {r["forma"]: r["n"] for r in frequent}
+    editor = fit_editor(common, {w: n for w, n in common.items() if "-" in w})
+    return Reader(common, words, furniture, fit_lines(texts, furniture), editor), counts.where("clase = 'p'").select("forma", "n")
 
 
-def fit_lines(texts: list[str], forms: dict[str, tuple[int, float]]) -> Perceptron:
-    """A perceptron for lines that intrude, on labels that the corpus gives itself.
+def found_terms(df: DataFrame, held, key: str, fields: tuple[str, ...]) -> DataFrame:
+    """``(key, huella, huella2, campo, ...)``: what :meth:`Reader.findings` says of all values; the two hashes name the row."""
+    named = df.select(key, F.xxhash64(key, *fields).alias("_a"), F.hash(key, *fields).alias("_b"), *fields)
+    types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
 
-    Noise: lines without letters, and odd lines whose form comes back in several records where it is odd too. Text: lines
-    that begin in lower case or are closed, and lines that fill the width. Other lines teach nothing.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = held.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                b = whole.slice(start, 500)
+                texts, places = [], []
+                for name, column in zip(fields, b.columns[3:]):
+                    for row, text in enumerate(column.to_pylist()):
+                        if text and not text.isspace():
+                            texts.append(text)
+                            places.append((row, name))
+                got = list(reader.findings(texts))
+                at = pa.array([places[g[0]][0] for g in got], pa.int64())
+                columns = [[places[g[0]][1] for g in got], [g[1] + 1 for g in got], [g[2] + 1 for g in got], *[[g[i] for g in got] for i in range(3, 8)]]
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.take(at) for c in b.columns[:3]], *map(pa.array, columns, types)], names=[key, "_a", "_b", "campo", "linea", "sigue", "clase", "termino", "desde", "hasta", "arreglo"]
+                )
+
+    return named.mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, _a bigint, _b int, {_FOUND}")
+
+
+def verdicts(terms: DataFrame, words: DataFrame, held) -> DataFrame:
+    """``(clase, termino, vale, arreglo)`` of different terms: whether it is a finding, and the repaired word if it is misread.
+
+    The editor names the repairs of a term; each word that no broadcast count settles meets its count in one join on the word.
     """
-    samples = []
-    for t in texts:
-        lines = t.split("\n")
-        for x, p in zip(lines, layout(lines)):
-            if not p or len(samples) >= LINES:
-                continue
-            n, share = forms.get(line_form(x), (0, 0.0))
-            if bare_number(x) or (n >= REPEATED and share >= 0.3 and not p["low"] and not p["closed"]):
-                label = "r"
-            elif p["low"] or p["closed"] or (n < REPEATED and not p["room"]):
-                label = "t"
-            else:
-                continue
-            samples.append((line_features(x, p, forms), label))
-            if label == "r":  # the same line misread: its count is lost, its letters nearly the same
-                y = list(x)
-                rng = random.Random(len(samples))
-                k = rng.randrange(len(y))
-                y[k] = rng.choice("1~.Iao")
-                samples.append((line_features("".join(y) if "".join(y).strip() else x, p, {}), label))
-    return Perceptron().fit(samples, 4)
-
-
-def _reader(df: DataFrame, fields: tuple[str, ...], key: str):
-    return df.sparkSession.sparkContext.broadcast(fit(df, fields, key))
 
-
-FIELDS = ("cuerpo", "notas_al_pie", "antecedentes")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = held.value
+        names, types = ["clase", "termino", "papel", "forma", "n", "margen", "arreglo"], [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.string()]
+        for b in batches:
+            rows: list[tuple] = []
+
+            def ask(kind, term, role, word, margin=None, fix=None, rows=rows):
+                n = reader.common.get(word)
+                rows.append((kind, term, role, None if n else word, n, margin, fix))
+
+            asked: dict[str, list[tuple[str, str]]] = defaultdict(list)
+            for kind, term in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == "t":
+                    x, y = term.split(" ")
+                    for role, w in (("a", x), ("b", y), ("propia", x + y)):
+                        ask(kind, term, role, w)
+                else:
+                    word = term if kind == "w" else "".join(term.split("\n"))
+                    ask(kind, term, "propia", word)
+                    if kind == "j":
+                        ask(kind, term, "compuesta", "-".join(term.split("\n")[:2]))
+                    if readable(word):
+                        asked[word].append((kind, term))
+            for word, found in reader.editor.best_edits(list(asked)):
+                for kind, term in asked[word]:
+                    for fix, margin in found.items():
+                        ask(kind, term, "arreglo", fix, margin, fix)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
+    schema = "clase string, termino string, papel string, forma string, n bigint, margen double, arreglo string"
+    asked = cut(terms.mapInArrow(run, schema))
+    settled = asked.where("forma is null").drop("forma")
+    joined = asked.where("forma is not null").drop("n").join(words, "forma", "left").drop("forma").select(*settled.columns)
+    count = lambda role: F.coalesce(F.max(F.when(F.col("papel") == role, F.col("n"))), F.lit(0))
+    whole = held.value.whole
+    per = settled.unionByName(joined).groupBy("clase", "termino").agg(
+        count("propia").alias("propia"), count("compuesta").alias("compuesta"), count("a").alias("a"), count("b").alias("b"),
+        F.collect_list(F.when((F.col("papel") == "arreglo") & (F.col("n") > 0), F.struct("margen", "n", "arreglo"))).alias("x"),
+    )
+    valid = F.filter("x", lambda e: e["n"] > F.greatest(F.col("propia"), F.lit(1)) * TIMES)
+    least = F.least("a", "b")
+    per = per.withColumn("arreglo", F.array_max(valid)["arreglo"])
+    rest_low = ~F.col("termino").endswith("\n")
+    return per.select(
+        "clase", "termino", "arreglo",
+        F.when(F.col("clase") == "w", F.col("arreglo").isNotNull())
+        .when(F.col("clase") == "t", (least < whole) & (F.col("propia") >= F.greatest(least, F.lit(1)) * TIMES))
+        .otherwise(~((F.col("compuesta") > 0) & (F.col("propia") <= F.col("compuesta"))) & ((F.col("propia") > 0) | F.col("arreglo").isNotNull() | rest_low)).alias("vale"),
+    )
+
+
+def judged(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
+    """The findings of all values, with those terms that are found out to be misread, torn or broken words."""
+    reader, words = fit(df, fields)
+    held = df.sparkSession.sparkContext.broadcast(reader)
+    found = cut(found_terms(spread(df.select(key, *fields)), held, key, fields))
+    sure = found.where("clase not in ('w', 't', 'j')")
+    doubtful = found.where("clase in ('w', 't', 'j')").withColumnRenamed("arreglo", "escrita")
+    verdict = verdicts(doubtful.select("clase", "termino").distinct(), words, held).where("vale").drop("vale")
+    told = doubtful.join(verdict, ["clase", "termino"])
+    one = told.where("clase in ('w', 't')").select(
+        key, "_a", "_b", "campo", "linea", "sigue", F.lit("lectura").alias("clase"), "termino", "desde", "hasta", F.coalesce("escrita", "arreglo").alias("arreglo")
+    )
+    broken = told.where("clase = 'j'")
+    whole = F.coalesce("arreglo", F.replace("termino", F.lit("\n"), F.lit("")))
+    ends = broken.select(key, "_a", "_b", "campo", "linea", "sigue", F.lit("corte").alias("clase"), "termino", "desde", "hasta", F.lit(None).cast("string").alias("arreglo"))
+    head = F.substring_index("termino", "\n", 1)
+    misread = broken.where("arreglo is not null").select(
+        key, "_a", "_b", "campo", F.when(F.startswith("arreglo", head), F.col("sigue")).otherwise(F.col("linea")).alias("linea"), "sigue", F.lit("lectura").alias("clase"), "termino",
+        F.lit(0).alias("desde"), F.lit(0).alias("hasta"), F.lit(None).cast("string").alias("arreglo"),
+    )
+    return sure.unionByName(one).unionByName(ends).unionByName(misread)
 
 
 def noisy_lines(df: DataFrame, key: str = "circular_id", fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """``(key, campo, linea, clase)``: one row per finding in a line; lines count from 1 over the value split at line feeds.
+    """``(key, campo, linea, clase)``: one row per different finding in a line; lines count from 1 over the value split at line feeds.
 
     ``ruido``: a non-blank line that is no part of the text; ``corte``: the last word goes on in the next line of text;
-    ``lectura``: a misread or torn word. Null, empty and blank values give no row.
+    ``lectura``: a misread or torn word. Null, empty and blank values give no row; rows repeated exactly give their findings once.
     """
-    held = _reader(df, fields, key)
-    source = spread(df.select(key, *fields))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = held.value
-        for b in batches:
-            at, names, numbers, kinds = [], [], [], []
-            for name, column in zip(fields, b.columns[1:]):
-                for row, text in enumerate(column.to_pylist()):
-                    if not text or not text.strip():
-                        continue
-                    _, noise, broken, misread, _ = reader.judge(text)
-                    for flags, kind in ((noise, "ruido"), (broken, "corte"), (misread, "lectura")):
-                        for i, f in enumerate(flags):
-                            if f:
-                                at.append(row)
-                                names.append(name)
-                                numbers.append(i + 1)
-                                kinds.append(kind)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at, pa.int64())), pa.array(names, pa.string()), pa.array(numbers, pa.int32()), pa.array(kinds, pa.string())],
-                names=[key, "campo", "linea", "clase"],
-            )
-
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, campo string, linea int, clase string")
+    return judged(df, key, fields).select(key, "campo", "linea", "clase").distinct()
+
+
+def paragraphs(text: str, found: list[dict]) -> str:
+    """The value as continuous paragraphs: noise left out, broken words joined, misread words replaced."""
+    lines = text.split("\n")
+    noise, broken = {f["linea"] for f in found if f["clase"] == "ruido"}, {f["linea"]: f for f in found if f["clase"] == "corte"}
+    fixes: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
+    for f in found:
+        if f["clase"] == "lectura" and f["arreglo"] is not None:
+            fixes[f["linea"]].append((f["desde"], f["hasta"], f["arreglo"]))
+    out, glue = "", ""
+    for i, x in enumerate(lines, 1):
+        if i in noise or not x.strip():
+            continue
+        pieces, last = [], 0
+        for a, b, w in sorted(fixes[i], key=lambda t: (t[0], -t[1])):  # of two repairs of one place the longer one holds
+            if a >= last:
+                pieces += [x[last:a], cased(w, x[a:b].replace(" ", "")) if w.islower() else w]
+                last = b
+        repaired = "".join([*pieces, x[last:]])
+        if len(lines) == 1:
+            return repaired
+        t = " ".join(repaired.split())
+        opens = re.match(r"(?:\(?[0-9]{1,3}[.)]|\[[0-9]+\]|[-•])\s", t) and (not out or out.rstrip()[-1:] in ".:;")
+        out += ("\n" if out and opens and glue == " " else glue if out else "") + t
+        glue = " "
+        if i in broken:
+            out, glue = out.rstrip()[:-1], ""
+        elif out[-1:] == "-" and i < len(lines):
+            glue = ""
+    return out
 
 
 def repaired(df: DataFrame, key: str = "circular_id", fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """``(key, *fields)`` with each value as continuous readable paragraphs; null and blank values stay as they are."""
-    held = _reader(df, fields, key)
-    source = spread(df.select(key, *fields))
+    """``(key, *fields)`` with each value as continuous readable paragraphs; null and blank values stay as they are.
+
+    The findings of a row are gathered under its hashes, a group no larger than the row itself, and joined to it.
+    """
+    found = judged(df, key, fields)
+    group = found.groupBy("_a", "_b").agg(F.collect_set(F.struct("campo", "linea", "clase", "desde", "hasta", "arreglo")).alias("_f"))
+    rows = df.select(key, F.xxhash64(key, *fields).alias("_a"), F.hash(key, *fields).alias("_b"), *fields).join(group, ["_a", "_b"], "left").select(key, *fields, "_f")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = held.value
         for b in batches:
-            columns = [pa.array([reader.repair(t) if t and t.strip() else t for t in c.to_pylist()], pa.string()) for c in b.columns[1:]]
+            notes = b.column(len(fields) + 1).to_pylist()
+            columns = []
+            for name, c in zip(fields, b.columns[1:]):
+                columns.append(pa.array([paragraphs(t, [f for f in n or () if f["campo"] == name]) if t and not t.isspace() else t for t, n in zip(c.to_pylist(), notes)], pa.string()))
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=[key, *fields])
 
-    return source.mapInArrow(run, ", ".join([f"{key} {source.schema[key].dataType.simpleString()}", *[f"{f} string" for f in fields]]))
+    return rows.mapInArrow(run, ", ".join([f"{key} {df.schema[key].dataType.simpleString()}", *[f"{f} string" for f in fields]]))
