@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from acervo.session import cut, spread
 
 #: Labelled lines and damaged words on which the perceptrons are fitted.
-LINES, WORDS = 24_000, 24_000
+LINES, WORDS = 12_000, 14_000
 #: A repair must be this many times as frequent as an unknown word or one with a mark inside, and this many times as frequent as a known word.
 TIMES, KNOWN_TIMES = 8, 20
 #: Shares of all words: a word is known, and may teach the editor, from UNKNOWN on, and one as frequent as WHOLE is no piece of a torn
@@ -102,7 +102,7 @@ class Perceptron:
         if not len(labels):
             return self
         ids = np.searchsorted(self.keys, features)
-        w, u = np.zeros((n + 1, c), np.float32), np.zeros((n + 1, c), np.float64)
+        w, u = np.zeros((n + 1, c), np.float32), np.zeros((n + 1, c), np.float32)
         rng, step = np.random.default_rng(seed), 0
         for _ in range(epochs):
             order = rng.permutation(len(labels))
@@ -118,7 +118,7 @@ class Perceptron:
                         cls = np.repeat(classes, x.shape[1])
                         np.add.at(w, (f, cls), d)
                         np.add.at(u, (f, cls), d * step)
-        w = (w - u / (step + 1)).astype(np.float32)
+        w -= u / np.float32(step + 1)
         told = np.abs(w[:-1]).max(1) >= SLIGHT  # features that hardly say anything are forgotten
         self.keys, self.weights = self.keys[told], w[np.append(told, True)]
         return self
@@ -141,13 +141,14 @@ WINDOWS = ((0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2), (2, 1), (1, 2), (2, 2
 _PAD = 6
 
 
-def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all characters of some words, one word after the other, and where each word begins."""
+def characters(words: list[str], only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all characters of some words (or of ``only`` some), one word after the other, and where each word begins."""
     joined = "\0" * _PAD + ("\0" * _PAD).join(words) + "\0" * _PAD
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     begins = np.concatenate([[0], np.cumsum(lengths)])
     at = np.arange(begins[-1]) + np.repeat(np.arange(1, len(words) + 1) * _PAD, lengths)
+    at = at if only is None else at[only]
     return np.stack([mixed([codes[at + k] for k in range(-a, b + 1)], i) for i, (a, b) in enumerate(WINDOWS)], 1), begins
 
 
@@ -289,9 +290,11 @@ def fit_editor(words: dict[str, int], compounds: dict[str, int]) -> Editor:
     if not samples:
         return Editor(classes)
     place = {c: i for i, c in enumerate(classes)}
-    features, _ = characters(["".join(c for c, _ in s) for s in samples])
     labels = np.array([place[o] for s in samples for _, o in s])
-    return Editor(classes).fit(features, labels, 4)
+    # Of a sample with a blank or line end only the character that stands for it teaches.
+    tells = np.array([not gap or c in " \n" for s in samples for gap in (any(c in " \n" for c, _ in s),) for c, _ in s])
+    features, _ = characters(["".join(c for c, _ in s) for s in samples], tells)
+    return Editor(classes).fit(features, labels[tells], 4)
 
 
 def misread_of(w: str) -> set[str]:
