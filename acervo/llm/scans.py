@@ -61,7 +61,7 @@ _WORD = re.compile(r"[^\s|]+")
 _OUTER = "\"'«»“”()[]{},;:.¿?¡!|…*•"
 _LETTER = re.compile(r"[^\W\d_]")
 _BROKEN_END = re.compile(rf"\S*[{BREAKS}][ \t\r]*(?:\n|\Z)")
-_ACCENTS = str.maketrans("áéíóúüñàèìòù", "aeiouunaeiou")
+_DIGITS = re.compile("[0-9]+")
 _NOT_WORD = re.compile(r"[a-z]{1,2}-?[0-9]+[a-z]?|[0-9.,]+[a-zº°]{0,2}|.*(?:www|@.*\.).*")
 _CLOSED_END = re.compile(r"[.:;)\]\"»]\s*$")
 
@@ -306,8 +306,8 @@ def misread_of(w: str) -> set[str]:
 
 
 def line_form(line: str) -> str:
-    """A line without differences of case, accents, digits and blanks."""
-    return re.sub(r"\s+", " ", re.sub(r"[0-9]+", "9", line.lower().translate(_ACCENTS))).strip()
+    """A line without differences of case, digits and blanks."""
+    return " ".join(_DIGITS.sub("9", line.lower()).split())
 
 
 def trigrams(form: str) -> frozenset[str]:
@@ -393,9 +393,9 @@ class Furniture:
             self.alike[form] = got
         return got
 
-    def features(self, line: str, p: Place) -> tuple[int, ...]:
+    def features(self, line: str, form: str, p: Place) -> tuple[int, ...]:
         """Features of a line: its place, its characters, and how it recurs."""
-        form, s = line_form(line), line.strip()
+        s = line.strip()
         n, share = self.forms.get(form, (0, 0.0))
         like = self.likeness(form)
         letters = len(_LETTER.findall(s))
@@ -408,9 +408,9 @@ class Furniture:
         )
         return tuple(hash((i, *map(int, x))) & 0xFFFFFFFFFFFFFFFF for i, x in enumerate(parts))
 
-    def candidate(self, line: str, p: Place) -> bool:
+    def candidate(self, line: str, form: str, p: Place) -> bool:
         """True if a line may be furniture: it leaves room, is bare, or is like a form that intrudes."""
-        return p[0] or p[1] or self.likeness(line_form(line)) > 0 or bare(line)
+        return p[0] or p[1] or self.likeness(form) > 0 or bare(line)
 
 
 def fit_lines(texts: list[str], furniture: Furniture) -> Perceptron:
@@ -426,7 +426,8 @@ def fit_lines(texts: list[str], furniture: Furniture) -> Perceptron:
         for x, p in zip(lines, layout(lines)):
             if p is None or len(labels) >= LINES:
                 continue
-            like = furniture.likeness(line_form(x))
+            form = line_form(x)
+            like = furniture.likeness(form)
             letters = len(_LETTER.findall(x))
             if bare(x) or (like >= 0.9 and not p[5]):
                 labels.append(1)
@@ -434,13 +435,13 @@ def fit_lines(texts: list[str], furniture: Furniture) -> Perceptron:
                 labels.append(0)
             else:
                 continue
-            features.append(furniture.features(x, p))
+            features.append(furniture.features(x, form, p))
             if labels[-1]:  # the same line misread: its count is lost, its letters nearly the same
                 y = list(x)
                 for _ in range(1 + len(y) // 20):
                     y[rng.randrange(len(y))] = rng.choice("1~.Iao")
                 if "".join(y).strip():
-                    features.append(furniture.features("".join(y), p))
+                    features.append(furniture.features("".join(y), line_form("".join(y)), p))
                     labels.append(1)
     width = len(features[0]) if features else 1
     return Perceptron(["t", "r"]).fit(np.array(features, np.uint64).reshape(len(features), width), np.array(labels, np.int64), 5, 16)
@@ -499,9 +500,9 @@ class Reader:
         for k, lines in enumerate(values):
             if len(lines) > 1:
                 for i, p in enumerate(layout(lines)):
-                    if p is not None and self.furniture.candidate(lines[i], p):
+                    if p is not None and self.furniture.candidate(lines[i], form := line_form(lines[i]), p):
                         at.append((k, i))
-                        rows.append(self.furniture.features(lines[i], p))
+                        rows.append(self.furniture.features(lines[i], form, p))
         if rows:
             for (k, i), best in zip(at, self.lines.scores(np.array(rows, np.uint64)).argmax(1)):
                 out[k][i] = best == 1
