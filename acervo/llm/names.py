@@ -1,29 +1,33 @@
 """Variant spellings of names typed by people: linking those that name the same person or office.
 
-Method: pigeonhole segment join. The parts of the names (surnames, given names, words of offices, places) are cut into two
-segments; position-shifted substrings of each part are looked up in the inverted index of segments, and what is found is
-verified with a banded edit distance (one edit, a swap of neighbours counting as one). A misspelt part takes the form of
-its best supported neighbour. Names are then compared part by part: order, titles, initials, nicknames and missing second
-parts don't matter, different given names with the same surnames are relatives and stay apart.
-
-Everything runs over different strings, which are counted first; every join is on keys with at most one row per key on one
-side, so a common surname costs no more than its strings. Pairs are made only within one entity, as the result asks.
+Method: pigeonhole segment join. Each string is normalised to one name (case, accents, titles, order of the parts, nicknames, kinds of
+offices); these whole names, and the shorter forms that a full name may be written in (initials, no second part), are cut into k + 1 = 2
+segments that go into an inverted index; each name looks up its own position-shifted substrings there, for the lengths that one edit
+allows, and what is found is verified with a banded edit distance. One edit is tolerated, a swap of neighbours counting as one; a third
+key, the outer quarters, finds the swaps and edits across the border of the two segments. All links are made so, also those between names
+that are equal once normalised: a full name takes the best supported full name within one edit, any other name the only full name
+that has such a form. Different given names with the same surnames are relatives and stay apart.
+
+Everything runs over different normalised names, which are counted first. A segment that very many names share is split: its entries
+are copied to as many salts as its size asks for, and the names that look it up are dealt over them. Pairs are made only within one
+entity, as the result asks.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm.lexicon import FOLD, GIVEN, NICKNAMES
-from acervo.session import cut
+from acervo.session import cut, small
 
-#: Shortest part in which an edit is tolerated.
-LEAST = 4
+#: Shortest name (without its kind) in which an edit is tolerated; entries of one segment that one task takes.
+LEAST, HOT = 4, 1000
 
 PERSONS, OFFICES = ("nombre_firmante",), ("emisor", "destinatarios")
 
@@ -51,58 +55,98 @@ COMMON = frozenset(
 
 GIVEN_SET = frozenset(GIVEN)
 NICK = {k.translate(FOLD): v for k, v in NICKNAMES.items()}
+ALL_GIVEN = GIVEN_SET | frozenset(NICK)
+OFFICE_WORDS = COMMON | frozenset().union(*(known for _, known in ROLES))
 
 
 def fold(text: str) -> str:
     return text.lower().translate(FOLD)
 
 
-def words(name: str, person: bool) -> tuple[list[str], int]:
-    """Folded parts of a name in natural order, and how many of them stood behind a comma (persons; -1 without comma)."""
-    t = re.sub(r"\b((?:[a-z]\.){2,})", lambda m: m[1].replace(".", "") + " ", fold(name)) if not person else fold(name)
+@lru_cache(maxsize=200_000)
+def near(word: str, known: frozenset[str], least: int) -> str | None:
+    """The only known word within one edit (a swap of neighbours is one) of a word; the word itself if it is known."""
+    if word in known:
+        return word
+    if len(word) < least:
+        return None
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+    edits = {a + b[1:] for a, b in cuts if b} | {a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1}
+    edits |= {a + c + b[1:] for a, b in cuts if b for c in letters} | {a + c + b for a, b in cuts for c in letters}
+    got = {e for e in edits if e in known}
+    return got.pop() if len(got) == 1 else None
+
+
+def words(name: str, person: bool) -> tuple[list[str], int, bool]:
+    """Folded parts of a name in natural order, how many of them stood behind a comma (persons; -1 without comma), and if it had a title."""
+    t = fold(name) if person else re.sub(r"\b((?:[a-z]\.){2,})", lambda m: m[1].replace(".", "") + " ", fold(name))
     split = lambda x: re.findall(r"[^\W_]+", x)
-    if person and "," in t:
-        last, first = t.split(",", 1)
-        a = [w for w in split(first) if w not in TITLES or len(w) == 1]
-        return a + [w for w in split(last) if w not in TITLES], len(a)
-    got = split(t)
-    if person:
-        got = [w for i, w in enumerate(got) if w not in TITLES or (len(w) == 1 and i)]
-    return got, -1
-
-
-def parse_person(parts: list[str], behind: int) -> tuple[list[str], str | None, list[str], str | None]:
-    """``(first given names, second given name, surname, second surname)``; initials stay single letters."""
+    if not person:
+        return split(t), -1, False
+    last, comma, first = t.partition(",")
+    every = [split(x) for x in ((first, last) if comma else (last,))]
+    kept = [[w for i, w in enumerate(ws) if w not in TITLES or (len(w) == 1 and (i or comma))] for ws in every]
+    return sum(kept, []), len(kept[0]) if comma else -1, sum(map(len, kept)) < sum(map(len, every))
+
+
+def given(word: str) -> str | None:
+    """The given name or nickname that a part is, or is one edit away from."""
+    return near(word, ALL_GIVEN, 4) or (near(word, ALL_GIVEN, 3) if len(word) == 3 else None)
+
+
+def parse_person(parts: list[str], behind: int, titled: bool) -> tuple[list[str], str | None, list[str]]:
+    """``(meanings of the first given name, second given name, surnames)``; initials stay single letters.
+
+    Without a comma the given names are told from surnames by the list of given names (as written, then within one edit), else by their place:
+    three parts or more begin with a given name, as do two without a title; two behind a title are surnames.
+    """
     parts = [p for p in parts if p not in PARTICLES]
     if behind >= 0:
-        given, rest = parts[:behind], parts[behind:]
+        first, rest = parts[:behind], parts[behind:]
     else:
-        is_given = [p in GIVEN_SET or p in NICK for p in parts]
-        full = [i for i, p in enumerate(parts) if not is_given[i] and len(p) > 1]
-        if not full:
-            given, rest = parts[:1], parts[1:]
+        is_given = [p in ALL_GIVEN for p in parts]
+        if not any(is_given):
+            is_given = [given(p) is not None and (len(parts) > 2 or i == 0) for i, p in enumerate(parts)]
+        whole = [i for i, p in enumerate(parts) if not is_given[i] and len(p) > 1]
+        if not whole:
+            first, rest = parts[:1], parts[1:]
         elif is_given[-1] and not is_given[0] and len(parts[0]) > 1:  # surnames first
             k = next(i for i, g in enumerate(is_given) if g)
-            given, rest = parts[k:], parts[:k]
+            first, rest = parts[k:], parts[:k]
         elif len(parts[-1]) == 1 and not any(is_given) and len(parts[0]) > 1:  # surnames and an initial
-            given, rest = parts[-1:], parts[:-1]
+            first, rest = parts[-1:], parts[:-1]
+        elif whole[0] == 0 and titled and len(parts) == 2:
+            first, rest = [], parts
+        elif whole[0] == 0:
+            first, rest = parts[:1], parts[1:]
         else:
-            given, rest = parts[: full[0]], parts[full[0] :]
-    first = given[0] if given else None
-    given = given[:1] + [g for g in given[1:] if first not in NICK.get(g, ())]  # a nickname beside its given name
-    names = list(NICK.get(first, (first,))) if first else []
-    return names, (given[1] if len(given) > 1 else None), rest[:1], (rest[1] if len(rest) > 1 else None)
-
-
-def parse_office(parts: list[str]) -> str | None:
-    """Key of an office: its kind and what is left of its name; None for names of no office."""
-    held = set(parts)
-    role = next((r for r, known in ROLES if held & known), None)
-    if role == "distribucion" or not parts:
+            k = whole[0]
+            if len(parts) - k > 2 and k == 1 and given(parts[k]) and len(parts[k]) > 3:  # a misspelt second given name
+                k += 1
+            first, rest = parts[:k], parts[k:]
+    first = [p if len(p) == 1 else given(p) or p for p in first]
+    main = first[0] if first else None
+    more = [g for g in first[1:] if main not in NICK.get(g, ())]  # a nickname beside its given name
+    return list(NICK.get(main, (main,))) if main else [], (more[0] if more else None), rest
+
+
+def parse_office(parts: list[str]) -> tuple[str, str] | None:
+    """``(kind, rest of the name)`` of an office; None for names of no office. Misspelt and torn words of offices are known."""
+    words: list[str] = []
+    for p in parts:
+        if words and p not in OFFICE_WORDS and words[-1] not in OFFICE_WORDS and near(words[-1] + p, OFFICE_WORDS, 99):
+            words[-1] += p
+        else:
+            words.append(p)
+    words = [near(w, OFFICE_WORDS, 5) or w for w in words]
+    held = set(words)
+    kind = next((r for r, known in ROLES if held & known), None)
+    if kind == "distribucion" or not words:
         return None
-    if role is None:
-        return "?|" + " ".join(sorted(held - {"de", "del", "la", "las", "los", "el", "y"}))
-    return role + "|" + " ".join(p for p in parts if p not in COMMON)
+    if kind is None:
+        return "?", " ".join(sorted(held - {"de", "del", "la", "las", "los", "el", "y"}))
+    return kind, "".join(w for w in words if w not in COMMON)
 
 
 # -- the segment join
@@ -111,234 +155,222 @@ def parse_office(parts: list[str]) -> str | None:
 def _swapped(a: Column, b: Column) -> Column:
     """True if swapping two neighbours turns one string into the other."""
     at = lambda i: F.concat(F.substring(b, F.lit(1), i - 1), F.substring(b, i + 1, F.lit(1)), F.substring(b, i, F.lit(1)), F.substring(b, i + 2, F.length(b)))
-    return (F.length(a) == F.length(b)) & F.exists(F.sequence(F.lit(1), F.length(b) - 1), lambda i: a == at(i))
+    return (F.length(a) == F.length(b)) & (F.length(b) > 1) & F.exists(F.sequence(F.lit(1), F.greatest(F.length(b) - 1, F.lit(1))), lambda i: a == at(i))
 
 
-def similar_parts(parts: DataFrame) -> DataFrame:
-    """``(a, b)``, a < b: the different values of ``parte`` within one edit of each other.
+def segment_join(names: DataFrame, index: DataFrame) -> DataFrame:
+    """``(grupo, a, b, d)``: names ``a`` of ``names (grupo, a)`` and entries ``b`` of ``index (grupo, b)`` of one group within ``d`` = 0 or 1 edits.
 
-    Two strings within one edit share one of two segments, shifted by at most one place; a swap across the border of the
-    segments is found through the swapped prefix. Candidates are verified with an edit distance banded to the threshold.
+    Both sides are different strings per group. A name of n characters is cut into its first n/2 characters and the rest; whoever is within one
+    edit of it has one of the two segments whole, shifted by at most the difference of the lengths, or, if the edit or swap lies on the
+    border, its outer quarters. Names shorter than :data:`LEAST` meet only their equals.
     """
-    p = parts.select("parte").where(F.length("parte") >= LEAST).distinct()
-    n = F.length("parte")
-    half = F.floor(n / 2).cast("int")
-    index = p.select(
-        F.col("parte").alias("b"),
-        F.explode(F.array(
-            F.struct(n.alias("n"), F.lit(0).alias("k"), F.substring("parte", F.lit(1), half).alias("s")),
-            F.struct(n.alias("n"), F.lit(1).alias("k"), F.substring("parte", half + 1, n - half).alias("s")),
-        )).alias("e"),
-    ).select("b", "e.*")
-    looked = []
-    for d in (-1, 0, 1):  # lengths of the partner
+    n = F.length("b")
+    half, quarter = F.floor(n / 2).cast("int"), F.floor(n / 4).cast("int")
+    key = lambda n, k, s: F.struct(n.cast("int").alias("n"), F.lit(k).alias("k"), s.alias("s"))
+    long = n >= LEAST
+    entries = index.select(
+        "grupo", "b", F.explode(F.array_compact(F.array(
+            F.when(long, key(n, 0, F.substring("b", F.lit(1), half))), F.when(long, key(n, 1, F.substring("b", half + 1, n))),
+            F.when(long, key(n, 2, F.concat(F.substring("b", F.lit(1), quarter), F.lit("\0"), F.substring("b", n - quarter + 1, n)))), F.when(~long, key(n, 3, F.col("b"))),
+        ))).alias("e"),
+    ).select("grupo", "b", "e.*")
+    n = F.length("a")
+    quarter = F.floor(n / 4).cast("int")
+    looked = [F.when(n >= LEAST, key(n, 2, F.concat(F.substring("a", F.lit(1), quarter), F.lit("\0"), F.substring("a", n - quarter + 1, n)))), F.when(n < LEAST, key(n, 3, F.col("a")))]
+    for d in (-1, 0, 1):  # the entry is so much longer
         m = n + d
         h = F.floor(m / 2).cast("int")
-        for shift in (-1, 0, 1):
-            if d <= 0 and shift == d or shift == 0 or d >= 0 and shift == -d or d:
-                looked.append(F.struct(m.alias("n"), F.lit(0).alias("k"), F.when(F.lit(shift == 0), F.substring("parte", F.lit(1), h)).alias("s")))
-                looked.append(F.struct(m.alias("n"), F.lit(1).alias("k"), F.substring("parte", F.greatest(h + 1 + shift, F.lit(1)), m - h).alias("s")))
-    swap = F.concat(F.substring("parte", F.lit(1), half - 1), F.substring("parte", half + 1, F.lit(1)))
-    looked.append(F.struct(n.alias("n"), F.lit(0).alias("k"), swap.alias("s")))
-    query = p.select(F.col("parte").alias("a"), F.explode(F.array_distinct(F.array(*looked))).alias("e")).select("a", "e.*").where("s is not null")
-    found = query.join(index, ["n", "k", "s"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = F.levenshtein("a", "b", 2)
-    return found.where((near == 1) | ((near == 2) & _swapped(F.col("a"), F.col("b"))))
-
-
-def corrections(tokens: DataFrame) -> DataFrame:
-    """``(clase, parte, forma)``: misspelt parts and the neighbour whose form they take.
-
-    ``tokens`` has ``clase, nombre, parte, veces``. A part's support is the number of different names that hold it, then the
-    number of their rows; a part takes the form of the neighbour with the most support, if that is more than its own.
-    Known given names keep their form.
+        ok = (m >= LEAST) & (n >= LEAST)
+        looked.append(F.when(ok, key(m, 0, F.substring("a", F.lit(1), h))))
+        looked.append(F.when(ok, key(m, 1, F.substring("a", h + 1 - d, n))))
+    queries = names.select("grupo", "a", F.explode(F.array_compact(F.array(*looked))).alias("e")).select("grupo", "a", "e.*")
+    keys = ["grupo", "n", "k", "s"]
+    hot = entries.groupBy(*keys).count().where(F.col("count") > HOT).select(*keys, F.ceil(F.col("count") / HOT).cast("int").alias("sales"))
+    one = F.coalesce("sales", F.lit(1))
+    salted = entries.join(small(hot), keys, "left").withColumn("sal", F.pmod(F.xxhash64("b"), one).cast("int")).drop("sales")
+    dealt = queries.join(small(hot), keys, "left").select("a", *keys, F.explode(F.sequence(F.lit(0), one - 1)).alias("sal"))
+    found = dealt.join(salted, [*keys, "sal"]).select("grupo", "a", "b").distinct()
+    edits = F.levenshtein("a", "b", 2)
+    long = F.least(F.length("a"), F.length("b")) >= LEAST
+    d = F.when(F.col("a") == F.col("b"), 0).when(long & ((edits == 1) | ((edits == 2) & _swapped(F.col("a"), F.col("b")))), 1)
+    return found.withColumn("d", d).where("d is not null")
+
+
+def best_supported(names: DataFrame, may: Column | None = None) -> DataFrame:
+    """``(grupo, a, b)``: each name with the name that it is a spelling of: the best supported one within one edit, or itself.
+
+    ``names`` has ``grupo, clave, apoyo`` (an orderable support, different for different names); ``may`` is a further condition on ``a`` and
+    ``b``. A name within one edit of a spelling takes what the spelling takes.
     """
-    # The order of support: different names, then the text, so that of two equally rare forms one is chosen.
-    counted = tokens.groupBy("clase", "parte").agg(F.countDistinct("nombre").alias("n"), F.sum("veces").alias("v"))
-    support = cut(counted.select("clase", "parte", F.struct("n", "v", F.length("parte").alias("l"), F.col("parte").alias("p")).alias("n")))
-    pairs = similar_parts(support)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    x, y = support.select("clase", F.col("parte").alias("a"), F.col("n").alias("na")), support.select("clase", F.col("parte").alias("b"), F.col("n").alias("nb"))
-    known = F.col("a").isin(*GIVEN, *NICK)
-    better = both.join(x, "a").join(y, ["clase", "b"]).where((F.col("nb") > F.col("na")) & ~known)
-    return better.groupBy("clase", F.col("a").alias("parte")).agg(F.max(F.struct("nb", "b"))["b"].alias("forma"))
-
-
-def joined_words(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``rows`` with neighbouring parts joined where the joined form is a part with more support than either piece."""
-    support = tokens.groupBy("clase", "parte").agg(F.countDistinct("nombre").alias("n"))
-    pairs = rows.select("clase", "nombre", F.posexplode(F.arrays_zip("partes", F.slice("partes", 2, 10_000)))).select(
-        "clase", "nombre", "pos", F.col("col")["partes"].alias("a"), F.col("col")["1"].alias("b")
-    ).where("b is not null and length(a) + length(b) >= 5")
-    s = lambda c, n: support.select("clase", F.col("parte").alias(c), F.col("n").alias(n))
-    torn = (
-        pairs.withColumn("ab", F.concat("a", "b")).join(s("ab", "nab"), ["clase", "ab"]).join(s("a", "na"), ["clase", "a"]).join(s("b", "nb"), ["clase", "b"])
-        .where("nab >= least(na, nb)").groupBy("clase", "nombre").agg(F.sort_array(F.collect_set("pos")).alias("cortes"))
-    )
-    joined = F.aggregate(
-        F.sequence(F.lit(0), F.size("partes") - 1), F.array().cast("array<string>"),
-        lambda acc, i: F.when(
-            F.array_contains("cortes", i - 1) & (F.size(acc) > 0), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(F.element_at(acc, -1), F.get("partes", i))))
-        ).otherwise(F.concat(acc, F.array(F.get("partes", i)))),
-    )
-    got = rows.join(torn, ["clase", "nombre"], "left").withColumn("cortes", F.coalesce("cortes", F.array().cast("array<int>")))
-    return got.withColumn("partes", F.when(F.size("cortes") > 0, joined).otherwise(F.col("partes"))).drop("cortes")
+    found = segment_join(names.select("grupo", F.col("clave").alias("a")), names.select("grupo", F.col("clave").alias("b")))
+    if may is not None:
+        found = found.where((F.col("d") == 0) | may)
+    support = names.select("grupo", F.col("clave").alias("b"), "apoyo")
+    best = cut(found.join(support, ["grupo", "b"]).groupBy("grupo", "a").agg(F.max(F.struct("apoyo", "b"))["b"].alias("b")))
+    further = best.where("a <> b").select("grupo", F.col("a").alias("b"), F.col("b").alias("c"))
+    return best.join(further, ["grupo", "b"], "left").select("grupo", "a", F.coalesce("c", "b").alias("b"))
 
 
 # -- names to entities
 
-
-def tokenized(names: DataFrame) -> DataFrame:
-    """``(clase, campo, nombre, veces, partes, tras)`` of different ``(campo, nombre)`` with their number of rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fields, strings = b.column(0).to_pylist(), b.column(1).to_pylist()
-            got = [words(s, f in PERSONS) for f, s in zip(fields, strings)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(["p" if f in PERSONS else "o" for f in fields], pa.string()), b.column(0), b.column(1), b.column(2),
-                    pa.array([g[0] for g in got], pa.list_(pa.string())), pa.array([g[1] for g in got], pa.int32()),
-                ],
-                names=["clase", "campo", "nombre", "veces", "partes", "tras"],
-            )
-
-    return names.select("campo", "nombre", "veces").mapInArrow(run, "clase string, campo string, nombre string, veces bigint, partes array<string>, tras int")
+_ROW = "clase string, campo string, nombre string, veces bigint, tipo string, g1 string, g2 string, s1 string, s2 string, apellidos string, varios boolean"
 
 
-def parsed(rows: DataFrame) -> DataFrame:
-    """``(campo, nombre, oficina, g1, g2, s1, s2, varios)``: an office's key, or the parts of a person.
+def normalised(names: DataFrame) -> DataFrame:
+    """One row per different ``(campo, nombre)`` and meaning: an office as ``tipo`` and ``apellidos`` (the rest of its name), or the parts of a person.
 
-    A nickname with several meanings gives a row for each, with ``varios`` true.
+    ``apellidos`` are all surnames without blanks, so that a torn one makes no difference. A nickname with several meanings gives a row for
+    each, with ``varios`` true. Names of one part have a surname only.
     """
-    schema = pa.schema([*[(c, pa.string()) for c in ("campo", "nombre", "oficina", "g1", "g2", "s1", "s2")], ("varios", pa.bool_())])
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 6, pa.bool_()]
+    columns = [x.split()[0] for x in _ROW.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for r in b.to_pylist():
-                if r["clase"] == "o":
-                    key = parse_office(r["partes"])
-                    if key:
-                        out.append((r["campo"], r["nombre"], key, None, None, None, None, False))
+            for field, name, times in zip(*(c.to_pylist() for c in b.columns)):
+                person = field in PERSONS
+                parts, behind, titled = words(name, person)
+                if not parts:
+                    continue
+                if not person:
+                    office = parse_office(parts)
+                    if office:
+                        out.append(("o", field, name, times, office[0], None, None, None, None, office[1], False))
                     continue
-                first, second, surname, other = parse_person(r["partes"], r["tras"])
-                if first and surname:
-                    out += [(r["campo"], r["nombre"], None, g, second, surname[0], other, len(first) > 1) for g in first]
-            columns = list(zip(*out)) if out else [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+                first, second, rest = parse_person(parts, behind, titled)
+                if not rest:
+                    first, rest = [], parts[:1]
+                full = [p for p in rest if len(p) > 1]
+                other = "".join(full[1:]) or (rest[1] if len(rest) > 1 else None)
+                for g in first or [None]:
+                    out.append(("p", field, name, times, None, g, second, rest[0], other, "".join(full), len(first) > 1))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=columns)
 
-    ddl = "campo string, nombre string, oficina string, g1 string, g2 string, s1 string, s2 string, varios boolean"
-    return rows.select("clase", "campo", "nombre", "partes", "tras").mapInArrow(run, ddl)
+    return names.select("campo", "nombre", "veces").mapInArrow(run, _ROW)
 
 
-def _key(*parts: Column | str) -> Column:
-    return F.concat_ws("|", *[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
+def _full(c: str) -> Column:
+    return F.coalesce(F.length(c) > 1, F.lit(False))
 
 
-def _initial(c: str) -> Column:
-    return F.substring(c, 1, 1)
+#: What a name may have of its second surname, given name and second given name: in full, as initial, not at all.
+_FORMS = [(a, b, c) for a in "fin" for b in "fin" for c in "fin" if not (b == "n" and c != "n")]
 
 
-def _full(c: str) -> Column:
-    return F.coalesce(F.length(c) > 1, F.lit(False))
+def _form(form: tuple[str, str, str]) -> Column:
+    """A name in one form; with both surnames in full these stand together."""
+    part = lambda kind, c: {"f": F.coalesce(F.col(c), F.lit("")), "i": F.coalesce(F.substring(c, 1, 1), F.lit("")), "n": F.lit("")}[kind]
+    surnames = F.col("apellidos") if form[0] == "f" else F.concat(F.col("s1"), F.lit("|"), part(form[0], "s2"))
+    return F.concat_ws("|", surnames, part(form[1], "g1"), part(form[2], "g2"))
 
 
-def persons(rows: DataFrame) -> DataFrame:
-    """``(campo, nombre, entidad)`` of parsed persons.
+def _own_form() -> tuple[Column, Column]:
+    """``(form, name in it)`` of what a name has."""
+    kind = lambda c: F.when(F.col(c).isNull(), "n").when(F.length(c) > 1, "f").otherwise("i")
+    which = F.concat(kind("s2"), kind("g1"), kind("g2"))
+    own = F.lit(None).cast("string")
+    for form in _FORMS:
+        own = F.when(which == "".join(form), _form(form)).otherwise(own)
+    return which, own
 
-    Names with a given name and two surnames in full make the entities; second given names that differ in full split them,
-    and an entity with one given name joins the only one that has it as second given name. Every other name looks its most
-    specific key up in a table with one row per key, and joins the entity if the key has only one. Names that fit no entity
-    make entities of their own, in the same way with what they have.
-    """
-    is_whole = _full("g1") & _full("s1") & _full("s2")
-    base = ["campo", "s1", "s2", "g1"]
-    whole = _meant(rows.where(is_whole), base)
-    spread = whole.groupBy(*base).agg(F.countDistinct(F.when(_full("g2"), F.col("g2"))).alias("n2"))
-    known = cut(whole.join(spread, base).withColumn("doble", F.col("n2") > 1))
-    settled = known.where(~F.col("doble") | _full("g2")).withColumn("entidad", _key(F.col("s1"), F.col("s2"), F.col("g1"), F.when(F.col("doble"), F.col("g2"))))
-    every = cut(settled.groupBy("entidad", *base).agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2")))
-    doubles = every.where("g2 is not null")
-    by_second = doubles.groupBy("campo", "s1", "s2", F.col("g2").alias("g1")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra")).where("una = otra")
-    single = every.where("g2 is null")
-    moved = single.join(by_second, base).select("campo", "entidad", "una")
-    # A misspelling may look like another given name: without an own full form it joins the only one within an edit.
-    alike = single.join(moved.select("campo", "entidad"), ["campo", "entidad"], "left_anti").join(
-        doubles.select("campo", "s1", "s2", F.col("g1").alias("otro"), F.col("entidad").alias("una")), ["campo", "s1", "s2"]
-    )
-    edit = F.levenshtein("g1", "otro", 2)
-    near = alike.where((edit == 1) | ((edit == 2) & _swapped(F.col("g1"), F.col("otro")))).groupBy("campo", "entidad").agg(F.min("una").alias("una"), F.max("una").alias("otra"))
-    moved = cut(moved.unionByName(near.where("una = otra").drop("otra")))
-    out = settled.join(moved, ["campo", "entidad"], "left").select("campo", "nombre", F.coalesce("una", "entidad").alias("entidad"))
-    first = _key_table(every.join(moved, ["campo", "entidad"], "left_anti")).withColumnRenamed("entidad", "e1")
-    second = _key_table(doubles.select("campo", "entidad", "s1", "s2", F.col("g2").alias("g1"), F.lit(None).cast("string").alias("g2"))).withColumnRenamed("entidad", "e2")
-    partial = rows.where(~is_whole).unionByName(known.where(F.col("doble") & ~_full("g2")).select(*rows.columns)).withColumn("clave", _own_key())
-    looked = partial.join(first, ["campo", "clave"], "left").join(second, ["campo", "clave"], "left").withColumn("entidad", F.coalesce("e1", "e2")).drop("e1", "e2")
-    best = looked.groupBy("campo", "nombre").agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra"))
-    looked = cut(looked.join(best, ["campo", "nombre"]))
-    linked = looked.where("una = otra").select("campo", "nombre", F.col("una").alias("entidad"))
-    left = looked.where("una is null or una <> otra").select(*rows.columns, "clave")
-    half = left.where(_full("g1")).withColumn("entidad", _key("~", F.col("s1"), F.col("g1")))
-    third = _key_table(half.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"))).withColumnRenamed("entidad", "e3")
-    alone = _key("~", F.col("s1"), F.col("s2"), F.col("g1"), F.col("g2"))
-    last = left.where(~_full("g1")).join(third, ["campo", "clave"], "left").select("campo", "nombre", F.coalesce("e3", alone).alias("entidad"))
-    return out.unionByName(linked).unionByName(half.select("campo", "nombre", "entidad")).unionByName(last).distinct()
-
-
-def _meant(whole: DataFrame, base: list[str]) -> DataFrame:
-    """Of the meanings of a nickname, those that another full name of these surnames bears out; else the first."""
-    borne = whole.where("not varios").select(*base).distinct().withColumn("hay", F.lit(1))
-    seen = whole.join(borne, base, "left").withColumn("hay", F.coalesce("hay", F.lit(0)))
-    best = seen.where("varios").groupBy("campo", "nombre").agg(F.max(F.struct("hay", F.lit(1)))["hay"].alias("tope"), F.min("g1").alias("primero"))
-    got = seen.join(best, ["campo", "nombre"], "left")
-    keep = ~F.col("varios") | ((F.col("tope") == 1) & (F.col("hay") == 1)) | ((F.col("tope") == 0) & (F.col("g1") == F.col("primero")))
-    return got.where(keep).select(*whole.columns)
 
+def forms_of(entities: DataFrame, rank: int) -> DataFrame:
+    """``(grupo, b, entidad, rango)``: the forms in which the names of some entities may be written."""
+    each = F.array(*[F.struct(F.lit("".join(f)).alias("forma"), _form(f).alias("b")) for f in _FORMS])
+    return entities.select("campo", "entidad", F.explode(each).alias("e")).select(
+        F.concat_ws("|", "campo", "e.forma").alias("grupo"), F.col("e.b").alias("b"), "entidad", F.lit(rank).alias("rango")
+    ).distinct()
 
-_FORMS = [(a, b, c) for a in "fin" for b in "fi" for c in "fin"]
 
+def linked(rows: DataFrame, forms: DataFrame) -> DataFrame:
+    """``(campo, nombre, entidad)`` of names that are within one edit of a form of only one entity; the nearest forms of the first rank count."""
+    which, own = _own_form()
+    asked = cut(rows.select("campo", "nombre", F.concat_ws("|", "campo", which).alias("grupo"), own.alias("a")).where("a is not null").distinct())
+    found = segment_join(asked.select("grupo", "a").distinct(), forms.select("grupo", "b").distinct())
+    near_entities = found.join(forms, ["grupo", "b"]).groupBy("grupo", "a", F.struct("d", "rango").alias("cerca")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra"))
+    each = asked.join(near_entities, ["grupo", "a"])
+    best = each.groupBy("campo", "nombre").agg(F.min("cerca").alias("cerca"))
+    only = each.join(best, ["campo", "nombre", "cerca"]).groupBy("campo", "nombre").agg(F.min("una").alias("entidad"), F.max("otra").alias("otra"))
+    return only.where("entidad = otra").drop("otra")
 
-def _form_key(form: tuple[str, str, str]) -> Column:
-    """Key of a name with the second surname, given name and second given name in full, as initial or not at all."""
-    part = lambda kind, c: {"f": F.col(c), "i": _initial(c), "n": F.lit("")}[kind]
-    return _key("".join(form), F.col("s1"), part(form[0], "s2"), part(form[1], "g1"), part(form[2], "g2"))
 
+def _support() -> list[Column]:
+    return [F.countDistinct("nombre").alias("n"), F.sum("veces").alias("v")]
 
-def _own_key() -> Column:
-    """The most specific key of a name."""
-    kind = lambda c: F.when(F.col(c).isNull(), "n").when(F.length(c) > 1, "f").otherwise("i")
-    which, own = F.concat(kind("s2"), kind("g1"), kind("g2")), F.lit(None).cast("string")
-    for form in _FORMS:
-        own = F.when(which == "".join(form), _form_key(form)).otherwise(own)
-    return own
+
+def persons(rows: DataFrame) -> DataFrame:
+    """``(campo, nombre, entidad)`` of parsed persons.
+
+    Names with a given name and two surnames in full make the entities: each takes the best supported one within one edit, unless both given names are
+    in use; second given names that differ in full split them, and an entity with one given name joins the only one that has it as
+    second given name. Every other name joins the only entity that has a form within one edit of it. Names that fit no entity, or
+    several, make entities of their own by what they have.
+    """
+    is_whole = _full("g1") & _full("s2")
+    whole = _meant(rows.where(is_whole)).withColumn("clave", F.concat_ws("|", "g1", "apellidos")).withColumn("grupo", F.col("campo"))
+    counted = whole.groupBy("grupo", "clave").agg(*_support(), F.max(_full("g2").cast("int")).alias("g"))
+    names = counted.select("grupo", "clave", F.struct("n", "v", "g", F.length("clave").alias("l"), F.col("clave").alias("c")).alias("apoyo"))
+    g = lambda c: F.substring_index(c, "|", 1)
+    relatives = g("a").isin(*GIVEN) & g("b").isin(*GIVEN) & (g("a") != g("b"))
+    same = best_supported(names, ~relatives).select("grupo", F.col("a").alias("clave"), F.col("b").alias("base"))
+    known = cut(whole.join(same, ["grupo", "clave"]))
+    # The parts of an entity are those of the names that are spelt as its base; a torn surname is no part.
+    spelt = known.where("clave = base").groupBy("campo", "base", "s1", "s2").agg(F.count("*").alias("n")).groupBy("campo", "base").agg(F.max(F.struct("n", "s1", "s2")).alias("s"))
+    seconds = known.where(_full("g2")).groupBy("campo", "base", "g2").agg(F.count("*").alias("n"))
+    doubled = seconds.groupBy("campo", "base").agg(F.count("*").alias("n2"))
+    known = known.join(doubled, ["campo", "base"], "left").withColumn("doble", F.coalesce("n2", F.lit(0)) > 1)
+    settled = cut(known.where(~F.col("doble") | _full("g2")).withColumn("entidad", F.concat_ws("|", "base", F.when(F.col("doble"), F.col("g2")))))
+    every = settled.groupBy("campo", "base", "entidad").agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2")).join(spelt, ["campo", "base"]).select(
+        "campo", "entidad", g("base").alias("g1"), "g2", F.col("s.s1").alias("s1"), F.col("s.s2").alias("s2"), F.substring_index("base", "|", -1).alias("apellidos")
+    )
+    every = cut(every)
+    doubles, single = every.where("g2 is not null"), every.where("g2 is null")
+    by_second = forms_of(doubles.withColumn("g1", F.col("g2")).withColumn("g2", F.lit(None).cast("string")), 1)
+    # An entity with one given name that is the second one of another, or an edit away from its first one with no full name of its own.
+    lone = linked(single.withColumn("nombre", F.col("entidad")), by_second).select("campo", F.col("nombre").alias("entidad"), F.col("entidad").alias("una"))
+    near_first = linked(single.join(lone, ["campo", "entidad"], "left_anti").withColumn("nombre", F.col("entidad")), forms_of(doubles, 0).where("grupo like '%|ffn'"))
+    moved = cut(lone.unionByName(near_first.select("campo", F.col("nombre").alias("entidad"), F.col("entidad").alias("una"))))
+    out = settled.join(moved, ["campo", "entidad"], "left").select("campo", "nombre", F.coalesce("una", "entidad").alias("entidad"))
+    forms = cut(forms_of(every.join(moved, ["campo", "entidad"], "left_anti"), 0).unionByName(by_second))
+    partial = cut(rows.where(~is_whole).unionByName(known.where(F.col("doble") & ~_full("g2")).select(*rows.columns)))
+    got = cut(linked(partial, forms))
+    left = partial.join(got, ["campo", "nombre"], "left_anti")
+    which, own = _own_form()
+    alone = left.where(_full("g1")).withColumn("entidad", F.concat_ws("|", F.lit("~"), "s1", "g1"))
+    third = linked(left.where(~_full("g1")), forms_of(alone.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"), F.max("apellidos").alias("apellidos")), 0))
+    last = left.where(~_full("g1")).join(third.withColumnRenamed("entidad", "e"), ["campo", "nombre"], "left").select("campo", "nombre", F.coalesce("e", F.concat(F.lit("~"), which, own)).alias("entidad"))
+    return out.unionByName(got).unionByName(alone.select("campo", "nombre", "entidad")).unionByName(last).distinct()
+
+
+def _meant(whole: DataFrame) -> DataFrame:
+    """Of the meanings of a nickname, those that another full name of these surnames bears out; else the first."""
+    base = ["campo", "apellidos", "g1"]
+    borne = whole.where("not varios").select(*base).distinct().withColumn("hay", F.lit(1))
+    several = whole.where("varios").join(borne, base, "left").withColumn("hay", F.coalesce("hay", F.lit(0)))
+    best = several.groupBy("campo", "nombre").agg(F.max("hay").alias("tope"), F.min("g1").alias("primero"))
+    kept = several.join(best, ["campo", "nombre"]).where(((F.col("tope") == 1) & (F.col("hay") == 1)) | ((F.col("tope") == 0) & (F.col("g1") == F.col("primero"))))
+    return whole.where("not varios").unionByName(kept.select(*whole.columns))
 
 
-def _key_table(entities: DataFrame) -> DataFrame:
-    """``(campo, clave, entidad)``: the keys that belong to one entity only."""
-    keys = entities.select("campo", "entidad", F.explode(F.array(*[_form_key(f) for f in _FORMS])).alias("clave"))
-    one = keys.groupBy("campo", "clave").agg(F.min("entidad").alias("entidad"), F.max("entidad").alias("otra"))
-    return one.where("entidad = otra").drop("otra")
+def offices(rows: DataFrame) -> DataFrame:
+    """``(campo, nombre, entidad)`` of offices: of one kind, the rest of the name takes the best supported one within one edit."""
+    keyed = rows.withColumn("grupo", F.concat_ws("|", "campo", "tipo"))
+    names = keyed.groupBy("grupo", F.col("apellidos").alias("clave")).agg(*_support()).select("grupo", "clave", F.struct("n", "v", F.length("clave").alias("l"), F.col("clave").alias("c")).alias("apoyo"))
+    same = best_supported(names).select("grupo", F.col("a").alias("apellidos"), "b")
+    return keyed.join(same, ["grupo", "apellidos"]).select("campo", "nombre", F.concat_ws("|", "tipo", "b").alias("entidad"))
 
 
 def entities(names: DataFrame) -> DataFrame:
     """``(campo, nombre, entidad)`` of different strings; those that name no one are left out.
 
-    ``names`` has ``campo`` and ``nombre``. Null, empty and blank names and forms of "según distribución" name no one.
+    ``names`` has ``campo`` and ``nombre``. Null, empty and blank names and forms of "según distribución" name no one. A name of one part
+    belongs to the only person with this surname, else it is an entity of its own.
     """
     different = names.where(r"nombre rlike '\\S'").groupBy("campo", "nombre").agg(F.count("*").alias("veces"))
-    rows = cut(tokenized(different).where("size(partes) > 0"))
-    tokens = rows.select("clase", "nombre", "veces", F.explode("partes").alias("parte"))
-    rows = cut(joined_words(rows, tokens))
-    tokens = rows.select("clase", "nombre", "veces", F.explode("partes").alias("parte"))
-    fixes = corrections(tokens)
-    each = rows.select("clase", "campo", "nombre", "tras", F.posexplode("partes").alias("pos", "parte")).join(fixes, ["clase", "parte"], "left")
-    fixed = each.groupBy("clase", "campo", "nombre", "tras").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("forma", "parte").alias("p")))), lambda x: x["p"]).alias("partes")
-    )
-    meant = cut(parsed(fixed))
-    offices = meant.where("oficina is not null").select("campo", "nombre", F.col("oficina").alias("entidad"))
-    return offices.unionByName(persons(meant.where("oficina is null")))
+    rows = cut(normalised(different))
+    return offices(rows.where("clase = 'o'")).unionByName(persons(rows.where("clase = 'p'")))
 
 
 def typed_names(circulares: DataFrame) -> DataFrame:

@@ -17,19 +17,21 @@ def osa(a, b):
     return d[-1][-1]
 
 
-def test_segment_join_finds_every_pair(spark):
+def test_segment_join_finds_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(names, "HOT", 5)  # so that segments are split
     rng = random.Random(2)
-    words = {"".join(rng.choice("abc") for _ in range(rng.randint(3, 7))) for _ in range(180)}
-    got = {(r["a"], r["b"]) for r in names.similar_parts(spark.createDataFrame([(w,) for w in words], "parte string")).collect()}
-    long = sorted(w for w in words if len(w) >= names.LEAST)
-    assert got == {(a, b) for i, a in enumerate(long) for b in long[i + 1 :] if osa(a, b) == 1}
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(260)}
+    df = spark.createDataFrame([("g", w) for w in words] + [("h", "abcabc")], "grupo string, a string")
+    got = {(r["grupo"], r["a"], r["b"], r["d"]) for r in names.segment_join(df, df.withColumnRenamed("a", "b")).collect()}
+    far = {(a, b) for a in words for b in words if min(len(a), len(b)) >= names.LEAST and osa(a, b) == 1}
+    assert got == {("g", w, w, 0) for w in words} | {("g", a, b, 1) for a, b in far} | {("h", "abcabc", "abcabc", 0)}
 
 
 GROUPS = {
     "nombre_firmante": [
         ["Tomás Guillermo Pugemamel Llancabel", "  Tomás  Guillermo Pugemamel Llancabel", "TOMSÁ PUGEMAMEL LLANCABEL", "Pugemamel Llancabel, T.", "T. Pugemamel Llancabel", "Tomás G. Pugemamel L.", "PUGEMAMEL LLANCABEL TOMÁS",
-         "Tomás Pugemamel", "Arq. Tomás Pugemamel-Llancabel", "TOMÁS PUGE MAMEL LLANCABEL", "Guillermo Pugemamel Llancabel"],
-        ["Rosa Elena Pugemamel Llancabel", "R. Pugemamel Llancabel"], ["Isabel Vera Mora", "Chabela Vera Mora", 'Isabel "Chabela" Vera Mora'], ["Isabel Soto Ríos"],
+         "Tomás Pugemamel", "Arq. Tomás Pugemamel-Llancabel", "TOMÁS GUILERMO PUGEMAMEL LLANCABEL", "TOMÁS PUGE MAMEL LLANCABEL", "Guillermo Pugemamel Llancabel"],
+        ["Rosa Elena Pugemamel Llancabel", "R. Pugemamel Llancabel"], ["Isabel Vera Mora", "Chabela Vera Mora", 'Isabel "Chabela" Vera Mora'], ["Isabel Soto Ríos", "ING. SOTO RÍOS", "ISABL SOTO RÍOS"], ["Inés Carmen Buritamos Ertuvia", "INS BURITAMOS ERTUVIA", "SRA. BURITAMOS ERTUVIA", "Burtamos, Inés Carmen", "Buritamos"],
     ],
     "emisor": [["JEFE DIVISIÓN DE DESARROLLO URBANO", "Jefe Div. Des. Urbano", "JEFE DIVISIÓ N DE DESARROLLO URBANO", "JEFA DIVISIÓN DE DESARROLLO URBANO (S)", "Jefe DDU"], ["JEFE DIVISIÓN JURÍDICA"],
                ["SEREMI ALTO SALAR", "SEREMI ALTO SAALR", "Alto Salar, SEREMI", "SRM REGIÓN DE ALTO SALAR", "SECRETARIO REGIONAL MINISTERIAL REGIÓN DE ALTO SALAR"]],
