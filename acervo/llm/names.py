@@ -296,26 +296,16 @@ def linked(rows: DataFrame, forms: DataFrame) -> DataFrame:
     return only.where("entidad = otra").drop("otra")
 
 
-def _support() -> list[Column]:
-    return [F.countDistinct("nombre").alias("n"), F.sum("veces").alias("v")]
-
-
 def persons(rows: DataFrame) -> DataFrame:
-    """``(campo, nombre, entidad)`` of parsed persons.
+    """``(campo, nombre, entidad)`` of parsed persons; ``base`` is the best supported spelling of a name in full.
 
     Names with a given name and two surnames in full make the entities: each takes the best supported one within one edit, unless both given names are
     in use; second given names that differ in full split them, and an entity with one given name joins the only one that has it as
     second given name. Every other name joins the only entity that has a form within one edit of it. Names that fit no entity, or
     several, make entities of their own by what they have.
     """
-    is_whole = _full("g1") & _full("s2")
-    whole = _meant(rows.where(is_whole)).withColumn("clave", F.concat_ws("|", "g1", "apellidos")).withColumn("grupo", F.col("campo"))
-    counted = whole.groupBy("grupo", "clave").agg(*_support(), F.max(_full("g2").cast("int")).alias("g"))
-    names = counted.select("grupo", "clave", F.struct("n", "v", "g", F.length("clave").alias("l"), F.col("clave").alias("c")).alias("apoyo"))
     g = lambda c: F.substring_index(c, "|", 1)
-    relatives = g("a").isin(*GIVEN) & g("b").isin(*GIVEN) & (g("a") != g("b"))
-    same = best_supported(names, ~relatives).select("grupo", F.col("a").alias("clave"), F.col("b").alias("base"))
-    known = cut(whole.join(same, ["grupo", "clave"]))
+    known = cut(rows.where("base is not null"))
     # The parts of an entity are those of the names that are spelt as its base; a torn surname is no part.
     spelt = known.where("clave = base").groupBy("campo", "base", "s1", "s2").agg(F.count("*").alias("n")).groupBy("campo", "base").agg(F.max(F.struct("n", "s1", "s2")).alias("s"))
     seconds = known.where(_full("g2")).groupBy("campo", "base", "g2").agg(F.count("*").alias("n"))
@@ -328,20 +318,23 @@ def persons(rows: DataFrame) -> DataFrame:
     every = cut(every)
     doubles, single = every.where("g2 is not null"), every.where("g2 is null")
     by_second = forms_of(doubles.withColumn("g1", F.col("g2")).withColumn("g2", F.lit(None).cast("string")), 1)
-    # An entity with one given name that is the second one of another, or an edit away from its first one with no full name of its own.
-    lone = linked(single.withColumn("nombre", F.col("entidad")), by_second).select("campo", F.col("nombre").alias("entidad"), F.col("entidad").alias("una"))
-    near_first = linked(single.join(lone, ["campo", "entidad"], "left_anti").withColumn("nombre", F.col("entidad")), forms_of(doubles, 0).where("grupo like '%|ffn'"))
-    moved = cut(lone.unionByName(near_first.select("campo", F.col("nombre").alias("entidad"), F.col("entidad").alias("una"))))
+    # An entity with one given name that is the second one of another, or within an edit of its first one with no full name of its own.
+    whole_forms = forms_of(doubles, 0).where("grupo like '%|ffn'")
+    alone = linked(single.withColumn("nombre", F.col("entidad")), by_second.unionByName(whole_forms))
+    moved = cut(alone.select("campo", F.col("nombre").alias("entidad"), F.col("entidad").alias("una")))
     out = settled.join(moved, ["campo", "entidad"], "left").select("campo", "nombre", F.coalesce("una", "entidad").alias("entidad"))
     forms = cut(forms_of(every.join(moved, ["campo", "entidad"], "left_anti"), 0).unionByName(by_second))
-    partial = cut(rows.where(~is_whole).unionByName(known.where(F.col("doble") & ~_full("g2")).select(*rows.columns)))
+    partial = cut(rows.where("base is null").unionByName(known.where(F.col("doble") & ~_full("g2")).select(*rows.columns)))
     got = cut(linked(partial, forms))
     left = partial.join(got, ["campo", "nombre"], "left_anti")
     which, own = _own_form()
-    alone = left.where(_full("g1")).withColumn("entidad", F.concat_ws("|", F.lit("~"), "s1", "g1"))
-    third = linked(left.where(~_full("g1")), forms_of(alone.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"), F.max("apellidos").alias("apellidos")), 0))
-    last = left.where(~_full("g1")).join(third.withColumnRenamed("entidad", "e"), ["campo", "nombre"], "left").select("campo", "nombre", F.coalesce("e", F.concat(F.lit("~"), which, own)).alias("entidad"))
-    return out.unionByName(got).unionByName(alone.select("campo", "nombre", "entidad")).unionByName(last).distinct()
+    group = F.concat_ws("|", "campo", which)
+    halves = left.where(_full("g1")).withColumn("entidad", F.concat_ws("|", F.lit("~"), "s1", "g1"))
+    half_forms = forms_of(halves.groupBy("campo", "entidad", "s1", "g1").agg(F.max("s2").alias("s2"), F.max("g2").alias("g2"), F.max("apellidos").alias("apellidos")), 0)
+    third = half_forms.groupBy("grupo", "b").agg(F.min("entidad").alias("e"), F.max("entidad").alias("otra")).where("e = otra").drop("otra")
+    rest = left.where(~_full("g1")).select("campo", "nombre", group.alias("grupo"), own.alias("b"), F.concat(F.lit("~"), which, own).alias("propia"))
+    last = rest.join(third, ["grupo", "b"], "left").select("campo", "nombre", F.coalesce("e", "propia").alias("entidad"))
+    return out.unionByName(got).unionByName(halves.select("campo", "nombre", "entidad")).unionByName(last).distinct()
 
 
 def _meant(whole: DataFrame) -> DataFrame:
@@ -354,14 +347,6 @@ def _meant(whole: DataFrame) -> DataFrame:
     return whole.where("not varios").unionByName(kept.select(*whole.columns))
 
 
-def offices(rows: DataFrame) -> DataFrame:
-    """``(campo, nombre, entidad)`` of offices: of one kind, the rest of the name takes the best supported one within one edit."""
-    keyed = rows.withColumn("grupo", F.concat_ws("|", "campo", "tipo"))
-    names = keyed.groupBy("grupo", F.col("apellidos").alias("clave")).agg(*_support()).select("grupo", "clave", F.struct("n", "v", F.length("clave").alias("l"), F.col("clave").alias("c")).alias("apoyo"))
-    same = best_supported(names).select("grupo", F.col("a").alias("apellidos"), "b")
-    return keyed.join(same, ["grupo", "apellidos"]).select("campo", "nombre", F.concat_ws("|", "tipo", "b").alias("entidad"))
-
-
 def entities(names: DataFrame) -> DataFrame:
     """``(campo, nombre, entidad)`` of different strings; those that name no one are left out.
 
@@ -370,7 +355,18 @@ def entities(names: DataFrame) -> DataFrame:
     """
     different = names.where(r"nombre rlike '\\S'").groupBy("campo", "nombre").agg(F.count("*").alias("veces"))
     rows = cut(normalised(different))
-    return offices(rows.where("clase = 'o'")).unionByName(persons(rows.where("clase = 'p'")))
+    is_whole = (F.col("clase") == "p") & _full("g1") & _full("s2")
+    whole = _meant(rows.where(is_whole)).withColumn("clave", F.concat_ws("|", "g1", "apellidos")).withColumn("grupo", F.concat_ws("|", "clase", "campo"))
+    places = rows.where("clase = 'o'").withColumn("clave", F.col("apellidos")).withColumn("grupo", F.concat_ws("|", "clase", "campo", "tipo"))
+    named = cut(whole.unionByName(places))
+    counted = named.groupBy("grupo", "clave").agg(F.countDistinct("nombre").alias("n"), F.sum("veces").alias("v"), F.max(_full("g2").cast("int")).alias("g"))
+    support = counted.select("grupo", "clave", F.struct("n", "v", "g", F.length("clave").alias("l"), F.col("clave").alias("c")).alias("apoyo"))
+    first = lambda c: F.substring_index(c, "|", 1)
+    relatives = F.startswith("grupo", F.lit("p")) & first("a").isin(*GIVEN) & first("b").isin(*GIVEN) & (first("a") != first("b"))
+    spelt = named.join(best_supported(support, ~relatives).select("grupo", F.col("a").alias("clave"), F.col("b").alias("base")), ["grupo", "clave"])
+    spelt = cut(spelt.unionByName(rows.where("clase = 'p'").where(~is_whole), allowMissingColumns=True))
+    offices = spelt.where("clase = 'o'").select("campo", "nombre", F.concat_ws("|", "tipo", "base").alias("entidad"))
+    return offices.unionByName(persons(spelt.where("clase = 'p'")))
 
 
 def typed_names(circulares: DataFrame) -> DataFrame:
