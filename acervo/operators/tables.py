@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from acervo.functions import text as T
 from acervo.functions.regex import let, rx, strip
 from acervo.operators import predicates as P
+from acervo.overrides import NAMED_TABLES
 
 ROWS = "array<array<string>>"
 TABLE = "struct<encabezados:array<string>,filas:array<array<string>>,paginas:array<int>>"
@@ -146,14 +147,10 @@ def merge_pages(parts: Column) -> Column:
     return F.aggregate(flat, zero, step)
 
 
-# Circulars whose mention names a table.
-NAMED = ("DDU 339", "DDU 322", "DDU 168")
-
-
-def table_name(headers: Column, rows: Column, pages: Column) -> Column:
-    """Name of a table by its contents, the first rule that fits."""
+def table_name(headers: Column, rows: Column, pages: Column, circulars: tuple[str, ...] = NAMED_TABLES) -> Column:
+    """Name of a table by its contents, the first rule that fits; the mention of one of ``circulars`` names a table."""
     everything = F.array_join(F.concat(headers, F.flatten(rows)), " ")
-    named = F.filter(F.array(*[F.when(everything.contains(d), F.lit(d)) for d in NAMED]), lambda d: d.isNotNull())
+    named = F.filter(F.array(*[F.when(everything.contains(d), F.lit(d)) for d in circulars]), lambda d: d.isNotNull())
     first, last = F.get(pages, F.lit(0)).cast("string"), F.try_element_at(pages, F.lit(-1)).cast("string")
     span = F.concat(F.lit("(Pág. "), first, F.when(F.size(pages) > 1, F.concat(F.lit("-"), last)).otherwise(""), F.lit(")"))
     any_header = lambda p: F.exists(headers, lambda h: F.lower(h).rlike(p))

@@ -81,13 +81,29 @@ def _(spark, sf_dir):
     return u.groupBy("doc_id").agg(F.sum((F.coalesce(F.col("s") >= 0.65, F.lit(False))).cast("bigint")).alias("mayusculas"), F.round(F.avg("s"), 6).alias("media"))
 
 
+# The oracles of the line predicates are written out here from what the predicates mean, not from the engine's phrases.
+_W = "(' ' || trim(regexp_replace(translate(lower(line), 'áéíóúüñàèìòùâêîôûäëïöãõç', 'aeiouunaeiouaeiouaeioaoc'), '[^a-z0-9]+', ' ', 'g')) || ' ')"
+
+
+def _w(pattern: str) -> str:
+    return f"regexp_matches({_W}, '{pattern}')"
+
+
 _UP = f"coalesce({S.upper_share('line')}"
-_DESC_LINE = f"(NOT {S.any_of('line', P.NOT_DESCRIPTOR)} AND {_UP} >= 0.65, false))"
-_DESC_START = f"({S.rx('line', P.DESCRIPTOR_START)} OR (length(regexp_replace(line, '\\P{{L}}', '', 'g')) >= 5 AND {_UP} >= 0.75, false) AND {S.rx('line', P.DESCRIPTOR_WORDS)}))"
-_FOOT = f"({S.any_of(S.squeeze('line'), P.PAGE_FOOT)} OR regexp_matches(line, '^\\s*!+\\s*$'))"
-_TITLE = (
-    f"(line <> '' AND NOT {_FOOT} AND NOT {S.rx('line', r'^([0-9]+|[IVXLCDM]+|l+|11+|1l|l1)[.]' + chr(92) + 's+')} AND NOT {S.rx('line', '^(Saluda|DISTRIBUCI[ÓO]N)')} AND {_UP} >= 0.65, false))"
+_DESC_LINE = (
+    "(NOT " + _w("^ (a|de (jefe|ministro|subsecretari[oa]|directora?|secretari[oa]|division)|ddu|circular|ord|oro|ant|mat|santiago|valparaiso|complementa|trabajando|gobierno|ministerio) ")
+    + rf" AND NOT regexp_matches(line, '(?i)^(DE\s*:|[0-9]+\.)') AND {_UP} >= 0.65, false))"
+)
+_DESC_START = (
+    "(" + _w("^ (permisos|vigencia|recepciones|de la planificacion|modificacion|aprobaciones|estudios de riesgo|plan regulador|normas) ")
+    + f" OR (length(regexp_replace(line, '\\P{{L}}', '', 'g')) >= 5 AND {_UP} >= 0.75, false) AND (contains(line, ';') OR "
+    + _w("planificacion|regulador|seccional|permisos|recepciones|riesgo|aprobaciones|modificacion|normas|urbanisticas|edificacion|pisos|mecanicos|altura") + ")))"
+)
+_FOOT = (
+    "regexp_matches(regexp_replace(translate(lower(line), 'áéíóúüñàèìòùâêîôûäëïöãõç', 'aeiouunaeiouaeiouaeioaoc'), " + S.q(S.BLANK + "+") + ", '', 'g'), "
+    "'pagina[0-9]|ministeriodevivienda|alameda924|santiago-chile|gobiernodechile|^!+$')"
 )
+_TITLE = rf"(line <> '' AND NOT {_FOOT} AND NOT regexp_matches(line, '(?i)^([0-9]+|[ivxlcdm]+|[l1]+)[.]\s+') AND NOT regexp_matches(line, '(?i)^(saluda|distribuci(ó|Ó|o)n)') AND {_UP} >= 0.65, false))"
 
 
 @query(
@@ -101,29 +117,44 @@ def _(spark, sf_dir):
     )
 
 
-_DIAGRAM = S.rx("line", P.DIAGRAM_START)
-_LABEL = f"(regexp_matches(line, {S.q(P.FRACTIONS)}) OR {_DIAGRAM} OR (length(line) < 80 AND {S.rx('line', P.DIAGRAM_LABEL)}))"
+_DIAGRAM = _w(" (planta azotea|corte esquematico|sin escala) ")
+_LABEL = (
+    f"(regexp_matches(line, '^[½¼¾�?]+$') OR {_DIAGRAM} OR (length(line) < 80 AND "
+    + _w("^ (edificio|piscinas?|chimeneas?|pergolas?|ascensores|barandas?|paramentos( perimetrales)?|perimetrales|escalera|jardineras|ornamentales|quinchos?|otros|salida caja de( escalera)?|terraza( terraza)?|vegetacion( jardineras)?|maximo 25 de la superficie de la azotea|altura maxima de edificacion permitida por el ipt|piscinas vegetacion jardineras elementos ornamentales|salas de maquinas cajas de escalera chimeneas|con un maximo de 99|pergolas quinchos otros) $")
+    + "))"
+)
+_TABLE = (
+    "(" + _w("^ (tipo de gestion|casos que comprende|n circular|ddu n n ord|n ord) | materia s que se modifica n |^ (ddu n|materia de la circular|motivos consideraciones|modificaciones) $")
+    + " OR (starts_with(line, '|') AND " + _w("^ (circular|tipo de gestion|ddu n) ") + "))"
+)
 
 
-@query("diagram_and_table_lines", _L + f" SELECT doc_id, line_no, {_DIAGRAM} AS diagrama, {_LABEL} AS etiqueta, {S.any_of('line', P.TABLE_START)} AS tabla FROM l WHERE {_LABEL} OR {S.any_of('line', P.TABLE_START)}")
+@query("diagram_and_table_lines", _L + f" SELECT doc_id, line_no, {_DIAGRAM} AS diagrama, {_LABEL} AS etiqueta, {_TABLE} AS tabla FROM l WHERE {_LABEL} OR {_TABLE}")
 def _(spark, sf_dir):
     l = F.col("line")
-    return doc_lines(spark, sf_dir).where(P.is_diagram_label(l) | P.is_table_start(l)).select(
-        "doc_id", "line_no", P.is_diagram_start(l).alias("diagrama"), P.is_diagram_label(l).alias("etiqueta"), P.is_table_start(l).alias("tabla")
+    return doc_lines(spark, sf_dir).where(P.is_drawing_label(l) | P.is_table_start(l)).select(
+        "doc_id", "line_no", P.is_drawing_title(l).alias("diagrama"), P.is_drawing_label(l).alias("etiqueta"), P.is_table_start(l).alias("tabla")
     )
 
 
 _M = "WITH " + S.lines("circulares", "circular_id", "modificaciones_posteriores")
 
 
-@query("margin_note_lines", _M + f" SELECT circular_id, line_no, line FROM l WHERE {S.any_of('line', P.MARGIN_NOTE)}")
+@query(
+    "margin_note_lines",
+    _M + " SELECT circular_id, line_no, line FROM l WHERE "
+    + _w(" (circular modificada por|modificada por circular|dejada sin efecto por) |^ circular ord (n )?[0-9]+ $|^ de fecha [0-9]+ de [a-z]+( de [0-9]+)? $|^ de [0-9]+ ddu [0-9]+ $|^ numeral [0-9]+ $"),
+)
 def _(spark, sf_dir):
     notes = explode_lines(circ(spark, sf_dir, "modificaciones_posteriores"), "circular_id", "modificaciones_posteriores")
     return notes.where(P.is_margin_note(F.col("line")))
 
 
-_NOTE = f"(regexp_matches(line, {S.q(P.NOTE_START)}) AND NOT {S.rx('line', P.NOT_NOTE)} AND NOT regexp_matches(line, {S.q(P.NUMERAL)}))"
-_INDEX = f"({S.rx('line', P.INDEX_START)} OR regexp_matches(line, {S.q(P.DOT_LEADER)}))"
+_NOTE = (
+    r"(regexp_matches(line, '^[0-9]{1,2}\s*([a-z]\))?\s+[\p{Lu}\"“''‘(]') AND NOT regexp_matches(line, '^[0-9]{1,2}\. ') AND NOT "
+    + _w("^ [0-9]+ (o mas|para todas|y cumplan|de la (ley|lguc|oguc)|de (enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|setiembre|octubre|noviembre|diciembre)) ") + ")"
+)
+_INDEX = f"(regexp_matches(regexp_replace({_W}, '^( [ivxlcdm0-9]+)+ ', ' '), '^ (indice|tabla de contenidos?|contenidos?) ') OR regexp_matches(line, '\\.{{4,}}|\\.{{3,}}\\s*[0-9]+$'))"
 
 
 @query("footnote_footer_index_lines", _L + f" SELECT doc_id, count(*) FILTER ({_NOTE}) AS notas, count(*) FILTER ({_FOOT}) AS pies, count(*) FILTER ({_INDEX}) AS indice FROM l GROUP BY doc_id")
@@ -133,10 +164,12 @@ def _(spark, sf_dir):
 
 
 _RESIDUE = (
-    f"({S.any_of('line', P.TABLE_RESIDUE)} OR " + " OR ".join(f"starts_with(line, {S.q(s)})" for s in P.TABLE_RESIDUE_STARTS)
-    + f" OR regexp_matches(line, {S.q(P.TABLE_RESIDUE_NUMBERS)}) OR (starts_with(line, 'La ejecución de obras de urbanización') AND contains(line, 'Art. 2.2.1.')))"
+    "(" + _w("^ (tipo de gestion|casos que comprende|n circular|ddu n n ord|n ord fecha|materia de la circular|motivos consideraciones|modificaciones) ")
+    + r" OR regexp_matches(line, '^[0-9]{3}\s+[0-9]+\s+[0-9]{2}[-.][0-9]{2}[-.][0-9]{2}') OR (starts_with(line, 'La ejecución de obras de urbanización') AND contains(line, 'Art. 2.2.1.'))"
+    + r""" OR regexp_matches(line, '^(1\. Loteos \(Art\. 2\.2\.4\.|2\. Proyectos que se acojan al régimen de copropiedad|3\. División afecta a declaratoria de utilidad|1\. Obras de urbanización voluntarias en el espacio|2\. Obras de urbanización voluntarias al interior|Cualquiera de las obras de urbanización contempladas en el artículo 134|Específica |Se aborda esta materia en la presente circular|Expiró el plazo que se informaba|[12]\. En el punto 2|[12]\. Se reemplaza el punto|3\. En el punto 4|2\. En el punto 3|Se deja sin efecto por completo la Circular)'))"""
 )
-_KEPT = f"NOT (regexp_matches(line, '\\.{{5,}}|\\.{{3,}}\\s*\\d+$') OR {S.rx('line', '[IÍ]NDICE' + chr(92) + 's*:')} OR {_NOTE} OR {_RESIDUE} OR regexp_matches(line, {S.q(P.RECIPIENT_LINE)}))"
+_RECIPIENT = r"(regexp_matches(line, '^([0-9]+\.\s+)?\p{Lu}') AND " + _w("^ ([0-9]+ )?(sra?|sres|biblioteca|colegio|instituto|camara|depto|archivo|jefe|oirs|oficina) ") + ")"
+_KEPT = f"NOT (regexp_matches(line, '\\.{{5,}}|\\.{{3,}}\\s*[0-9]+$') OR {S.rx('line', '(^|[^a-zA-Z0-9_])[IÍ]NDICE' + chr(92) + 's*:')} OR {_NOTE} OR {_RESIDUE} OR {_RECIPIENT})"
 
 
 @query("table_residue_filter", _C + f" SELECT circular_id, count(*) AS lineas, count(*) FILTER ({_RESIDUE}) AS restos, count(*) FILTER ({_KEPT}) AS quedan FROM l GROUP BY circular_id")
@@ -149,15 +182,24 @@ def _(spark, sf_dir):
 _WORDS = "list_filter(regexp_split_to_array(regexp_replace(nombre_firmante, '[^A-ZÁÉÍÓÚÑa-z]', ' ', 'g'), '\\s+'), lambda w: regexp_matches(w, '^[A-ZÁÉÍÓÚÑ].+$'))"
 
 
+_NO_PERSON = S.in_list(
+    """MOTIVO CONSIDERACIONES MATERIA MATERIAS OBSERVACIONES ANTECEDENTES CIRCULAR TABLA CUADRO MODIFICA MODIFICAN DISTRIBUCION DISTRIBUCIÓN MINISTERIO VIVIENDA URBANISMO DIVISIÓN DIVISION DESARROLLO
+    URBANO GOBIERNO CHILE ORD DDU OFPA ANT MAT DE A PARA SANTIAGO SALUDA ATENTAMENTE PÁGINA PAGINA FECHA SUBSECRETARIO SUBSECRETARIA MINISTRO MINISTRA CONTRALOR CONTRALORA""".split()
+)
+
+
 @query(
     "person_name_predicate",
-    f"SELECT circular_id, len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: upper(w) IN ({S.in_list(P.NO_PERSON)}))) = 0 AS persona FROM circulares WHERE nombre_firmante IS NOT NULL",
+    f"SELECT circular_id, len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: upper(w) IN ({_NO_PERSON}))) = 0 AS persona FROM circulares WHERE nombre_firmante IS NOT NULL",
 )
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "nombre_firmante").where("nombre_firmante is not null").select("circular_id", P.is_person_name(F.col("nombre_firmante")).alias("persona"))
 
 
-_TERMS = S.any_of("lower(line)", [t.replace("(", r"\(").replace(")", r"\)") for t in P.HEADER_TERMS])
+_TERMS = (
+    "regexp_matches(lower(line), 'ddu n|n[°º] circular|n[°º] ord|ord|fecha|materia de la circular|motivos / consideraciones|modificaciones|tipo de gestión|casos que comprende|circular"
+    r"|materia\(s\) que se modifica|motivo y/o|consideraciones')"
+)
 
 
 @query("header_row_predicate", _L + f" SELECT doc_id, line_no, {_TERMS} AS encabezado FROM l WHERE line LIKE '|%|'")
@@ -618,7 +660,12 @@ def _(spark, sf_dir):
 
 # -- graph
 
-_CITE = "(?i)" + G.CITATION
+# The oracles of the citations are written out here.
+_OGUC, _LGUC = r"(?:ordenanza\s+general\s+de\s+urbanismo\s+y\s+construcciones|oguc)\b", r"(?:(?:ley\s+general\s+de\s+urbanismo\s+y\s+construcciones|lguc|d\.f\.l\.\s*(?:n[°oº]\s*)?458(?:\s+de\s+1975)?|dfl\s*(?:n[°oº]\s*)?458)\b|l\.g\.u\.c\.)"
+_CITE = (
+    rf"(?i)\bart(?:[ií]c(?:ulo)?)?\.?\s+[0-9]+(?:\.[0-9]+){{2,}}\.?(?:\s+de(?:l|\s+la)\s+{_OGUC}|\b)|\bart(?:[ií]c(?:ulo)?)?\.?\s+[0-9]+(?:\s+(?:bis|ter|quater))?\.?\s+de(?:l|\s+la)\s+{_LGUC}"
+    rf"|\b{_OGUC}|\b{_LGUC}"
+)
 
 
 @query(
@@ -647,7 +694,7 @@ def _(spark, sf_dir):
     return docs(spark, sf_dir).where("text is not null").select("doc_id", G.with_references(T.xml_escape(F.col("text")), F.lit("ref")).alias("texto"))
 
 
-_CITED = "(?i)" + G.CITED.replace(r"\d", "[0-9]")
+_CITED = r"(?i)(?:circular\s+(?:ddu\s+)?|\bddu\s+)n?[°oº]?\s*[0-9]+\b"
 
 
 @query(
@@ -661,7 +708,7 @@ def _(spark, sf_dir):
     return rows.where("dst_num is not null and (src_num is null or dst_num <> src_num)")
 
 
-_AMEND = "(?i)" + G.AMENDING.replace(r"\d", "[0-9]")
+_AMEND = r"(?i)\b(?:circular\s+(?:ord\.?\s+)?(?:n[°oº]?\s*[0-9]+,?\s+de\s+fecha\s+[^,]+,\s+)?(?:ddu\s+)?|ddu\s+)[0-9]+\b"
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from acervo.operators import predicates as P
-
 #: Blanks as both engines are told to see them.
 BLANK = r"[\t\n\x0b\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}])"
@@ -33,12 +31,9 @@ def upper_share(x: str) -> str:
     return f"(length(regexp_replace({x}, '\\P{{Lu}}', '', 'g'))::DOUBLE / nullif(length(regexp_replace({x}, '\\P{{L}}', '', 'g')), 0))"
 
 
-def any_of(x: str, patterns) -> str:
-    return P.sql_any(x, patterns)
-
-
 def rx(x: str, pattern: str, ignore_case: bool = True) -> str:
-    return P.sql_rx(x, pattern, ignore_case)
+    """A pattern test."""
+    return f"regexp_matches({x}, {q(('(?i)' if ignore_case else '') + pattern)})"
 
 
 def in_list(values) -> str:
