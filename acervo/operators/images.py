@@ -47,11 +47,11 @@ def kind(text: Column) -> Column:
 
 
 def image_manifest(images: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Manifest rows of the kept images: the first occurrence of each reference in a document, numbered by page and reference.
+    """Manifest rows of the kept images: the first occurrence of each reference in a document (on one page the smallest), numbered by page and reference.
 
     ``images`` has ``doc_id, num, page, xref, w, h, bytes, page_w, page_h, x0, y0, x1, y1``; ``pages`` has ``doc_id, page, text``.
     """
-    first = Window.partitionBy("doc_id", "xref").orderBy("page")
+    first = Window.partitionBy("doc_id", "xref").orderBy("page", "w", "h")
     kept = images.where(is_drawing()).withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
     text = F.lit("")
     if pages is not None:

@@ -227,11 +227,11 @@ def place_blocks(blocks: DataFrame, bands: DataFrame, split_x: float, left_x: fl
     ``blocks`` has ``doc_id, page, block_no, x0, y0, x1, y1, text, type``; ``bands`` has ``doc_id, page, row_key, y_min, y_max``.
     Both band ends count, so a block on a shared edge lies in both rows. Blocks of a page meet bands of the same page only.
     """
-    text_blocks = blocks.where("type = 0")
-    inside = text_blocks.join(bands, (text_blocks["doc_id"] == bands["doc_id"]) & (text_blocks["page"] == bands["page"]) & text_blocks["y0"].between(bands["y_min"], bands["y_max"]))
-    middle = (F.col("x0") + F.col("x1")) / 2
+    b, r = blocks.where("type = 0").alias("b"), bands.alias("r")
+    inside = b.join(r, (F.col("b.doc_id") == F.col("r.doc_id")) & (F.col("b.page") == F.col("r.page")) & F.col("b.y0").between(F.col("r.y_min"), F.col("r.y_max")))
+    middle = (F.col("b.x0") + F.col("b.x1")) / 2
     side = F.when(middle.between(left_x, split_x), "izquierda").when(middle > split_x, "derecha")
-    cells = inside.select(bands["doc_id"], bands["page"], "row_key", side.alias("lado"), "block_no", T.cell(F.col("text")).alias("t")).where("lado is not null")
+    cells = inside.select("r.doc_id", "r.page", "r.row_key", side.alias("lado"), "b.block_no", T.cell(F.col("b.text")).alias("t")).where("lado is not null")
     return cells.groupBy("doc_id", "page", "row_key", "lado").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", "t"))), lambda x: x["t"]), " ").alias("texto"), F.count("*").alias("bloques")
     )

@@ -262,19 +262,23 @@ def _(spark, sf_dir):
     return circ(spark, sf_dir, "firmante").select("circular_id", T.fix_signer(F.col("firmante")).alias("firmante"))
 
 
-_YEARS = "(VALUES ('2026'), ('2o2b'), ('2O25'), ('23l6'), ('2025'), ('1993'), ('20lb'), ('26'), ('2bI3')) AS v(anio)"
+_YEARS = """(SELECT circular_id, CASE circular_id % 4 WHEN 0 THEN y WHEN 1 THEN replace(y, '0', 'o') WHEN 2 THEN replace(replace(y, '1', 'l'), '6', 'b') ELSE replace(replace(y, '20', '23'), '2', '2') END AS anio
+  FROM (SELECT circular_id, substr(fecha, 1, 4) AS y FROM circulares WHERE fecha IS NOT NULL))"""
 
 
 @query(
     "year_digit_repair",
-    f"""SELECT anio, CASE WHEN length(anio) = 4 AND starts_with(anio, '2') THEN '2' || CASE WHEN anio[2] IN ('3', 'o', 'O', 'Q', 'b') THEN '0' ELSE anio[2] END
+    f"""SELECT circular_id, anio, CASE WHEN length(anio) = 4 AND starts_with(anio, '2') THEN '2' || CASE WHEN anio[2] IN ('3', 'o', 'O', 'Q', 'b') THEN '0' ELSE anio[2] END
       || CASE WHEN anio[3] IN ('2', 'l', 'I', '|') THEN '2' ELSE anio[3] END
       || CASE WHEN anio[4] = 'b' OR (anio[4] IN ('5', '3') AND (anio[2] IN ('3', 'o', 'O', 'Q', 'b') OR anio[3] IN ('l', 'I'))) THEN '6' ELSE anio[4] END
       ELSE anio END AS reparado FROM {_YEARS}""",
 )
 def _(spark, sf_dir):
-    years = ["2026", "2o2b", "2O25", "23l6", "2025", "1993", "20lb", "26", "2bI3"]
-    return spark.createDataFrame([(y,) for y in years], "anio string").select("anio", dates.fix_year(F.col("anio")).alias("reparado"))
+    """Years of issue as scanners misread them."""
+    y, k = F.substring("fecha", 1, 4), F.col("circular_id") % 4
+    r = lambda c, a, b: F.replace(c, F.lit(a), F.lit(b))
+    read = F.when(k == 0, y).when(k == 1, r(y, "0", "o")).when(k == 2, r(r(y, "1", "l"), "6", "b")).otherwise(r(y, "20", "23"))
+    return circ(spark, sf_dir, "fecha").where("fecha is not null").select("circular_id", read.alias("anio")).withColumn("reparado", dates.fix_year(F.col("anio")))
 
 
 _NUMERAL = "line"
@@ -582,36 +586,84 @@ def _(spark, sf_dir):
 
 # -- tables
 
-_ROWS = [(1, "DDU 339", "Circular a", "m1"), (2, "", "cont", "m2"), (3, "DDU 322", "x", "1. y"), (4, "", "", "2. z")]
+# Cells of tables: the rows of an extraction file as rows of three cells, in pages of 20 rows; rows without a block go on with the row above.
 
 
-@query("table_subrow_merge", "SELECT * FROM (VALUES (1, 'DDU 339', 'Circular a cont', 'm1 m2'), (2, 'DDU 322', 'x', '1. y' || chr(10) || '2. z')) AS v(grupo, c0, c1, c2)")
+def cell_rows(spark, sf_dir):
+    """``(file, pagina, row_no, c0, c1, c2)`` from the attribute rows, exact repeats once."""
+    e = table(spark, sf_dir, "eav", "file", "row_no", "bloque", "campo", "valor_extraido").where("file is not null and row_no is not null").distinct()
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    return e.select("file", F.expr("row_no div 20").cast("int").alias("pagina"), "row_no", text("bloque").alias("c0"), text("campo").alias("c1"), text("valor_extraido").alias("c2"))
+
+
+_CELLS = "SELECT DISTINCT file, (row_no // 20)::INT AS pagina, row_no, coalesce(trim(bloque), '') AS c0, coalesce(trim(campo), '') AS c1, coalesce(trim(valor_extraido), '') AS c2 FROM eav WHERE file IS NOT NULL AND row_no IS NOT NULL"
+
+
+def _glued_sql(c: str, order: str = "row_no") -> str:
+    """Pieces of a cell in order: a line end before a piece that has lines or a numeral, else a blank."""
+    return f"coalesce(substr(string_agg(CASE WHEN contains({c}, chr(10)) OR regexp_matches({c}, '^[0-9]+\\.') THEN chr(10) ELSE ' ' END || {c}, '' ORDER BY {order}) FILTER ({c} <> ''), 2), '')"
+
+
+@query(
+    "table_subrow_merge",
+    f"""WITH c AS ({_CELLS}), g AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY file, pagina ORDER BY row_no)::BIGINT AS grupo FROM c)
+    SELECT file, pagina, grupo, {_glued_sql('c0')} AS c0, {_glued_sql('c1')} AS c1, {_glued_sql('c2')} AS c2 FROM g GROUP BY 1, 2, 3""",
+)
 def _(spark, sf_dir):
-    cells = spark.createDataFrame([(1, *r) for r in _ROWS], "t int, row_no int, c0 string, c1 string, c2 string")
-    return tables.merge_subrows_rows(cells, ["t"], "row_no", ["c0", "c1", "c2"]).select(F.col("grupo").cast("int").alias("grupo"), "c0", "c1", "c2")
+    return tables.merge_subrows_rows(cell_rows(spark, sf_dir), ["file", "pagina"], "row_no", ["c0", "c1", "c2"])
+
+
+# Tables over two pages: the lines of an order behind a header, of which every third has no first cell; page 2 begins at the fourth line.
+_ITEMS = """SELECT l_orderkey, n, CASE WHEN n % 3 = 0 OR n = 4 AND l_orderkey % 2 = 0 THEN '' ELSE 'pieza ' || l_partkey END AS c0, 'lugar ' || l_suppkey AS c1, 'estado ' || l_returnflag || l_linestatus AS c2,
+  CASE WHEN n < 4 THEN 1 ELSE 2 END AS pagina FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) AS n FROM lineitem)"""
 
 
-@query("table_page_merge", "SELECT * FROM (VALUES ('Circular, Materia, Motivo', 3, '5,6', 'DDU 1:a b:m n; DDU 2:c:o; DDU 3:d:p')) AS v(encabezados, filas, paginas, celdas)")
+@query(
+    "table_page_merge",
+    f"""WITH i AS ({_ITEMS}), g AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY n) AS grupo FROM i),
+    f AS (SELECT l_orderkey, grupo, string_agg(c0, '') AS c0, string_agg(c1, ' ' ORDER BY n) AS c1, string_agg(c2, ' ' ORDER BY n) AS c2 FROM g GROUP BY 1, 2),
+    p AS (SELECT l_orderkey, CASE WHEN max(pagina) = 2 THEN '1,2' ELSE '1' END AS paginas FROM i GROUP BY 1)
+    SELECT f.l_orderkey, 'Circular, Materia, Motivo' AS encabezados, count(*)::INT AS filas, any_value(paginas) AS paginas, string_agg(c0 || ':' || c1 || ':' || c2, '; ' ORDER BY grupo) AS celdas
+    FROM f JOIN p USING (l_orderkey) GROUP BY 1""",
+)
 def _(spark, sf_dir):
-    parts = [(5, [["Circular", "Materia", "Motivo"], ["DDU 1", "a", "m"]]), (6, [["", "b", "n"], ["DDU 2", "c", "o"], ["DDU 3", "d", "p"]])]
-    df = spark.createDataFrame([(parts,)], "parts array<struct<pagina:int,filas:array<array<string>>>>")
-    t = df.select(F.explode(tables.merge_pages(F.col("parts"))).alias("t"))
+    cols = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    i = table(spark, sf_dir, "lineitem", "l_orderkey", *cols).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("x"))
+    none = lambda n: (n % 3 == 0) | ((n == 4) & (F.col("l_orderkey") % 2 == 0))
+    row = lambda x, k: F.array(F.when(none(k + 1), "").otherwise(F.concat_ws(" ", F.lit("pieza"), x["l_partkey"])), F.concat_ws(" ", F.lit("lugar"), x["l_suppkey"]), F.concat(F.lit("estado "), x["l_returnflag"], x["l_linestatus"]))
+    rows = i.select("l_orderkey", F.transform("x", row).alias("f"))
+    head = F.array(F.array(*[F.lit(x) for x in ("Circular", "Materia", "Motivo")]))
+    page = lambda k, rows: F.struct(F.lit(k).alias("pagina"), rows.alias("filas"))
+    parts = F.array(page(1, F.concat(head, F.slice("f", 1, 3))), page(2, F.slice("f", 4, 1000)))
+    t = rows.select("l_orderkey", F.explode(tables.merge_pages(parts)).alias("t"))
     return t.select(
-        F.array_join("t.encabezados", ", ").alias("encabezados"), F.size("t.filas").alias("filas"), F.array_join(F.col("t.paginas").cast("array<string>"), ",").alias("paginas"),
+        "l_orderkey", F.array_join("t.encabezados", ", ").alias("encabezados"), F.size("t.filas").alias("filas"), F.array_join(F.col("t.paginas").cast("array<string>"), ",").alias("paginas"),
         F.array_join(F.transform("t.filas", lambda r: F.array_join(r, ":")), "; ").alias("celdas"),
     )
 
 
-@query("header_zip_merge", "SELECT 'N° CIRCULAR|FECHA de emisión|MATERIA' AS encabezados")
+@query(
+    "header_zip_merge",
+    f"""WITH c AS ({_CELLS}), p AS (SELECT file, row_no, c0, c1, lead(c0) OVER w AS d0, lead(c1) OVER w AS d1 FROM c WINDOW w AS (PARTITION BY file, pagina ORDER BY row_no)),
+    j AS (SELECT file, row_no, c0, c1, [CASE WHEN c0 <> '' AND d0 <> '' AND c0 <> d0 THEN c0 || ' ' || d0 WHEN c0 <> '' THEN c0 ELSE d0 END, CASE WHEN c1 <> '' AND d1 <> '' AND c1 <> d1 THEN c1 || ' ' || d1 WHEN c1 <> '' THEN c1 ELSE d1 END, ''] AS h FROM p WHERE d0 IS NOT NULL),
+    o AS (SELECT *, CASE WHEN h[1] = '' AND h[2] = '' THEN [] WHEN h[2] = '' THEN [h[1]] ELSE [h[1], h[2]] END AS x FROM j)
+    SELECT file, row_no, array_to_string(CASE WHEN len(x) > 0 THEN x ELSE list_filter([c0, c1, ''], lambda v: v <> '') END, '|') AS encabezados FROM o""",
+)
 def _(spark, sf_dir):
-    df = spark.createDataFrame([(["N°", "FECHA", "MATERIA", "", ""], ["CIRCULAR", "de emisión", "MATERIA", "", ""])], "a array<string>, b array<string>")
-    return df.select(F.array_join(tables.joined_headers(F.col("a"), F.col("b")), "|").alias("encabezados"))
+    """Each row of a page with the next one as two header rows; the third column has no name in either."""
+    w = Window.partitionBy("file", "pagina").orderBy("row_no")
+    rows = cell_rows(spark, sf_dir).select("file", "row_no", "c0", "c1", F.lead("c0").over(w).alias("d0"), F.lead("c1").over(w).alias("d1")).where("d0 is not null")
+    return rows.select("file", "row_no", F.array_join(tables.joined_headers(F.array("c0", "c1", F.lit("")), F.array("d0", "d1", F.lit(""))), "|").alias("encabezados"))
 
 
-@query("column_collapse", "SELECT 'DDU 1|a b|c d' AS fila UNION ALL SELECT 'DDU 2|e|f'")
+@query(
+    "column_collapse",
+    """WITH c AS (SELECT circular_id, list_transform([numero, lugar, fuente, fecha, numero_ord], lambda x: CASE WHEN lower(trim(x)) = 'none' THEN '' ELSE coalesce(trim(x), '') END) AS r FROM circulares)
+    SELECT circular_id, r[1] || '|' || trim(r[2] || ' ' || r[3]) || '|' || trim(r[4] || ' ' || r[5]) AS fila FROM c""",
+)
 def _(spark, sf_dir):
-    df = spark.createDataFrame([([["DDU 1", "a", "b", "c", "d"], ["DDU 2", "e", None, "none", "f"]],)], "r array<array<string>>")
-    return df.select(F.explode(F.transform(tables.collapse_five(F.col("r")), lambda r: F.array_join(r, "|"))).alias("fila"))
+    five = F.array(F.array("numero", "lugar", "fuente", "fecha", "numero_ord"))
+    return circ(spark, sf_dir, "numero", "lugar", "fuente", "fecha", "numero_ord").select("circular_id", F.array_join(F.get(tables.collapse_five(five), F.lit(0)), "|").alias("fila"))
 
 
 @query("row_pad", _L + " SELECT doc_id, line_no, array_to_string(list_transform(range(1, 6), lambda i: coalesce(trim(string_split(line[2:-2], '|')[i]), '')), '~') AS fila FROM l WHERE line LIKE '|%|' AND length(line) > 1")
@@ -623,18 +675,36 @@ def _(spark, sf_dir):
 
 @query(
     "table_naming",
-    "SELECT * FROM (VALUES (1, 'Modificaciones Normativas (DDU 168)'), (2, 'Tabla de Circulares Dejadas sin Efecto (Pág. 2-3)'), (3, 'Tabla de Circulares Modificadas (Pág. 1)'), (4, 'Tabla: x, y (Pág. 1)'), (5, 'Tabla técnica (Pág. 4)')) AS v(k, nombre)",
+    """WITH c AS (SELECT circular_id, coalesce(materia, '') AS h, coalesce(modificaciones_posteriores, '') AS m, circular_id % 9 + 1 AS p, circular_id % 2 AS q FROM circulares),
+    t AS (SELECT *, CASE circular_id % 5 WHEN 0 THEN 'Circular' WHEN 1 THEN 'MOTIVOS / CONSIDERACIONES' WHEN 2 THEN 'Modificaciones' WHEN 3 THEN 'TIPO DE GESTIÓN' ELSE 'Plazo' END AS k,
+      '(Pág. ' || p || CASE WHEN q = 1 THEN '-' || (p + 1) ELSE '' END || ')' AS s FROM c)
+    SELECT circular_id, CASE WHEN contains(h || ' ' || m, 'DDU 339') OR contains(h || ' ' || m, 'DDU 322') OR contains(h || ' ' || m, 'DDU 168') THEN 'Modificaciones Normativas (' || array_to_string(list_filter(['DDU 339', 'DDU 322', 'DDU 168'], lambda d: contains(h || ' ' || m, d)), ', ') || ')'
+      WHEN regexp_matches(lower(k), 'motivos') OR contains(lower(h), 'dejan sin efecto') OR contains(lower(h), 'motivos') THEN 'Tabla de Circulares Dejadas sin Efecto ' || s
+      WHEN k = 'Modificaciones' OR contains(lower(h), 'modificaciones') THEN 'Tabla de Circulares Modificadas ' || s WHEN k = 'TIPO DE GESTIÓN' OR contains(lower(h), 'tipo de gestión') THEN 'Tabla: TIPO DE GESTIÓN, CASOS QUE COMPRENDE: ' || s
+      WHEN k = 'Circular' OR regexp_matches(lower(h), 'modifica|circular') THEN 'Tabla de Modificaciones Normativas ' || s ELSE 'Tabla: ' || k || ', ' || h || ' ' || s END AS nombre FROM t""",
 )
 def _(spark, sf_dir):
-    rows = [(1, ["Circular"], [["DDU 168"]], [1]), (2, ["MOTIVOS / CONSIDERACIONES"], [["a"]], [2, 3]), (3, ["Modificaciones"], [["a"]], [1]), (4, ["x", "y", "z"], [["a"]], [1]), (5, [], [["a"]], [4])]
-    df = spark.createDataFrame(rows, "k int, h array<string>, f array<array<string>>, p array<int>")
-    return df.select("k", tables.table_name(F.col("h"), F.col("f"), F.col("p")).alias("nombre"))
+    """Tables with one known column, the subject as the other, and the notes of amendment as their cells."""
+    k, p = F.col("circular_id") % 5, (F.col("circular_id") % 9 + 1).cast("int")
+    name = F.when(k == 0, "Circular").when(k == 1, "MOTIVOS / CONSIDERACIONES").when(k == 2, "Modificaciones").when(k == 3, "TIPO DE GESTIÓN").otherwise("Plazo")
+    pages = F.when(F.col("circular_id") % 2 == 1, F.array(p, p + 1)).otherwise(F.array(p))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    got = tables.table_name(F.array(name, text("materia")), F.array(F.array(text("modificaciones_posteriores"))), pages)
+    return circ(spark, sf_dir, "materia", "modificaciones_posteriores").select("circular_id", got.alias("nombre"))
 
 
-@query("table_compact_markdown", "SELECT '| A | B |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | 2 |' || chr(10) || '| 3 |  |' AS markdown")
+@query(
+    "table_compact_markdown",
+    """WITH c AS (SELECT circular_id, 'T' || circular_id AS t, 'v' || (circular_id * 7 % 1000) AS v, CASE WHEN num_ok THEN 'x' || length(numero) ELSE '' END AS x FROM (SELECT circular_id, numero, numero IS NOT NULL AND circular_id % 3 <> 0 AS num_ok FROM circulares))
+    SELECT circular_id, '| ' || t || ' | B |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || v || ' | ' || x || ' |' || chr(10) || CASE WHEN x <> '' THEN '| ' || x || ' |  |' || chr(10) ELSE '' END || '| z | ' || v || ' |' AS markdown FROM c""",
+)
 def _(spark, sf_dir):
-    df = spark.createDataFrame([([["A", "", "B"], ["1", "x", "2"], [None, None, None], ["3", "", ""]],)], "r array<array<string>>")
-    return df.select(tables.compact(F.col("r"))["markdown"].alias("markdown"))
+    """Tables of three columns of which the second has no name; a row without text is dropped, a row of two cells is put in order."""
+    t, v = F.concat(F.lit("T"), F.col("circular_id").cast("string")), F.concat(F.lit("v"), (F.col("circular_id") * 7 % 1000).cast("string"))
+    x = F.when(F.col("numero").isNotNull() & (F.col("circular_id") % 3 != 0), F.concat(F.lit("x"), F.length("numero").cast("string"))).otherwise("")
+    none = F.lit(None).cast("string")
+    rows = F.array(F.array(t, F.lit(""), F.lit("B")), F.array(v, F.lit("fuera"), x), F.array(none, none, none), F.array(x, F.lit(""), F.lit("")), F.array(F.lit("z"), v))
+    return circ(spark, sf_dir, "numero").select("circular_id", tables.compact(rows)["markdown"].alias("markdown"))
 
 
 @query(
@@ -785,12 +855,29 @@ def _(spark, sf_dir):
     return l.join(small(b), F.col("l_quantity").between(F.col("lo"), F.col("hi"))).groupBy("banda").agg(F.count("*").alias("filas"), F.round(F.sum("l_extendedprice"), 2).alias("monto"))
 
 
-@query("block_placement", "SELECT * FROM (VALUES ('r1', 'derecha', 'b', 1), ('r1', 'izquierda', 'a c', 2), ('r2', 'izquierda', 'c', 1)) AS v(row_key, lado, texto, bloques)")
+_BLOCKS = """SELECT doc_id, (line_no // 40)::INT AS page, line_no AS block_no, CASE WHEN line_no % 3 = 0 THEN 380.0 WHEN line_no % 7 = 0 THEN 100.0 ELSE 230.0 END AS x0, (line_no % 40) * 20.0 AS y0, 'l' || line_no AS t FROM l WHERE line <> '' AND line_no % 5 <> 4"""
+
+
+@query(
+    "block_placement",
+    _L + f""", b AS ({_BLOCKS}), r AS (SELECT unnest(range(8)) AS k), d AS (SELECT DISTINCT doc_id, page FROM b),
+    p AS (SELECT b.doc_id, b.page, 'r' || k AS row_key, CASE WHEN x0 + 50 BETWEEN 225 AND 322 THEN 'izquierda' WHEN x0 + 50 > 322 THEN 'derecha' END AS lado, block_no, t FROM b JOIN d USING (doc_id, page) JOIN r ON b.y0 BETWEEN k * 100.0 AND (k + 1) * 100.0)
+    SELECT doc_id, page, row_key, lado, string_agg(t, ' ' ORDER BY block_no) AS texto, count(*) AS bloques FROM p WHERE lado IS NOT NULL GROUP BY 1, 2, 3, 4""",
+)
 def _(spark, sf_dir):
-    blocks = spark.createDataFrame([(1, 1, 1, 230.0, 60.0, 300.0, 70.0, "a", 0), (1, 1, 2, 380.0, 65.0, 500.0, 75.0, "b", 0), (1, 1, 3, 230.0, 100.0, 300.0, 110.0, "c", 0), (1, 1, 4, 230.0, 61.0, 300.0, 70.0, "img", 1)],
-                                   "doc_id int, page int, block_no int, x0 double, y0 double, x1 double, y1 double, text string, type int")
-    bands = spark.createDataFrame([(1, 1, "r1", 50.0, 100.0), (1, 1, "r2", 100.0, 150.0)], "doc_id int, page int, row_key string, y_min double, y_max double")
-    return tables.place_blocks(blocks, bands, 322.0, 225.0).select("row_key", "lado", "texto", F.col("bloques").cast("int").alias("bloques"))
+    """Lines of documents as text blocks (every fifth is none) placed in bands of 100 points that share their edges."""
+    n = F.col("line_no")
+    x0 = F.when(n % 3 == 0, 380.0).when(n % 7 == 0, 100.0).otherwise(230.0)
+    y0 = (n % 40) * F.lit(20.0)
+    blocks = doc_lines(spark, sf_dir).where("line <> ''").select(
+        "doc_id", F.expr("line_no div 40").cast("int").alias("page"), n.alias("block_no"), x0.alias("x0"), y0.alias("y0"), (x0 + 100).alias("x1"), (y0 + 12).alias("y1"),
+        F.concat(F.lit("l"), n.cast("string")).alias("text"), (n % 5 == 4).cast("int").alias("type"),
+    )
+    k = F.explode(F.sequence(F.lit(0), F.lit(7)))
+    bands = blocks.where("type = 0").select("doc_id", "page").distinct().select("doc_id", "page", k.alias("k")).select(
+        "doc_id", "page", F.concat(F.lit("r"), F.col("k").cast("string")).alias("row_key"), (F.col("k") * 100.0).alias("y_min"), ((F.col("k") + 1) * 100.0).alias("y_max")
+    )
+    return tables.place_blocks(blocks, bands, 322.0, 225.0)
 
 
 _LABELS = {"OGUC": G.OGUC, "LGUC": G.LGUC}
@@ -872,69 +959,115 @@ def _(spark, sf_dir):
 
 # -- images
 
-_IMAGES = [(1, 200, 100, 5000, 50.0, 100.0, 250.0, 200.0, 1), (2, 300, 8, 5000, 50.0, 700.0, 350.0, 708.0, 2), (3, 300, 300, 900, 50.0, 300.0, 350.0, 600.0, 2), (4, 2000, 2600, 90000, 0.0, 0.0, 600.0, 800.0, 3),
-           (5, 700, 760, 40000, 100.0, 200.0, 500.0, 600.0, 3), (5, 700, 760, 40000, 100.0, 200.0, 500.0, 600.0, 4)]
+# Images of documents: the lines of an order as the pictures on its pages, two lines to a page.
 
 
-def _image_rows(spark):
-    rows = [(1, 456, page, xref, w, h, size, 600.0, 800.0, x0, y0, x1, y1) for xref, w, h, size, x0, y0, x1, y1, page in _IMAGES]
-    return spark.createDataFrame(rows, "doc_id int, num int, page int, xref int, w int, h int, bytes int, page_w double, page_h double, x0 double, y0 double, x1 double, y1 double")
+def image_rows(spark, sf_dir):
+    """``(doc_id, num, page, xref, w, h, bytes, page_w, page_h, x0, y0, x1, y1)`` from the order lines."""
+    i = lambda c: F.expr(c).cast("int")
+    l = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return l.select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_orderkey").alias("num"), i("(l_linenumber + 1) div 2").alias("page"), i("l_partkey % 6").alias("xref"), i("l_suppkey * 37 % 900").alias("w"), i("l_partkey * 13 % 700").alias("h"),
+        i("l_partkey * 31 % 9000").alias("bytes"), F.lit(600.0).alias("page_w"), F.lit(800.0).alias("page_h"), F.expr("cast(l_quantity as double)").alias("x0"), i("l_partkey % 70 * 10").cast("double").alias("y0"),
+        F.expr("cast(l_quantity as double) + l_suppkey * 37 % 900").alias("x1"), (i("l_partkey % 70 * 10") + i("l_partkey * 13 % 700")).cast("double").alias("y1"),
+    )
 
 
-_IMAGE_VALUES = "(VALUES " + ", ".join(f"({p}, {x}, {w}, {h}, {s}, {x0}::DOUBLE, {y0}::DOUBLE, {x1}::DOUBLE, {y1}::DOUBLE)" for x, w, h, s, x0, y0, x1, y1, p in _IMAGES) + ") AS i(page, xref, w, h, bytes, x0, y0, x1, y1)"
-_IMAGE_OK = "h >= 60 AND w >= 60 AND bytes >= 1000 AND NOT (page = 1 AND y0 < 150) AND NOT (x1 - x0 >= 600 * 0.9 AND y1 - y0 >= 800 * 0.9)"
+_IMAGE_ROWS = """i AS (SELECT l_orderkey AS doc_id, (l_linenumber + 1) // 2 AS page, l_partkey % 6 AS xref, l_suppkey * 37 % 900 AS w, l_partkey * 13 % 700 AS h, l_partkey * 31 % 9000 AS bytes,
+  l_quantity::DOUBLE AS x0, (l_partkey % 70 * 10)::DOUBLE AS y0, l_quantity::DOUBLE + l_suppkey * 37 % 900 AS x1, (l_partkey % 70 * 10 + l_partkey * 13 % 700)::DOUBLE AS y1 FROM lineitem)"""
+_IMAGE_OK = "h >= 60 AND w >= 60 AND bytes >= 1000 AND NOT (page = 1 AND y0 < 150) AND NOT (x1 - x0 >= 540 AND y1 - y0 >= 720)"
 
 
-@query("image_filter", f"SELECT page, xref FROM {_IMAGE_VALUES} WHERE {_IMAGE_OK}")
+@query("image_filter", f"WITH {_IMAGE_ROWS} SELECT doc_id, page::INT AS page, xref::INT AS xref, w::INT AS w, h::INT AS h FROM i WHERE {_IMAGE_OK}")
 def _(spark, sf_dir):
-    return _image_rows(spark).where(images.is_drawing()).select("page", "xref")
+    return image_rows(spark, sf_dir).where(images.is_drawing()).select("doc_id", "page", "xref", "w", "h")
 
 
-@query("image_manifest", "SELECT 'DDU_456_img_1' AS id, 3 AS pagina, 'Esquema técnico' AS tipo, '700x760' AS dimensiones, 'Esquema / diagrama técnico en página 3 (700x760 px)' AS descripcion")
+@query(
+    "image_manifest",
+    f"""WITH {_IMAGE_ROWS}, k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, xref ORDER BY page, w, h) AS r FROM i WHERE {_IMAGE_OK}),
+    n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page, xref) AS n FROM k WHERE r = 1)
+    SELECT 'DDU_' || doc_id || '_img_' || n AS id, page::INT AS pagina, 'Esquema técnico' AS tipo, w || 'x' || h AS dimensiones, 'Esquema / diagrama técnico en página ' || page || ' (' || w || 'x' || h || ' px)' AS descripcion FROM n""",
+)
 def _(spark, sf_dir):
-    return images.image_manifest(_image_rows(spark)).select("id", "pagina", "tipo", "dimensiones", "descripcion")
-
-
-_TEXTS = [(1, "urbanizaciones voluntarias desvinculadas del proceso"), (2, "PLANTA AZOTEA y CORTE ESQUEMÁTICO"), (3, "planta azotea"), (4, "A continuación se muestra el esquema de las obras. Otra"), (5, "Figura 1: Vista del predio"), (6, "nada")]
+    return images.image_manifest(image_rows(spark, sf_dir)).select("id", "pagina", "tipo", "dimensiones", "descripcion")
 
 
 @query(
     "image_description",
-    """SELECT * FROM (VALUES (1, 'Esquema ilustrativo: Urbanizaciones voluntarias desvinculadas del proceso de división del suelo'), (2, 'Esquema ilustrativo: Planta azotea y corte esquemático'), (3, 'Esquema técnico: Planta azotea'),
-    (4, 'Se muestra el esquema de las obras'), (5, 'Figura 1: Vista del predio'), (6, 'Esquema / diagrama técnico en página 2 (10x20 px)')) AS v(k, descripcion)""",
+    """SELECT circular_id, CASE circular_id % 6 WHEN 0 THEN 'Esquema ilustrativo: Urbanizaciones voluntarias desvinculadas del proceso de división del suelo' WHEN 1 THEN 'Esquema ilustrativo: Planta azotea y corte esquemático'
+      WHEN 2 THEN 'Esquema técnico: Planta azotea' WHEN 3 THEN 'Se muestra el esquema del sitio n' || length(numero) WHEN 4 THEN 'Figura ' || length(numero) || ': Vista del predio'
+      ELSE 'Esquema / diagrama técnico en página ' || (circular_id % 7) || ' (10x20 px)' END AS descripcion FROM circulares WHERE numero IS NOT NULL""",
 )
 def _(spark, sf_dir):
-    df = spark.createDataFrame(_TEXTS, "k int, t string")
-    return df.select("k", images.description(F.col("t"), F.lit(2), F.lit(10), F.lit(20)).alias("descripcion"))
+    k, n = F.col("circular_id") % 6, F.length("numero").cast("string")
+    text = (
+        F.when(k == 0, "las urbanizaciones voluntarias desvinculadas del proceso").when(k == 1, "PLANTA AZOTEA y CORTE ESQUEMÁTICO").when(k == 2, "planta azotea")
+        .when(k == 3, F.concat(F.lit("A continuación se muestra el esquema del sitio n"), n, F.lit(". Otra"))).when(k == 4, F.concat(F.lit("Figura "), n, F.lit(": Vista del predio"))).otherwise("nada")
+    )
+    return circ(spark, sf_dir, "numero").where("numero is not null").select("circular_id", images.description(text, (F.col("circular_id") % 7).cast("int"), F.lit(10), F.lit(20)).alias("descripcion"))
 
 
-@query("markdown_image_scan", "SELECT * FROM (VALUES ('DDU_9_img_1', 'Esquema de loteo', 'Esquema técnico'), ('DDU_9_img_2', 'Imagen referenciada en línea 3', 'Imagen / Diagrama')) AS v(id, nombre, tipo)")
+@query(
+    "markdown_image_scan",
+    f"""WITH c AS (SELECT circular_id, [CASE WHEN lugar IS NOT NULL THEN '![Esquema de ' || lugar || '](a.png)' END, 'texto', 'x ![ ](' || circular_id || '.png) ![' || coalesce(fuente, '') || '](b.png)'] AS l FROM circulares),
+    a AS (SELECT circular_id, i, unnest(regexp_extract_all(coalesce(l[i], ''), '!\\[([^\\]]*)\\]\\([^)]+\\)', 1)) AS alt, generate_subscripts(regexp_extract_all(coalesce(l[i], ''), '!\\[([^\\]]*)\\]\\([^)]+\\)', 1), 1) AS j FROM c, (SELECT unnest([1, 2, 3]) AS i)),
+    n AS (SELECT circular_id, CASE WHEN trim(alt) <> '' THEN {S.strip('alt')} ELSE 'Imagen referenciada en línea ' || i END AS nombre, row_number() OVER (PARTITION BY circular_id ORDER BY i, j) AS k FROM a)
+    SELECT circular_id, 'DDU_9_img_' || k AS id, nombre, CASE WHEN contains(lower(nombre), 'esquema') THEN 'Esquema técnico' ELSE 'Imagen / Diagrama' END AS tipo FROM n""",
+)
 def _(spark, sf_dir):
-    df = spark.createDataFrame([(["![Esquema de loteo](a.png)", "texto", "x ![](b.png)"],)], "l array<string>")
-    return df.select(F.explode(images.markdown_images(F.col("l"), F.lit("9"))).alias("m")).select("m.id", "m.nombre", "m.tipo")
+    no = F.col("circular_id").cast("string")
+    lines = F.array(
+        F.coalesce(F.when(F.col("lugar").isNotNull(), F.concat(F.lit("![Esquema de "), "lugar", F.lit("](a.png)"))), F.lit("")), F.lit("texto"),
+        F.concat(F.lit("x ![ ]("), no, F.lit(".png) !["), F.coalesce("fuente", F.lit("")), F.lit("](b.png)")),
+    )
+    rows = circ(spark, sf_dir, "lugar", "fuente").select("circular_id", F.explode(images.markdown_images(lines, F.lit("9"))).alias("m"))
+    return rows.select("circular_id", "m.id", "m.nombre", "m.tipo")
 
 
-@query("bbox_minmax", f"SELECT page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM {_IMAGE_VALUES} WHERE y1 < 750 AND y0 > 100 GROUP BY page")
+@query("bbox_minmax", f"WITH {_IMAGE_ROWS} SELECT doc_id, page::INT AS page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM i WHERE y1 < 750 AND y0 > 100 GROUP BY 1, 2")
 def _(spark, sf_dir):
-    inner = _image_rows(spark).where("y1 < page_h - 50 and y0 > 100")
-    return inner.groupBy("page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    inner = image_rows(spark, sf_dir).where("y1 < page_h - 50 and y0 > 100")
+    return inner.groupBy("doc_id", "page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+_STEP = """SELECT doc_id, page, n + 1 AS n, CASE WHEN f THEN least(a0, x0) ELSE a0 END AS a0, CASE WHEN f THEN least(b0, y0) ELSE b0 END AS b0, CASE WHEN f THEN greatest(a1, x1) ELSE a1 END AS a1, CASE WHEN f THEN greatest(b1, y1) ELSE b1 END AS b1
+  FROM (SELECT g.*, x0, y0, x1, y1, coalesce(y0 >= 60 AND y1 <= 760 AND y0 >= b0 - 25 AND y1 <= b1 + 25 AND x0 >= a0 - 60 AND x1 <= a1 + 60, false) AS f FROM g{k} g LEFT JOIN t ON t.doc_id = g.doc_id AND t.page = g.page AND t.block_no = {k} + 1)"""
 
 
-@query("bbox_grow", "SELECT 3 AS page, 52.0::DOUBLE AS x0, 177.0::DOUBLE AS y0, 508.0::DOUBLE AS x1, 608.0::DOUBLE AS y1")
+@query(
+    "bbox_grow",
+    f"""WITH {_IMAGE_ROWS}, g0 AS (SELECT doc_id, page, 0 AS n, min(x0) AS a0, min(y0) AS b0, max(x1) AS a1, max(y1) AS b1 FROM i WHERE y1 < 750 AND y0 > 100 GROUP BY 1, 2),
+    t AS (SELECT l_orderkey AS doc_id, (l_linenumber + 1) // 2 AS page, (l_linenumber + 1) % 2 + 1 AS block_no, min(l_quantity)::DOUBLE - 30 AS x0, min(l_partkey % 70 * 10)::DOUBLE - 20 AS y0, min(l_quantity)::DOUBLE + 200 AS x1,
+      min(l_partkey % 70 * 10)::DOUBLE + 40 AS y1 FROM lineitem WHERE l_suppkey % 4 <> 0 GROUP BY 1, 2, 3),
+    g1 AS ({_STEP.format(k=0)}), g2 AS ({_STEP.format(k=1)})
+    SELECT doc_id, page::INT AS page, greatest(20.0, a0 - 8)::DOUBLE AS x0, greatest(40.0, b0 - 8)::DOUBLE AS y0, least(580.0, a1 + 8)::DOUBLE AS x1, least(780.0, b1 + 8)::DOUBLE AS y1 FROM g2""",
+)
 def _(spark, sf_dir):
-    blocks = [(1, 3, 1, 60.0, 185.0, 120.0, 200.0, "Cota 1"), (1, 3, 2, 100.0, 195.0, 480.0, 210.0, "1. De conformidad con lo dispuesto"), (1, 3, 3, 100.0, 620.0, 300.0, 640.0, "Fuera"), (1, 3, 4, -10.0, 300.0, 90.0, 320.0, "Fuera a la izquierda")]
-    df = spark.createDataFrame(blocks, "doc_id int, page int, block_no int, x0 double, y0 double, x1 double, y1 double, text string")
-    return images.drawing_box(_image_rows(spark).where("xref = 5 and page = 3"), df).select("page", "x0", "y0", "x1", "y1")
+    """The boxes of all pages grown over the labels beside them; blocks that open a numbered paragraph are no labels."""
+    l = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    page, number = F.expr("(l_linenumber + 1) div 2").cast("int"), F.expr("(l_linenumber + 1) % 2 + 1 + if(l_suppkey % 4 = 0, 2, 0)").cast("int")
+    placed = l.groupBy(F.col("l_orderkey").alias("doc_id"), page.alias("page"), number.alias("block_no")).agg(F.min("l_quantity").cast("double").alias("x"), F.min(F.expr("l_partkey % 70 * 10")).cast("double").alias("y"))
+    text = F.when(F.col("block_no") > 2, "1. De conformidad con lo dispuesto").otherwise(F.concat(F.lit("Cota "), F.col("block_no").cast("string")))
+    blocks = placed.select("doc_id", "page", "block_no", (F.col("x") - 30).alias("x0"), (F.col("y") - 20).alias("y0"), (F.col("x") + 200).alias("x1"), (F.col("y") + 40).alias("y1"), text.alias("text"))
+    return images.drawing_box(image_rows(spark, sf_dir), blocks).select("doc_id", "page", "x0", "y0", "x1", "y1")
+
+
+_PARS = "SELECT circular_id AS doc_id, (line_no // 10 + 1)::INT AS sec_no, (line_no % 10 + 1)::INT AS par_no, CASE WHEN line_no % 7 = circular_id % 7 THEN line || ' Ver el siguiente esquema.' ELSE line END AS texto FROM l WHERE line <> ''"
 
 
 @query(
     "image_first_trigger",
-    """WITH p AS (SELECT * FROM (VALUES (1, 1, 1, 'par_1_1', 'Texto.'), (1, 1, 2, 'par_1_2', 'Ver el siguiente esquema.'), (1, 2, 1, 'par_2_1', 'Siguiente figura.'), (2, 1, 1, 'par_1_1', 'Nada.')) AS v(doc_id, sec_no, par_no, par_id, texto))
-    SELECT doc_id, arg_min(par_id, sec_no * 1000 + par_no) AS par_id FROM p WHERE regexp_matches(texto, '(?i)esquema ilustrativo|siguiente esquema|siguiente figura') GROUP BY doc_id""",
+    _C + f", p AS ({_PARS}) SELECT doc_id, arg_min('par_' || sec_no || '_' || par_no, sec_no * 1000 + par_no) AS par_id FROM p WHERE regexp_matches(texto, '(?i)esquema ilustrativo|siguiente esquema|siguiente figura') GROUP BY doc_id",
 )
 def _(spark, sf_dir):
-    rows = [(1, 1, 1, "par_1_1", "Texto."), (1, 1, 2, "par_1_2", "Ver el siguiente esquema."), (1, 2, 1, "par_2_1", "Siguiente figura."), (2, 1, 1, "par_1_1", "Nada.")]
-    return images.first_trigger(spark.createDataFrame(rows, "doc_id int, sec_no int, par_no int, par_id string, texto string"))
+    """Lines of bodies as paragraphs, ten to a section; one in seven introduces a drawing."""
+    n = F.col("line_no")
+    rows = explode_lines(circ(spark, sf_dir, "cuerpo"), "circular_id", "cuerpo").where("line <> ''")
+    sec, par = F.expr("line_no div 10 + 1").cast("int"), (n % 10 + 1).cast("int")
+    text = F.when(n % 7 == F.col("circular_id") % 7, F.concat("line", F.lit(" Ver el siguiente esquema."))).otherwise(F.col("line"))
+    named = rows.select(F.col("circular_id").alias("doc_id"), sec.alias("sec_no"), par.alias("par_no"), F.concat_ws("_", F.lit("par"), sec.cast("string"), par.cast("string")).alias("par_id"), text.alias("texto"))
+    return images.first_trigger(named)
 
 
 # -- files and renderers
