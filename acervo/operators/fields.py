@@ -134,7 +134,7 @@ def footnotes(text: Column, lines: Column) -> Column:
     def step(s: Column, l: Column) -> Column:
         n = F.regexp_extract(l, r"^(\d{1,2})\s", 1).try_cast("int")
         closes = any_of(l, NOTE_FLUSH)
-        opens = l.rlike(NOTE_OPEN) & n.between(1, 60) & ~P.NO_NOTE.column(P.words(l)) & ~l.rlike(P.NUMERAL)
+        opens = l.rlike(NOTE_OPEN) & n.between(1, 60) & ~P.NO_NOTE.column(l) & ~l.rlike(P.NUMERAL)
         return (
             F.when(closes | opens, F.struct(flush(s).alias("got"), F.when(closes, F.lit("")).otherwise(F.regexp_replace(l, r"^(\d{1,2})\s+", "$1 ")).alias("cur")))
             .otherwise(F.struct(s["got"].alias("got"), F.when(s["cur"] != "", F.concat(s["cur"], F.lit(" "), l)).otherwise(s["cur"]).alias("cur")))

@@ -1,8 +1,9 @@
 """Predicates over one line.
 
-A line is judged by its word form (:func:`words`: folded words with single blanks between and around them), which is compared with
-phrases written as plain text, and by a few features of the line itself (its capitals, its first number). Spaces, marks and accents
-that a scanner loses or adds make no difference. The same phrases serve the column expressions here and the automaton of the body.
+A line is compared with phrases that are written as plain text, word by word: case, accents, and all marks and blanks between words
+make no difference, as scanners lose and add them. A few features of the line itself (its capitals, its first number) complete them.
+The same phrases serve the column expressions here, as one pattern that reads a line once, and the automaton of the body, over the word
+form of a line (:func:`words_of`).
 """
 
 from __future__ import annotations
@@ -19,17 +20,28 @@ from acervo.functions.casts import MONTHS
 from acervo.functions.regex import any_of, ci, rx, upper_share
 
 _FOLDED, _BASE = "áéíóúüñàèìòùâêîôûäëïöãõç", "aeiouunaeiouaeiouaeioaoc"
-_TABLE = str.maketrans(_FOLDED, _BASE)
+_PAIRS = tuple(zip(_FOLDED, _BASE))
+#: What stands between words, and the forms of a letter.
+GAP = f"[^a-z0-9{_FOLDED}]"
+_FORMS = {b: f"[{b}{''.join(x for x, y in _PAIRS if y == b)}]" for b in sorted(set(_BASE))}
 
 
-def words(l: Column) -> Column:
-    """Word form of a line: `` planta azotea `` of ``PLANTA  AZOTEA.``."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate(F.lower(l), _FOLDED, _BASE), "[^a-z0-9]+", " ")), F.lit(" "))
+def folded(line: str) -> str:
+    """A Python string in lower case without accents."""
+    low = line.lower()
+    if not low.isascii():
+        for a, b in _PAIRS:
+            if a in low:
+                low = low.replace(a, b)
+    return low
+
+
+_GAPS = re.compile("[^a-z0-9]+")
 
 
 def words_of(line: str) -> str:
     """:func:`words` of a Python string."""
-    return " " + re.sub("[^a-z0-9]+", " ", line.lower().translate(_TABLE)).strip() + " "
+    return f" {_GAPS.sub(' ', folded(line)).strip()} "
 
 
 @dataclass(frozen=True)
@@ -49,8 +61,11 @@ class Phrases:
     def _compiled(self) -> re.Pattern:
         return re.compile(self.pattern)
 
-    def column(self, w: Column) -> Column:
-        return w.rlike(self.pattern)
+    def column(self, l: Column, lead: str = "") -> Column:
+        """The test as a column; ``lead`` is a pattern that may stand before a beginning."""
+        spell = lambda p: f"{GAP}+".join("".join({"#": "[0-9]+", "*": f"[a-z{_FOLDED}]+"}.get(c, _FORMS.get(c, c)) for c in w) for w in p.split())
+        parts = [f"^{lead}{GAP}*{spell(p)}(?={GAP}|$)" for p in self.begins] + [f"(?<!{GAP[:1]}{GAP[2:]}){spell(p)}(?={GAP}|$)" for p in self.holds] + [f"^{GAP}*{spell(p)}{GAP}*$" for p in self.is_]
+        return l.rlike(ci("|".join(parts)))
 
     def test(self, w: str) -> bool:
         return bool(self._compiled.search(w))
@@ -107,43 +122,36 @@ KEYWORD_LIST = r"^[\p{Lu}0-9\s;]{3,}(,\s*[\p{Lu}0-9\s;]{3,})+\.?$"
 
 
 def is_drawing_title(l: Column) -> Column:
-    return DRAWING.column(words(l))
+    return DRAWING.column(l)
 
 
 def is_drawing_label(l: Column) -> Column:
     """A label of a drawing: fractions, a drawing title, or one of the short labels."""
-    w = words(l)
-    return l.rlike(FRACTIONS) | DRAWING.column(w) | ((F.length(l) < 80) & LABELS.column(w))
+    return l.rlike(FRACTIONS) | DRAWING.column(l) | ((F.length(l) < 80) & LABELS.column(l))
 
 
 def is_table_start(l: Column) -> Column:
-    w = words(l)
-    return TABLE.column(w) | (l.startswith("|") & BARRED_TABLE.column(w))
+    return TABLE.column(l) | (l.startswith("|") & BARRED_TABLE.column(l))
 
 
 def is_margin_note(l: Column) -> Column:
     """A margin note that says the circular was amended later."""
-    return MARGIN.column(words(l))
+    return MARGIN.column(l)
 
 
 def is_note_start(l: Column) -> Column:
     """Start of a footnote, not a quantity, date or numeral."""
-    return l.rlike(NOTE) & ~NO_NOTE.column(words(l)) & ~l.rlike(NUMERAL)
+    return l.rlike(NOTE) & ~NO_NOTE.column(l) & ~l.rlike(NUMERAL)
 
 
 def is_page_foot(l: Column) -> Column:
     """A page number, a line of the letterhead, or exclamation marks only (rests of a rule)."""
-    c = F.regexp_replace(F.translate(F.lower(l), _FOLDED, _BASE), r"(?U)\s+", "")
-    return c.rlike(f"{PAGE_NUMBER}|{'|'.join(FEET)}|^!+$")
-
-
-def _unnumbered(w: Column) -> Column:
-    """A word form without numerals at its beginning."""
-    return F.regexp_replace(w, "^(?: [ivxlcdm0-9]+)+ ", " ")
+    torn = "|".join(r"\s*".join(_FORMS.get(c, c) for c in f) for f in FEET)
+    return l.rlike(ci(rf"p\s*[aá]\s*g\s*i\s*n\s*a\s*[0-9]|{torn}|^[!\s]*!\s*$"))
 
 
 def is_index_start(l: Column) -> Column:
-    return INDEX.column(_unnumbered(words(l)))
+    return INDEX.column(l, lead=f"(?:{GAP}*[ivxlcdm0-9]+{GAP}+)*")
 
 
 def is_index_line(l: Column) -> Column:
@@ -155,12 +163,12 @@ def is_table_residue(p: Column, cells: tuple[str, ...] = overrides.TABLE_CELLS)
     known = F.lit(False)
     for c in cells:
         known = known | p.startswith(c)
-    return TABLE_REST.column(words(p)) | p.rlike(r"^\d{3}\s+\d+\s+\d\d[-.]\d\d[-.]\d\d") | known | (p.startswith("La ejecución de obras de urbanización") & p.contains("Art. 2.2.1."))
+    return TABLE_REST.column(p) | p.rlike(r"^\d{3}\s+\d+\s+\d\d[-.]\d\d[-.]\d\d") | known | (p.startswith("La ejecución de obras de urbanización") & p.contains("Art. 2.2.1."))
 
 
 def is_recipient(p: Column) -> Column:
     """A recipient, numbered or not, that begins with a capital. ``Sr.`` and its forms count also before a blank."""
-    return p.rlike(r"^(?:\d+\.\s+)?\p{Lu}") & RECIPIENTS.column(words(p))
+    return p.rlike(r"^(?:\d+\.\s+)?\p{Lu}") & RECIPIENTS.column(p)
 
 
 def is_body_paragraph(p: Column) -> Column:
@@ -174,14 +182,14 @@ def is_upper(l: Column, share: float = 0.65) -> Column:
 
 
 def is_descriptor_line(l: Column) -> Column:
-    return is_upper(l) & ~(NO_DESCRIPTOR.column(words(l)) | l.rlike(r"(?i)^(?:DE\s*:|\d+\.)"))
+    return is_upper(l) & ~(NO_DESCRIPTOR.column(l) | l.rlike(r"(?i)^(?:DE\s*:|\d+\.)"))
 
 
 def is_descriptor_start(l: Column) -> Column:
     """A line that opens the descriptors: a known beginning, or mostly capitals with a known word or semicolon."""
     letters = F.length(F.regexp_replace(l, r"\P{L}", ""))
-    w = words(l)
-    return DESCRIPTORS.column(w) | ((letters >= 5) & is_upper(l, 0.75) & (l.contains(";") | w.rlike("|".join(DESCRIPTOR_WORDS))))
+    spelt = "|".join("".join(_FORMS.get(c, c) for c in w) for w in DESCRIPTOR_WORDS)
+    return DESCRIPTORS.column(l) | ((letters >= 5) & is_upper(l, 0.75) & (l.contains(";") | rx(l, spelt)))
 
 
 def is_person_name(l: Column) -> Column:
