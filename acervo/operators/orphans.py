@@ -11,12 +11,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acervo.session import cut, small
+
 #: Bounds of the Bloom filter in bits. The upper one bounds what is broadcast (8 MB); with more keys than it suits, the
 #: filter only passes more references on to the exact join.
 MIN_BITS, MAX_BITS = 1 << 12, 1 << 26
 HASHES = 4
-#: Copies of the parent rows over which the references of one key are spread in the exact join.
-SALT = 8
+#: References of one key that one task verifies; the references of a key with more are dealt over copies of its parent rows.
+HOT = 100_000
 
 #: A circular number, with or without thousands points, and a list of such numbers behind the mark "DDU".
 NUMBER = r"[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+"
@@ -88,25 +90,27 @@ def orphans(refs: DataFrame, registry: DataFrame) -> DataFrame:
 
     ``nunca`` is true if the filter proves that the number was never registered. A registry row is in force from
     ``alta_en`` (inclusive; null: never) to ``baja_en`` (exclusive; null: still). A reference without a time has no row in
-    force and is an orphan. The exact join spreads the references of one number over :data:`SALT` copies of its parent
-    rows, so a number that a third of all references name doesn't end in one task.
+    force and is an orphan. The references are read and marked once and written to the shared folder; only those that pass
+    the filter are shuffled. In the exact join the references of one number are dealt over as many copies of its parent
+    rows as their count asks for (:data:`HOT`), so a number that a third of all references name doesn't end in one task.
     """
-    bits = filter_bits(registry.count())
+    keys = registry.agg(F.approx_count_distinct("num").alias("n")).collect()[0]["n"]
+    bits = filter_bits(keys)
     words = bloom_words(registry.select("num"), "num", bits).scalar()
-    seen = refs.withColumn("_maybe", might_contain(words, F.col("num"), bits))
-    never = seen.where(~F.col("_maybe")).drop("_maybe").withColumn("nunca", F.lit(True))
-    spans = registry.where(F.col("num").isNotNull() & F.col("alta_en").isNotNull()).select(
-        F.col("num").alias("_num"), "alta_en", "baja_en", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_s")
-    )
-    maybe = seen.where("_maybe").drop("_maybe").withColumn("_s0", F.pmod(F.xxhash64("circular_id"), F.lit(SALT)).cast("int"))
+    seen = cut(refs.withColumn("_w", words).select(*refs.columns, (~might_contain(F.col("_w"), F.col("num"), bits)).alias("nunca")))
+    never, maybe = seen.where("nunca"), seen.where("not nunca")
+    hot = maybe.groupBy(F.col("num").alias("_num")).count().where(F.col("count") > HOT).select("_num", F.ceil(F.col("count") / HOT).cast("int").alias("_copias"))
+    copies = F.coalesce("_copias", F.lit(1))
+    spans = registry.where(F.col("num").isNotNull() & F.col("alta_en").isNotNull()).select(F.col("num").alias("_num"), "alta_en", "baja_en")
+    spans = spans.join(small(hot), "_num", "left").select("_num", "alta_en", "baja_en", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_s"))
+    dealt = maybe.join(small(hot), F.col("num") == F.col("_num"), "left").withColumn("_s0", F.pmod(F.xxhash64("circular_id"), copies).cast("int")).drop("_num", "_copias")
     in_force = (
         (F.col("num") == F.col("_num"))
         & (F.col("_s0") == F.col("_s"))
         & (F.col("recibido_en") >= F.col("alta_en"))
         & (F.col("baja_en").isNull() | (F.col("recibido_en") < F.col("baja_en")))
     )
-    checked = maybe.join(spans, in_force, "left_anti").drop("_s0").withColumn("nunca", F.lit(False))
-    return never.unionByName(checked)
+    return never.unionByName(dealt.join(spans, in_force, "left_anti").drop("_s0"))
 
 
 def orphan_report(found: DataFrame) -> DataFrame:

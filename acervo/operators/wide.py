@@ -2,6 +2,10 @@
 
 Method: the entity-by-attribute grid is completed, the values are left joined to it, an array sorted by attribute
 position is collected per entity, and its fixed indices are projected through type-specific try casts.
+
+One shuffle: the rows of an entity are reduced to the deciding row per attribute on the map side and meet once, by entity. Its
+values then travel as a map beside it, so that the grid (one row per entity and attribute), the left join (a lookup in the map
+of the same entity) and the collection keep the partitioning by entity.
 """
 
 from __future__ import annotations
@@ -14,6 +18,9 @@ from acervo.session import small
 
 #: Most attributes of a wide table. They become columns, so they are part of the schema and not of the data.
 MAX_ATTRIBUTES = 2000
+#: Up to so many attributes are reduced side by side in one aggregation; more take one aggregation per attribute and one per entity.
+IN_ONE = 96
+_ENTRIES = "array<struct<pos:int,v:struct<row_no:int,valor:string>>>"
 
 
 def attribute_key(c: Column) -> Column:
@@ -46,13 +53,21 @@ def widen(eav: DataFrame, names: DataFrame) -> DataFrame:
         .groupBy("k").agg(F.min("pos").alias("pos"))
     )
     rows = eav.select("file", "row_no", attribute_key(F.col("campo")).alias("k"), F.col("valor_extraido").alias("valor")).where(F.col("file").isNotNull())
-    values = (
-        rows.join(small(known), "k")
-        .groupBy("file", "pos")
-        .agg(F.max(F.struct("row_no", "valor")).alias("v"))
-    )
-    grid = rows.select("file").distinct().select("file", F.explode(F.sequence(F.lit(0), F.lit(max(len(columns) - 1, 0)))).alias("pos"))
-    cells = grid.join(values, ["file", "pos"], "left").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("cells"))
+    placed = rows.join(small(known), "k", "left")
+    n = len(columns)
+    if not n:
+        found, entries = placed.select("file").distinct(), F.array().cast(_ENTRIES)
+    elif n <= IN_ONE:
+        found = placed.groupBy("file").agg(*[F.max(F.when(F.col("pos") == i, F.struct("row_no", "valor"))).alias(f"c{i}") for i in range(n)])
+        entries = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"c{i}").alias("v")) for i in range(n)])
+    else:
+        values = placed.groupBy("file", "pos").agg(F.max(F.struct("row_no", "valor")).alias("v"))
+        found = values.groupBy("file").agg(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "v"))).alias("e"))
+        entries = F.col("e")
+    values = found.select("file", F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull())).alias("valores"))
+    grid = values.select("file", "valores", F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0)))).alias("pos"))
+    joined = grid.select("file", "pos", F.try_element_at("valores", F.col("pos")).alias("v"))
+    cells = joined.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("cells"))
 
     def cell(i: int, kind: str) -> Column:
         got = F.get("cells", F.lit(i))["v"]
