@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,8 +37,11 @@ PHONE = (
 PLOT = ("parcela", "lote", "sitio", "kilómetro", " km")
 NAME_CUES = (
     "sr.", "sra.", "srta.", "don", "doña", "señor", "señora", "señorita", "vecino", "vecina", "suscribe,", "nombre es", "atte.,", "saluda,", "gracias,", "attention", "contact",
-    "asisten:", "propiedad de", "solicitado por", "encargo de", "notifíquese a", "ud.,",
+    "asisten:", "firma:", "propiedad de", "solicitado por", "encargo de", "notifíquese a", "ud.,",
 )
+#: Cues behind which a name needs no known given name, and words of companies, which are no names.
+STRONG = frozenset(x for w in ("don", "doña", "señor", "señora", "señorita", "suscribe,", "nombre es", "asisten:", "firma:") for x in (w, w.translate(FOLD)))
+COMPANY = frozenset("constructora sociedad comercial empresa empresas inmobiliaria inversiones consultora corporacion fundacion asociacion junta comite banco servicios transportes agricola ferreteria clinica hospital universidad".split())
 TITLE = r"(?:(?:el|la|los|las)\s+)?(?:sra?\.|srta\.|don|doña|señor(?:a|ita)?|vecin[oa]|ing\.|arq\.|abog\.|dra?\.|prof\.)"
 
 UP, LOW = "A-ZÁÉÍÓÚÑÜÀÈÌÒÙÂÊÎÔÛ", "a-záéíóúñüàèìòùâêîôû"
@@ -66,6 +70,8 @@ PASS = re.compile(r"(?:[.:\s]|n[°ºo]|no\.|number|n[uú]mero)*?([a-z]{1,2}\s?[0
 TEL = re.compile(
     r"(?:\+\s?56|0056|\(\+?56(?:[- ]?[0-9]{1,2})?\)|\(0?[0-9]{1,2}\)|56|0)?[\s.-]*[0-9](?:[\s.-]?[0-9]){6,10}(?![0-9])"
 )
+#: A mobile number in its usual groups, which needs no cue.
+MOBILE = re.compile(r"9[ \xa0-]?[0-9]{4}[ \xa0-][0-9]{4}(?![0-9]|[.,-][0-9kK])")
 NUMBER = re.compile(r"(?:,\s*|\s+)?(?:n[°º]\s*|nro\.?\s*|n[uú]mero\s+|#\s*)?([0-9]{1,2}\.[0-9]{3}|[0-9]{1,5})(?![0-9]|[.,][0-9]|\s*(?:%|m2|m²|m\b|d[ií]as|de\s+(?:enero|febrero|marzo|abril|mayo|junio|julio|agosto|se[pt]+iembre|octubre|noviembre|diciembre)\b))", re.I)
 UNIT = re.compile(r"(?:,?\s*(?:of(?:icina)?\.?|dep(?:arta?men)?to\.?|dpto\.?|block|torre|piso|local|casa|bodega)\s*(?:n[°º]\s*)?(?:[0-9]+(?:-?[a-z]\b)?|[a-z]\b))+", re.I)
 SEPARATORS, NUMBER_MARKS = " \n\r\t\xa0,#°º", ("n", "nro", "nro.", "número", "numero")
@@ -103,6 +109,9 @@ BEFORE_COMMA = {
 }
 NAME_BEFORE = re.compile(rf"(?<![\w-])([{UP}]\.\s+(?:{_T}|{_C})(?:\s+(?:{_T}|{_C}))?|(?:{_T}|{_C})(?:\s+(?:{_T}|{_C}))?,\s+[{UP}]\.)\s*[,(]\s*$")
 
+#: Two to four capitalised words right before the label of an identity number.
+BEARER = re.compile(rf"(?<![\w.-])((?:{_T}|{_C})(?:\s+(?:{_PART}\s+)?(?:{_T}|{_C})){{1,3}})\s*[,(]\s*(?:(?i:c[eé]dula(?:\s+de)?|con)\s+)?$")
+
 
 def valid_rut(text: str) -> bool:
     """Check digit (module 11) of an identity number; the body has 7 or 8 digits."""
@@ -126,6 +135,36 @@ def valid_phone(text: str) -> bool:
     return len(d) == 9 and d[0] in "2345679"
 
 
+_LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_%+-.")
+_DOT_BEFORE = re.compile(r"(?:\s?(?:\[dot\]|\(dot\)|\[punto\]|\(punto\)|\bpunto\b)\s?)$", re.I)
+
+
+def local_part(t: str, at: int) -> int:
+    """Where the local part of a mail address begins that ends before ``at``; ``at`` itself if there is none. It is read to its border, however far."""
+    start = at
+    while True:
+        while start and t[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        dot = _DOT_BEFORE.search(t, max(0, start - 12), start) if start < at else None
+        if not dot or not dot.start() or t[dot.start() - 1] not in _LOCAL_CHARS:
+            break
+        start = dot.start()
+    while start < at and t[start] == ".":  # marks before an address are no part of it
+        start += 1
+    return at if t[at - 1 : at] == "." or ".." in t[start:at] else start
+
+
+def back(t: str, at: int, words: int) -> int:
+    """Start of the so many words before ``at``."""
+    while words and at:
+        while at and t[at - 1].isspace():
+            at -= 1
+        while at and not t[at - 1].isspace():
+            at -= 1
+        words -= 1
+    return at
+
+
 def fold(text: str) -> str:
     """Lower case without accents, character by character."""
     return text.lower().translate(FOLD)
@@ -160,11 +199,9 @@ class Finder:
         m = AT.match(t, at)
         if not m:
             return None
-        left = LOCAL.search(t[max(0, at - 80) : at])
         right = DOMAIN.match(t, at)
-        if not left or not right or not left[0]:
-            return None
-        return at - len(left[0]), right.end()
+        start = local_part(t, at) if right else at
+        return (start, right.end()) if start < at else None
 
     @staticmethod
     def identity(t: str, end: int, cue: str) -> tuple[int, int] | None:
@@ -181,8 +218,8 @@ class Finder:
                 return None
         else:
             at = end
-            while at < len(t) and at < end + 24 and not (t[at].isdigit() or t[at] in "+("):
-                if t[at] in ";,\n." and not (t[at] in ".\n" and at < end + 3):
+            while at < len(t) and not (t[at].isdigit() or t[at] in "+("):
+                if t[at] in ";,\n.@#" and not (t[at] in ".\n" and at < end + 3):  # a number belongs to a cue of its own clause
                     return None
                 at += 1
         m = TEL.match(t, at)
@@ -208,7 +245,7 @@ class Finder:
         m = NUMBER.match(t, base)
         if not m or m.start(1) != digit:
             return None
-        s = STREET_LEFT.search(t[max(0, base - 80) : base])
+        s = STREET_LEFT.search(t, back(t, base, 14), base)
         if not s:
             return None
         words = s[1].split()
@@ -231,10 +268,9 @@ class Finder:
     def plot(t: str, start: int, word: str) -> tuple[int, int] | None:
         if word.strip() in ("km", "kilometro"):
             at = start + (len(word) - len(word.lstrip()))
-            m, s = KM.match(t, at), KM_LEFT.search(t[max(0, at - 90) : at])
-            if not m or not s:
-                return None
-            return at - len(s[0]), m.end()
+            m = KM.match(t, at)
+            s = m and KM_LEFT.search(t, back(t, at, 16), at)
+            return (s.start(), m.end()) if s else None
         if start and (t[start - 1].isalnum()):
             return None
         m = PLOT_FULL.match(t, start)
@@ -243,7 +279,23 @@ class Finder:
         u = UNIT.match(t, m.end())
         return start, (u.end() if u else m.end())
 
-    def name(self, t: str, f: str, at: int, cued: bool) -> tuple[int, int] | None:
+    def shaped(self, t: str, f: str, at: int, mode: str) -> tuple[int, int] | None:
+        """A name that only its cue and its shape tell: two to four words that begin with capitals, none of which is a word of offices, companies or places."""
+        if mode == "L":
+            return None
+        first, end = MODES[mode][0].match(t, at), at
+        if not first or fold(first[0]) in NOT_NAME or fold(first[0]) in COMPANY:
+            return None
+        end, n = first.end(), 0
+        while n < 3:
+            m = MODES[mode][2].match(t, end)
+            if not m or "\n" in t[end : m.start(1)] and n or fold(m[1]).split()[-1] in NOT_NAME | COMPANY:
+                break
+            n, end = n + 1, m.end()
+        rest = t[end : end + 12].lower()
+        return (at, end) if n and not re.match(r"\s*(?:s\.?\s?a\.?|ltda|limitada|e\.?i\.?r\.?l|spa)\b", rest) else None
+
+    def name(self, t: str, f: str, at: int, cued: bool, strong: bool = False) -> tuple[int, int] | None:
         """A name that begins at ``at``; ``f`` is the folded text in lower case."""
         first = t[at : at + 1]
         if not first.isalpha():
@@ -268,7 +320,7 @@ class Finder:
             return None
         end, is_given = w.end(), known_given(f[at : w.end()])
         if not is_given:
-            return self.reversed(t, f, at, mode) if cued else None
+            return (self.reversed(t, f, at, mode) or (self.shaped(t, f, at, mode) if strong else None)) if cued else None
         for _ in range(2):  # further given names and initials
             m = re.compile(r"\s+").match(t, end)
             if not m:
@@ -334,8 +386,9 @@ class Finder:
             f = "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
         f = f.replace("\n", " ").replace("\r", " ").replace("\xa0", " ")  # cues of several words may be wrapped
         found: list[tuple[int, int, str]] = []
-        names: list[tuple[int, bool]] = []
+        names: list[tuple[int, bool, bool]] = []
         befores: list[int] = []
+        bearers: list[int] = []
         hits = [(e - n + 1, e + 1, kinds) for e, (n, kinds) in self.automaton.iter(f)]
         phones: list[tuple[int, int]] = []
         listed = 0
@@ -344,6 +397,9 @@ class Finder:
                 if k == "#":
                     if t[end - 2] in " \n\t\xa0" and t[start - 1 : start].isdigit():
                         continue
+                    s = MOBILE.match(t, end - 1)
+                    if s:
+                        phones.append(s.span())
                     s = self.street(t, end - 1)
                     if s:
                         found.append((*s, "direccion"))
@@ -354,14 +410,14 @@ class Finder:
                     if prev.isalnum() or prev in "@_" or (nxt.isalnum() and f[end - 1].isalpha()) or nxt in "@_":
                         continue
                     if k == "n":
-                        names.append((start, False))
+                        names.append((start, False, False))
                     else:
                         m = LEAD.match(t, end)
-                        names.append((m.end(), True))
+                        names.append((m.end(), True, f[start:end] in STRONG))
                         if f[start:end] == "asisten:" and end > listed:  # a cue within a list adds nothing to it
                             stop = SENTENCE_END.search(t, end)
                             listed = stop.start() if stop else len(t)
-                            names += [(m.end(), True) for m in LIST_NAME.finditer(t, end, listed)]
+                            names += [(m.end(), True, True) for m in LIST_NAME.finditer(t, end, listed)]
                 elif k == "m":
                     s = self.mail(t, start, end)
                     if s:
@@ -373,6 +429,7 @@ class Finder:
                     if s:
                         found.append((*s, "identidad"))
                         befores.append(start)
+                        bearers.append(start)
                 elif k == "p":
                     s = self.phone(t, start, end, f[start:end])
                     if s:
@@ -385,25 +442,28 @@ class Finder:
         found += [(*s, "telefono") for s in phones]
         taken = merged(found)
         got: list[tuple[int, int, str]] = []
-        for at, cued in names:
-            s = self.name(t, f, at, cued)
+        for at, cued, strong in names:
+            s = self.name(t, f, at, cued, strong)
             if not s and not cued:
                 s = self.backwards(t, f, at)
             if s:
                 got.append((*s, "nombre"))
         for at in befores:
-            m = NAME_BEFORE.search(t[max(0, at - 70) : at])
+            m = NAME_BEFORE.search(t, back(t, at, 8), at)
             if m and not any(fold(x.strip(".,")) in NOT_NAME for x in m[1].split()):
-                base = max(0, at - 70)
-                got.append((base + m.start(1), base + m.end(1), "nombre"))
-        return merged(taken + [g for g in got if not overlaps(taken, g)])
+                got.append((*m.span(1), "nombre"))
+        for at in bearers:  # whoever bears an identity number is a person, whatever the name
+            m = BEARER.search(t, back(t, at, 8), at)
+            if m and not any(fold(x.strip(".,")) in NOT_NAME | COMPANY for x in m[1].split()):
+                got.append((*m.span(1), "nombre"))
+        ends = [e for _, e, _ in taken]
+        return merged(taken + [g for g in got if not overlaps(taken, ends, g)])
 
     def backwards(self, t: str, f: str, at: int) -> tuple[int, int] | None:
         """Surnames and a comma before a given name at ``at`` that no surname follows."""
         first = t[at]
         mode = "L" if first.islower() else "C" if t[at + 1 : at + 2].isupper() else "T"
-        base = max(0, at - 70)
-        m = BEFORE_COMMA[mode].search(t[base:at])
+        m = BEFORE_COMMA[mode].search(t, back(t, at, 8), at)
         if not m or any(x.split("-")[0] in NOT_NAME or (mode == "L" and x in STOP_LOWER) for x in fold(m[1]).split() if x not in ("de", "del", "la", "las", "los")):
             return None
         if mode == "L":
@@ -417,7 +477,7 @@ class Finder:
         first = m.start(1)
         if re.match(r"de\s+(?!la\b|las\b|los\b)", m[1], re.I):  # the word before a name, not a part of it
             first += re.match(r"de\s+", m[1], re.I).end()
-        return base + first, end
+        return first, end
 
 
 #: End of a sentence (not the stop of an initial), and what stands before a name in a list.
@@ -436,9 +496,10 @@ def whole_line(t: str, start: int, end: int) -> bool:
     return not re.search(r"\w", t[a:start]) and not re.search(r"\w", t[end : b if b >= 0 else len(t)])
 
 
-def overlaps(spans: list[tuple[int, int, str]], one: tuple[int, int, str]) -> bool:
-    """True if a span overlaps one of the others."""
-    return any(s < one[1] and one[0] < e for s, e, _ in spans)
+def overlaps(spans: list[tuple[int, int, str]], ends: list[int], one: tuple[int, int, str]) -> bool:
+    """True if a span overlaps one of the others, which are in order and apart; ``ends`` are their ends."""
+    k = bisect_right(ends, one[0])
+    return k < len(spans) and spans[k][0] < one[1]
 
 
 def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -62,3 +62,45 @@ def test_long_attendance_list():
     """A list of names is read to its end, however long it is."""
     text = "Asisten: " + "; ".join(f"{'ABCDEFGH'[i % 8]}. Soto Mora" for i in range(3000))
     assert sum(k == "nombre" for _, _, k in pii.find(text)) == 3000
+
+
+UNSEEN = ["Gladys", "Wilson", "Wilmer", "Millaray", "Nahuel", "Yanara", "Ingeborg", "Tancredo", "Saúl", "Brígida"]
+PHRASES = ["Firma: {}", "Asisten: {}; Ana Pérez Soto.", "comparece don {} y pide", "la señora {}, domiciliada ahí", "{}, RUT 12.345.678-5, solicita", "Mi nombre es {}.", "Quien suscribe, {}, consulta"]
+
+
+def test_unseen_names_and_phrasings():
+    """Given names that are in no list are found by a strong cue or an identity number, and by their shape."""
+    found = total = 0
+    for g in UNSEEN:
+        for s in ("Pizarro Soto", "Aguirre", "Rojas de la Fuente"):
+            for p in PHRASES:
+                name = f"{g} {s}"
+                total += 1
+                found += name in [p.format(name)[a:b] for a, b, k in pii.find(p.format(name)) if k == "nombre"]
+    assert found >= 0.95 * total, (found, total)
+    for t in ("don Director de Obras", "señor Alcalde de Nufofadi", "Firma: Constructora Los Robles Limitada", "la Ordenanza General de Urbanismo"):
+        assert not [k for _, _, k in pii.find(t) if k == "nombre"], t
+
+
+def test_no_window_cuts_an_item():
+    for n in (10, 100, 5000):
+        mail = "a" * n + ".b@mail.example.cl"
+        assert [t for t in (f"escriba a {mail} hoy"[a:b] for a, b, k in pii.find(f"escriba a {mail} hoy") if k == "correo")] == [mail]
+    t = "Llame al 9 8765 4321"
+    assert [(t[a:b], k) for a, b, k in pii.find(t)] == [("9 8765 4321", "telefono")]
+
+
+def test_overlaps_against_brute_force():
+    import random
+
+    rng = random.Random(3)
+    spans, at = [], 0
+    for _ in range(200):
+        at += rng.randint(0, 5)
+        spans.append((at, at + rng.randint(1, 6), "correo"))
+        at = spans[-1][1]
+    ends = [e for _, e, _ in spans]
+    for _ in range(2000):
+        a = rng.randint(0, at)
+        one = (a, a + rng.randint(1, 9), "nombre")
+        assert pii.overlaps(spans, ends, one) == any(s < one[1] and one[0] < e for s, e, _ in spans)
