@@ -149,3 +149,23 @@ def fill_report(packed: DataFrame, containers: DataFrame) -> DataFrame:
         "contenedor", "capacidad", "contenedores", F.ceil(F.col("tokens") / F.col("capacidad")).alias("minimo"), "tokens", "piezas", "mas_lleno",
         F.round(F.col("tokens") / (F.col("contenedores") * F.col("capacidad")), 6).alias("llenado"),
     )
+
+
+def proof(counts: DataFrame, containers: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(contenedor, rebalsados, sin_lugar, repetidos, divididos_de_mas)`` of a packing, all of them 0 if it is right.
+
+    Containers with more tokens than their capacity; texts whose pieces don't add up to their tokens; pieces that overlap the piece before
+    them; texts of more than one piece that would have fit into one container. Keys are taken as different.
+    """
+    counts = cut(counts)
+    packed = cut(pack(counts, containers, key))
+    kinds = containers.where("contenedor is not null and capacidad >= 1").groupBy("contenedor").agg(F.min("capacidad").alias("c"))
+    full = packed.groupBy("contenedor", "contenedor_no").agg(F.sum("largo").alias("t")).join(small(kinds), "contenedor").groupBy("contenedor").agg(F.sum((F.col("t") > F.col("c")).cast("bigint")).alias("rebalsados"))
+    # The pieces of a text lie end to end from 0, so their starts add up to what their number and the full capacity say.
+    texts = packed.groupBy("contenedor", key).agg(F.sum("largo").alias("l"), F.count("*").alias("n"), F.max(F.col("desde") + F.col("largo")).alias("fin")).join(small(kinds), "contenedor")
+    each = texts.join(counts.select(F.col(key).alias("_k"), "tokens"), F.col(key).eqNullSafe(F.col("_k")))
+    flaw = lambda c: F.sum(c.cast("bigint"))
+    by = each.groupBy("contenedor").agg(
+        flaw(F.col("l") != F.col("tokens")).alias("sin_lugar"), flaw(F.col("fin") != F.col("tokens")).alias("repetidos"), flaw((F.col("n") > 1) & (F.col("tokens") <= F.col("c"))).alias("divididos_de_mas")
+    )
+    return full.join(by, "contenedor")

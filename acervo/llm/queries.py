@@ -19,12 +19,9 @@ def p7_ids(spark, sf_dir):
 @LLM.query("p7_resumen")
 def p7_resumen(spark, sf_dir):
     """Texts, tokens and characters per token by source."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "source", "n_chars")
-    counts = tokens.token_counts(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
-    return (
-        counts.join(docs, "doc_id").groupBy("source")
-        .agg(F.count("*").alias("textos"), F.sum("tokens").alias("tokens"), F.round(F.sum("n_chars") / F.sum("tokens"), 4).alias("caracteres_por_token"))
-    )
+    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text", "source", "n_chars"))
+    counts = tokens.token_counts(docs, also=("source", "n_chars"))
+    return counts.groupBy("source").agg(F.count("*").alias("textos"), F.sum("tokens").alias("tokens"), F.round(F.sum("n_chars") / F.sum("tokens"), 4).alias("caracteres_por_token"))
 
 
 @LLM.query("p8_contenedores")
@@ -40,6 +37,13 @@ def p8_llenado(spark, sf_dir):
     return packing.fill_report(p8_contenedores(spark, sf_dir), table(spark, sf_dir, "contenedores"))
 
 
+@LLM.query("p8_prueba")
+def p8_prueba(spark, sf_dir):
+    """Per kind of container what must be nought: overfull containers, tokens not placed once, texts divided without need."""
+    counts = tokens.token_counts(spread(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return packing.proof(counts, table(spark, sf_dir, "contenedores"))
+
+
 @LLM.query("p9_found")
 def p9_found(spark, sf_dir):
     return pii.found_items(spread(table(spark, sf_dir, "documents", "doc_id", "text")))

@@ -202,15 +202,21 @@ def token_ids(df: DataFrame, path: str = BYTE_BPE_50K, key: str = "doc_id", text
     return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, ids array<int>")
 
 
-def token_counts(df: DataFrame, path: str = BYTE_BPE_50K, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, tokens BIGINT)`` of each row; 0 for null and empty texts. The ids themselves are not built."""
+def token_counts(df: DataFrame, path: str = BYTE_BPE_50K, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, *also, tokens BIGINT)`` of each row; 0 for null and empty texts. The ids themselves are not built.
+
+    ``also`` names columns that travel with their row, so that null and repeated keys need no join.
+    """
     held = _vocabulary(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(held.value)
         for b in batches:
             for first, texts in blocks(b.column(1)):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), pa.array(e.lengths(texts), pa.int64())], names=[key, "tokens"])
+                n = len(texts)
+                kept = [b.column(0).slice(first, n), *[c.slice(first, n) for c in b.columns[2:]]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(e.lengths(texts), pa.int64())], names=[key, *also, "tokens"])
 
-    source = df.select(key, text)
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, tokens bigint")
+    source = df.select(key, text, *also)
+    types = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in (key, *also))
+    return source.mapInArrow(run, f"{types}, tokens bigint")

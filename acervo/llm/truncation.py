@@ -250,7 +250,7 @@ def judged(df: DataFrame, key: str = "circular_id", source: str = "fuente", fiel
     bound = F.coalesce("umbral", F.lit(LOW))
     open_cut = F.coalesce("logodds", F.lit(0.0)) - F.coalesce("limite", F.lit(0.0)) < bound
     closed_cut = F.coalesce("en_palabra", F.lit(0.0)) < F.lit(LOW)
-    decision = F.when(F.col("tipo") == "E", True).when(F.col("tipo") == "N", open_cut).when(F.col("tipo") == "P", closed_cut).otherwise(False)
+    decision = F.when(F.col("tipo") == "E", True).when(F.col("tipo") == "N", open_cut).when(F.col("tipo").isin("P", "Q"), closed_cut).otherwise(False)
     return whole.select(key, "fuente", "campo", "tipo", "logodds", decision.alias("cortado"))
 
 
