@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.session import cut, small
+from acervo.session import cut, dealt
 
 #: Bounds of the Bloom filter in bits. The upper one bounds what is broadcast (8 MB); with more keys than it suits, the
 #: filter only passes more references on to the exact join.
@@ -99,18 +99,13 @@ def orphans(refs: DataFrame, registry: DataFrame) -> DataFrame:
     words = bloom_words(registry.select("num"), "num", bits).scalar()
     seen = cut(refs.withColumn("_w", words).select(*refs.columns, (~might_contain(F.col("_w"), F.col("num"), bits)).alias("nunca")))
     never, maybe = seen.where("nunca"), seen.where("not nunca")
-    hot = maybe.groupBy(F.col("num").alias("_num")).count().where(F.col("count") > HOT).select("_num", F.ceil(F.col("count") / HOT).cast("int").alias("_copias"))
-    copies = F.coalesce("_copias", F.lit(1))
-    spans = registry.where(F.col("num").isNotNull() & F.col("alta_en").isNotNull()).select(F.col("num").alias("_num"), "alta_en", "baja_en")
-    spans = spans.join(small(hot), "_num", "left").select("_num", "alta_en", "baja_en", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_s"))
-    dealt = maybe.join(small(hot), F.col("num") == F.col("_num"), "left").withColumn("_s0", F.pmod(F.xxhash64("circular_id"), copies).cast("int")).drop("_num", "_copias")
-    in_force = (
-        (F.col("num") == F.col("_num"))
-        & (F.col("_s0") == F.col("_s"))
-        & (F.col("recibido_en") >= F.col("alta_en"))
-        & (F.col("baja_en").isNull() | (F.col("recibido_en") < F.col("baja_en")))
-    )
-    return never.unionByName(dealt.join(spans, in_force, "left_anti").drop("_s0"))
+    spans = registry.where(F.col("num").isNotNull() & F.col("alta_en").isNotNull()).select("num", "alta_en", "baja_en")
+    left, right, keys = dealt(maybe, spans, ["num"], HOT)
+    r = right.select(*[F.col(c).alias(f"_{c}") for c in right.columns])
+    in_force = (F.col("recibido_en") >= F.col("_alta_en")) & (F.col("_baja_en").isNull() | (F.col("recibido_en") < F.col("_baja_en")))
+    for k in keys:
+        in_force = in_force & (F.col(k) == F.col(f"_{k}"))
+    return never.unionByName(left.join(r, in_force, "left_anti").select(*never.columns))
 
 
 def orphan_report(found: DataFrame) -> DataFrame:

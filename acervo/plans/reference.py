@@ -1084,19 +1084,27 @@ def _(spark, sf_dir):
     return r.select("file", "numero", "fecha", "lugar", F.size("secciones").alias("secciones"), F.aggregate("secciones", F.lit(0), lambda a, s: a + F.size(s["parrafos"])).alias("parrafos"))
 
 
-@query("csv_roundtrip")
+_WRITTEN = {"numero": "numero", "materia": "materia", "notas_al_pie": "notas_al_pie", "firmante": "firmante", "emisor": "emisor"}
+_ROUND = " UNION ALL ".join(
+    f"SELECT {S.q(c)} AS campo, count(*) AS filas, sum(length(v)) AS caracteres FROM (SELECT nullif({S.strip(src) if src in _WRITTEN else 'NULL::VARCHAR'}, '') AS v FROM circulares)" for _, c, src in eav.LAYOUT
+)
+
+
+@query("csv_roundtrip", _ROUND)
 def _(spark, sf_dir):
-    """Records written as extraction files and read again; the files lie in the shared folder of the session."""
+    """Records written as extraction files in buckets and read again; the files lie in the shared folder of the session."""
     import uuid
 
-    from acervo.session import shared_dir
-    from acervo.sources.files import read_eav_csv, write_eav_csv
+    from acervo.session import cut, shared_dir
+    from acervo.sources.files import read_eav_buckets, write_eav_buckets
 
     cols = ("numero", "materia", "notas_al_pie", "firmante", "emisor")
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
-    write_eav_csv(circ(spark, sf_dir, *cols).repartition(8, "circular_id"), "circular_id", path)
-    back = read_eav_csv(spark, f"{path}/*")
-    return back.groupBy("campo").agg(F.count("*").alias("filas"), F.sum(F.length("valor_extraido")).alias("caracteres"))
+    write_eav_buckets(circ(spark, sf_dir, *cols), "circular_id", path, 8)
+    back = cut(read_eav_buckets(spark, path).groupBy("campo").agg(F.count("*").alias("filas"), F.sum(F.length("valor_extraido")).alias("caracteres")))
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return back
 
 
 @query("akoma_xml")

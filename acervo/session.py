@@ -26,6 +26,7 @@ def build_session(app: str = "acervo", cores: str | int = "*", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "6g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k, v)
@@ -67,6 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir", None)
     if where is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = os.path.join(tempfile.gettempdir(), "acervo-checkpoint")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(where)
@@ -79,6 +82,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(left: DataFrame, right: DataFrame, keys: list[str], hot: int = 100_000) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Two sides of a join on ``keys`` with hot keys split, and the keys to join on.
+
+    Rows of ``left`` whose key has more than ``hot`` rows are dealt over as many copies of that key's rows of ``right``; a row of ``left`` keeps all its
+    partners, so the join gives the same rows. The hot keys (at most one in ``hot`` rows) are counted first: without any the sides stay as they are, and
+    they are broadcast only if they are few.
+    """
+    counted = cut(left.groupBy(*keys).count().where(F.col("count") > hot).select(*keys, F.ceil(F.col("count") / hot).cast("int").alias("_copias")))
+    n = counted.count()
+    if not n:
+        return left, right, keys
+    heavy = F.broadcast(counted) if n <= hot else counted
+    copies = F.coalesce("_copias", F.lit(1))
+    place = F.pmod(F.xxhash64(*left.columns), copies).cast("int")
+    split = left.join(heavy, keys, "left").select(*left.columns, place.alias("_sal"))
+    copied = right.join(heavy, keys, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), copies - 1)).alias("_sal"))
+    return split, copied, [*keys, "_sal"]
+
+
 def squeeze(c: Column) -> Column:
     """Each run of Unicode whitespace becomes one blank; both ends are trimmed."""
     return F.trim(F.regexp_replace(c, r"(?U)[\s​﻿]+", " "))

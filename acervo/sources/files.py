@@ -41,12 +41,25 @@ def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_eav_csv(records: DataFrame, key: str, path: str) -> None:
     """One directory per record below ``path`` (``{key}=…``) with its 15 attribute rows in presentation order.
 
-    The order survives because the rows of one record come from one input row and stay in one task.
+    The order survives because the rows of one record come from one input row and stay in one task. This is the exchange format of single
+    circulars; for many records use :func:`write_eav_buckets`, as every record becomes a file.
     """
     rows = E.unpivot(records, key).select(key, "bloque", "campo", "valor_extraido")
     rows.write.mode("overwrite").partitionBy(key).options(**CSV, lineSep="\r\n").csv(path)
 
 
+def write_eav_buckets(records: DataFrame, key: str, path: str, buckets: int = 64) -> None:
+    """The attribute rows of many records in ``buckets`` directories by the hash of the key, which stays a column with the order of the rows."""
+    rows = E.unpivot(records, key).withColumn("cubo", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    rows.repartition("cubo").write.mode("overwrite").partitionBy("cubo").options(**CSV, lineSep="\r\n").csv(path)
+
+
+def read_eav_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, row_no, bloque, campo, valor_extraido)`` of :func:`write_eav_buckets`; the key is read as text."""
+    rows = spark.read.options(**CSV).option("multiLine", True).schema(f"file string, row_no int, {EAV_SCHEMA}").csv(path)
+    return rows.select("file", "row_no", "bloque", "campo", "valor_extraido")
+
+
 def write_master_csv(records: DataFrame, path: str, single: bool = False) -> None:
     """The master file: one row per record. ``single`` makes one part file, for small results only."""
     out = E.master(records)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: What a service answers and how it is reported: refused, unknown, other.
 ERRORS = {401: PermissionError, 403: PermissionError, 404: FileNotFoundError}
@@ -40,14 +40,19 @@ class ServiceReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = dict(options)
 
-    def read(self, partition) -> Iterator[tuple]:
+    def partitions(self) -> list[InputPartition]:
+        """Slices of the ids, ``per`` (100) calls each."""
+        ids, per = json.loads(self.options.get("ids", "[]")), int(self.options.get("per", "100"))
+        return [InputPartition(ids[i : i + per]) for i in range(0, len(ids), per)] or [InputPartition([])]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
         o = self.options
-        for ident in json.loads(o.get("ids", "[]")):
+        for ident in partition.value:
             yield (str(ident), query(o["base"], o["service"], o["key"], {"id": str(ident)}))
 
 
 class ServiceSource(DataSource):
-    """``spark.read.format("norm_service")`` with options base, service, key and ids (a JSON list)."""
+    """``spark.read.format("norm_service")`` with options base, service, key, ids (a JSON list) and per (calls of one task)."""
 
     @classmethod
     def name(cls) -> str:
