@@ -9,7 +9,7 @@ that are equal once normalised: a full name takes the best supported full name w
 that has such a form. Different given names with the same surnames are relatives and stay apart.
 
 Everything runs over different normalised names, which are counted first. A segment that very many names share is split: its entries
-are copied to as many salts as its size asks for, and the names that look it up are dealt over them. Pairs are made only within one
+are dealt over as many parts as their number asks for, and the names that look it up meet all of them. Pairs are made only within one
 entity, as the result asks.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm.lexicon import FOLD, GIVEN, NICKNAMES
-from acervo.session import cut, small
+from acervo.session import cut, dealt
 
 #: Shortest name (without its kind) in which an edit is tolerated; entries of one segment that one task takes.
 LEAST, HOT = 4, 1000
@@ -185,12 +185,8 @@ def segment_join(names: DataFrame, index: DataFrame) -> DataFrame:
         looked.append(F.when(ok, key(m, 0, F.substring("a", F.lit(1), h))))
         looked.append(F.when(ok, key(m, 1, F.substring("a", h + 1 - d, n))))
     queries = names.select("grupo", "a", F.explode(F.array_compact(F.array(*looked))).alias("e")).select("grupo", "a", "e.*")
-    keys = ["grupo", "n", "k", "s"]
-    hot = entries.groupBy(*keys).count().where(F.col("count") > HOT).select(*keys, F.ceil(F.col("count") / HOT).cast("int").alias("sales"))
-    one = F.coalesce("sales", F.lit(1))
-    salted = entries.join(small(hot), keys, "left").withColumn("sal", F.pmod(F.xxhash64("b"), one).cast("int")).drop("sales")
-    dealt = queries.join(small(hot), keys, "left").select("a", *keys, F.explode(F.sequence(F.lit(0), one - 1)).alias("sal"))
-    found = dealt.join(salted, [*keys, "sal"]).select("grupo", "a", "b").distinct()
+    index_side, query_side, keys = dealt(entries, queries, ["grupo", "n", "k", "s"], HOT)
+    found = query_side.join(index_side, keys).select("grupo", "a", "b").distinct()
     edits = F.levenshtein("a", "b", 2)
     long = F.least(F.length("a"), F.length("b")) >= LEAST
     d = F.when(F.col("a") == F.col("b"), 0).when(long & ((edits == 1) | ((edits == 2) & _swapped(F.col("a"), F.col("b")))), 1)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acervo.session import cut, small
+from acervo.session import cut, dealt, small
 
 #: Orders of the model, longest first, and the events an order must have seen to be believed.
 ORDERS, EVIDENCE = (24, 16, 10, 6, 4), 4
@@ -206,13 +206,17 @@ def scored(ends: DataFrame, model: DataFrame) -> DataFrame:
     different = ends.select("campo", "lengua", F.col("tipo").isin("P", "Q").alias("propio"), place, "fin").distinct()
     orders = F.array(*[F.struct(F.lit(n).alias("orden"), F.col("fin")[i].alias("h")) for i, n in enumerate(ORDERS)])
     each = different.select("campo", "lengua", "propio", "c", F.explode(orders).alias("o")).select("campo", "lengua", "propio", "c", "o.*")
-    seen = each.join(model, ["campo", "lengua", "orden", "h"]).withColumn("fines", F.col("fines") - F.col("propio").cast("int"))
+    # Short contexts are shared by very many values; one row of the model meets them in several tasks.
+    left, right, keys = dealt(each, model, ["campo", "lengua", "orden", "h"])
+    seen = left.join(right, keys).withColumn("fines", F.col("fines") - F.col("propio").cast("int"))
     seen = seen.where(F.col("fines") + F.col("clausulas") + F.col("letras") + F.col("otros") >= EVIDENCE)
     main = _odds(F.col("fines") + CLAUSE * F.col("clausulas"), F.col("letras") + F.col("otros") + (1 - CLAUSE) * F.col("clausulas"))
     word = _odds(F.col("fines") + F.col("clausulas") + F.col("otros"), F.col("letras"))
     best = seen.groupBy("campo", "lengua", "propio", "c").agg(F.max(F.struct("orden", main.alias("m"), word.alias("w"))).alias("b"))
     scores = best.select("campo", "lengua", "propio", "c", F.col("b.m").alias("logodds"), F.col("b.w").alias("en_palabra"))
-    return ends.withColumn("propio", F.col("tipo").isin("P", "Q")).withColumn("c", F.col("fin")[0]).join(scores, ["campo", "lengua", "propio", "c"], "left").drop("propio", "c", "fin")
+    named = ends.withColumn("propio", F.col("tipo").isin("P", "Q")).withColumn("c", F.col("fin")[0])
+    left, right, keys = dealt(named, scores, ["campo", "lengua", "propio", "c"])
+    return left.join(right, keys, "left").drop("propio", "c", "fin", "_sal")
 
 
 def limits(ends: DataFrame) -> DataFrame:
