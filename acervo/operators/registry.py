@@ -71,10 +71,19 @@ def block_result(name: str, values: dict[str, Column]) -> Column:
 def blocks(df: DataFrame, key: str = "doc_id", text: str = "text", registry: Registry = REGISTRY) -> DataFrame:
     """``(key, nombre_bloque, exito, datos, confianza, observaciones)``: one row per document and extractor."""
     rows = with_lines(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")))
-    results = [block_result(n, _columns(n, f(F.col("text"), F.col("lines")))) for n, f in registry.all().items()]
+    results = [_isolated(n, f) for n, f in registry.all().items()]
     return rows.select(key, F.explode(F.array(*results)).alias("r")).select(key, "r.*")
 
 
+def _isolated(name: str, f: Extractor) -> Column:
+    """Result of an extractor; one whose expressions cannot be built gives a failed result and leaves the others alone."""
+    try:
+        return block_result(name, _columns(name, f(F.col("text"), F.col("lines"))))
+    except Exception as e:  # noqa: BLE001 - a fault of one extractor must not end the others
+        none, note = F.create_map().cast("map<string,string>"), f"{type(e).__name__}: {e}"
+        return F.struct(F.lit(name).alias("nombre_bloque"), F.lit(False).alias("exito"), none.alias("datos"), F.lit(0.0).alias("confianza"), F.lit(note).alias("observaciones"))
+
+
 def _columns(name: str, got: Column | dict[str, Column]) -> dict[str, Column]:
     return got if isinstance(got, dict) else {name: got}
 

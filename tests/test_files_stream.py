@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acervo.operators import eav
-from acervo.sources import files, service
+from acervo.sources import files, pages, service
 from acervo.streaming import document_stream, record_stream, write_records
 
 
@@ -69,3 +69,52 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["doc_id"]: r["numero"] for r in spark.read.parquet(str(tmp_path / "out")).select("doc_id", "numero").where(F.col("doc_id").isNotNull()).collect()}
     assert got == {1: "DDU 7", 2: ""}
+
+
+def test_page_scans(spark, tmp_path):
+    """Cells, blocks and images of documents through given engines; a bad document gives its error."""
+    (tmp_path / "a.pdf").write_bytes(b"3")
+    (tmp_path / "b.pdf").write_bytes(b"x")
+    cells = pages.read_cells(spark, str(tmp_path), lambda d: [(1, 1, r, c, f"{r}{c}" if c else None) for r in range(int(d)) for c in range(2)])
+    rows = cells.orderBy("file", "row_no", "col_no").collect()
+    assert [(r["row_no"], r["col_no"], r["text"]) for r in rows if r["file"] == "a.pdf"] == [(r, c, f"{r}{c}" if c else None) for r in range(3) for c in range(2)]
+    assert [r["error"][:10] for r in rows if r["file"] == "b.pdf"] == ["ValueError"]
+    blocks = pages.read_blocks(spark, str(tmp_path / "a.pdf"), lambda d: [(1, 1, 0.0, 1.0, 2.0, 3.0, "t", 0)])
+    assert blocks.columns == ["file", "page", "block_no", "x0", "y0", "x1", "y1", "text", "type", "error"] and blocks.count() == 1
+    images = pages.read_images(spark, str(tmp_path / "a.pdf"), lambda d: [(1, 5, 70, 80, 2, 600.0, 800.0, 0.0, 0.0, 1.0, 1.0, b"ab")])
+    done = pages.write_images(images.select(F.lit("d/x.png").alias("archivo_anexo"), "content"), str(tmp_path / "out")).collect()
+    assert [(r["bytes"], r["error"]) for r in done] == [(2, None)] and (tmp_path / "out" / "d" / "x.png").read_bytes() == b"ab"
+    bad = pages.write_images(images.select(F.lit("../x.png").alias("archivo_anexo"), "content"), str(tmp_path / "out")).collect()
+    assert bad[0]["bytes"] == 0 and "ValueError" in bad[0]["error"]
+    assert "Error" in pages.read_cells(spark, str(tmp_path / "a.pdf")).first()["error"]  # the optional library is absent
+
+
+def test_signatures(spark, tmp_path):
+    for n in ("a", "b", "c"):
+        (tmp_path / f"{n}.pdf").write_bytes(n.encode())
+    read = {"a": ["Saluda atentamente a Ud.,", "ROSA PEREZSOTO", "x", "Jefe División de Desarrollo Urbano"], "b": ["Ana Soto Ríos"], "c": []}
+    rows = pages.read_signatures(spark, str(tmp_path), lambda d: list(enumerate(read[d.decode()])))
+    got = {r["file"]: r["nombre"] for r in pages.signer_read(rows, ((r"\bPEREZSOTO\b", "PEREZ SOTO"),)).collect()}
+    assert got == {"a.pdf": "ROSA PEREZ SOTO"}
+
+
+def test_buckets_and_slices(spark, tmp_path):
+    r = spark.createDataFrame([(i, f"DDU {i}", 'a "b"; c') for i in range(20)], "k int, numero string, materia string")
+    files.write_eav_buckets(r, "k", str(tmp_path / "b"), 3)
+    assert len(list((tmp_path / "b").glob("cubo=*"))) <= 3
+    wide = {x["file"]: x for x in eav.pivot(files.read_eav_buckets(spark, str(tmp_path / "b"))).collect()}
+    assert len(wide) == 20 and all(wide[str(i)]["numero_ddu"] == f"DDU {i}" and wide[str(i)]["materia"] == 'a "b"; c' for i in range(20))
+    reader = service.ServiceReader({"ids": "[1, 2, 3, 4, 5]", "per": "2"})
+    assert [p.value for p in reader.partitions()] == [[1, 2], [3, 4], [5]] and len(service.ServiceReader({}).partitions()) == 1
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from acervo import cli
+
+    (tmp_path / "a.txt").write_text("DDU 900\nMAT.: Una materia.\n\nTexto")
+    (tmp_path / "b.txt").write_text(" ")
+    got = {r["file"]: json.loads(r["json"]) for r in cli.extract(spark, "materia", str(tmp_path)).collect()}
+    assert got["a.txt"]["datos"] == {"materia": "Una materia."} and got["a.txt"]["exito"] and not got["b.txt"]["exito"]
+    assert json.loads(cli.extract(spark, "todo", str(tmp_path / "a.txt")).first()["json"])["numero"] == "DDU 900"

@@ -151,6 +151,9 @@ def test_registry(spark):
     assert rows[1]["datos"] == {"n": "3"} and rows[1]["confianza"] == 1.0 and set(registry.REGISTRY.all()) >= {"encabezado", "materia", "firma", "distribucion"}
     bad = registry.python_extractor(df, lambda t, ls: {"x": str(1 // len(t))}, "malo").collect()
     assert {x["doc_id"]: x["exito"] for x in bad} == {1: True, 2: False} and any("ZeroDivisionError" in x["observaciones"] for x in bad)
+    r.register("roto")(lambda t, l: 1 // 0)
+    rows = {(x["doc_id"], x["nombre_bloque"]): x for x in registry.blocks(df, registry=r).collect()}
+    assert rows[1, "largo"]["exito"] and not rows[1, "roto"]["exito"] and "ZeroDivisionError" in rows[1, "roto"]["observaciones"]
     r.clear()
     assert r.all() == {}
 

@@ -70,3 +70,17 @@ def test_bloom_has_no_false_negative(spark):
     seen = spark.range(70000).select(F.col("id").cast("int").alias("k")).withColumn("m", O.might_contain(words, F.col("k"), bits))
     assert seen.where("k < 35000 and k % 7 = 0 and not m").count() == 0
     assert seen.where("k >= 35000 and m").count() < 0.05 * 35000
+
+
+def test_dealt_join_gives_the_same_rows(spark):
+    """Hot keys, null keys, repeated rows and keys without a partner: the dealt join equals the plain one."""
+    from acervo.session import dealt
+
+    left = spark.createDataFrame([(1, i) for i in range(50)] + [(1, 3), (2, 0), (None, 1), (4, 7)], "k int, v int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (5, "e")], "k int, w string")
+    for hot in (2, 1000):
+        a, b, keys = dealt(left, right, ["k"], hot)
+        assert (keys == ["k"]) == (hot == 1000)
+        for how in ("inner", "left"):
+            got = sorted(map(str, a.join(b, keys, how).select("k", "v", "w").collect()))
+            assert got == sorted(map(str, left.join(right, ["k"], how).select("k", "v", "w").collect()))
