@@ -446,23 +446,75 @@ def _(spark, sf_dir):
     return hits.groupBy("doc_id").agg(F.max_by(F.regexp_extract("line", ci(_DDU), 1), "line_no").alias("ultimo"), F.max("line_no").alias("linea"))
 
 
-def _field(name, build):
-    @query(name)
+def _field(name, build, sql=None):
+    @query(name, sql)
     def run(spark, sf_dir):
-        d = with_lines(docs(spark, sf_dir).where("text is not null"))
+        d = with_lines(docs(spark, sf_dir).withColumn("text", F.coalesce("text", F.lit(""))))
         got = build(F.col("text"), F.col("lines"))
         return d.select("doc_id", *([c.alias(n) for n, c in got.items()] if isinstance(got, dict) else [got.alias("valor")]))
 
     return run
 
 
-_field("ord_number", fields.ord_number)
-_field("block_capture_last", fields.background)
-_field("block_capture_first", fields.subject)
-_field("descriptor_lines", fields.descriptors)
+# The act: misread ones among digits, then all digits behind the first mark of an order.
+_ONES = "regexp_replace(line, '[\"'']', '', 'g')"
+for _ in range(2):
+    _ONES = f"regexp_replace({_ONES}, '(?i)([0-9_\\s°º?])l([0-9_\\s°º?,/-]|$)', '\\11\\2', 'g')"
+_ONES = f"regexp_replace({_ONES}, '(?i)^l([0-9_\\s°º?,/-])', '1\\1')"
+for _ in range(2):
+    _ONES = f"regexp_replace({_ONES}, '(\\s)[I|](\\s)', '\\11\\2', 'g')"
+_ORD = r"(?i)(?:CIRCULAR\s+)?(?:ORD|ORO|OR0|OR)\.?\s*(?:N[°oº?\s_-]*\s*)?([0-9\s_lI|·,°º.;~''/-]+)"
+_DIGITS = "regexp_replace({}, '[^0-9]', '', 'g')"
+_field(
+    "ord_number", fields.ord_number,
+    _L + f""", o AS (SELECT doc_id, line_no, {_ONES} AS line FROM l WHERE line_no < 25 AND regexp_matches(line, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(CIRCULAR\\s+)?(ORD|ORO|OR0|OR)([^\\p{{L}}\\p{{N}}_]|$)')),
+    n AS (SELECT doc_id, line_no, coalesce(nullif({_DIGITS.format(f"regexp_extract(line, '{_ORD}', 1)")}, ''), {_DIGITS.format('line')}) AS d FROM o),
+    f AS (SELECT doc_id, arg_min(d, line_no) AS d FROM n WHERE d <> '' GROUP BY doc_id),
+    t AS (SELECT doc_id, {_DIGITS.format(_ONES.replace('line', f"regexp_extract(substring(coalesce(text, ''), 1, 1500), '{_ORD}', 1)"))} AS d FROM documents)
+    SELECT doc_id, CASE WHEN coalesce(f.d, t.d) <> '' THEN 'CIRCULAR ORD. N° ' || coalesce(f.d, t.d) ELSE '' END AS valor FROM t LEFT JOIN f USING (doc_id)""",
+)
+_KEYWORDS = r"regexp_matches(line, '^[\p{Lu}0-9\s;]{3,}(,\s*[\p{Lu}0-9\s;]{3,})+\.?$')"
+_STOPS = r"DE\s*:|DE\s+(JEFE|MINISTRO|DIRECTOR|DIVISI[ÓOóo]N)\b|A\s*:|A\s+SEG[ÚUúu]N\b|(SANTIAGO|VALPARA[ÍIíi]SO|CONCEPCI[ÓOóo]N|I\.)\b"
+
+
+def _block_sql(start: str, stop: str, most: int, which: str) -> str:
+    """Blocks between blank and stop lines, each from its first opening line; the first or last of them."""
+    return _L + f""", m AS (SELECT doc_id, line_no, line, line = '' OR {stop} AS b, regexp_matches(line, '{start}') AS s FROM l WHERE line_no < {most}),
+    g AS (SELECT *, sum(b::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS isla FROM m),
+    o AS (SELECT doc_id, isla, min(line_no) AS de FROM g WHERE s AND NOT b GROUP BY 1, 2), c AS (SELECT doc_id, {which}(isla) AS isla FROM o GROUP BY 1),
+    t AS (SELECT doc_id, string_agg(CASE WHEN line_no = de THEN regexp_extract(line, '{start}', 1) ELSE line END, ' ' ORDER BY line_no) AS v FROM g JOIN o USING (doc_id, isla) JOIN c USING (doc_id, isla) WHERE line_no >= de AND NOT b GROUP BY 1)
+    """
+
+
+_field("block_capture_last", fields.background, _block_sql(r"(?i)^(?:ANT|ANTECEDENTES)[\s.:]+(.+)$", r"regexp_matches(line, '(?i)^((MAT|MATERIA)\.?(\s*:\s*|\s+)|CIRCULAR\b|" + _STOPS + ")') OR " + _KEYWORDS, 60, "max") + f"SELECT d.doc_id, coalesce({S.squeeze('v')}, '') AS valor FROM documents d LEFT JOIN t USING (doc_id)")
+_ENDING = r"regexp_replace(regexp_replace({}, '([a-zA-ZáéíóúÁÉÍÓÚñÑ]{{3,}})\s+(s|S|os|as|mo|ren)([^\p{{L}}\p{{N}}_]|$)', '\1\2\3', 'g'), '\s+([,.:;])', '\1', 'g')"
+_field("block_capture_first", fields.subject, _block_sql(r"(?i)^(?:MAT|MATERIA)\s*[.:]+\s*(.+)$", r"regexp_matches(line, '(?i)^((ANT|ANTECEDENTES)\.?(\s*:\s*|\s+)|" + _STOPS + ")') OR " + _KEYWORDS + f" OR {_DESC_START}", 50, "min") + f"SELECT d.doc_id, coalesce({S.strip(_ENDING.format(S.squeeze('v')))}, '') AS valor FROM documents d LEFT JOIN t USING (doc_id)")
+_LABELLED = r"(?i)^(?:DESCRIPTORES|VOCABLOS|PALABRAS\s+CLAVE)\.?(?:\s*:\s*|\s+)(.+)$"
+_field(
+    "descriptor_lines", fields.descriptors,
+    _L + rf""", b AS (SELECT doc_id, max(line_no) + 1 AS de FROM l WHERE line_no < 15 AND regexp_matches(line, '(?i)^(MAT\s*:|ANT\s*:|CIRCULAR\s+ORD|DDU\s+[0-9]+|ORD\b)') GROUP BY 1),
+    c AS (SELECT l.doc_id, line_no, line, regexp_matches(line, '{_LABELLED}') OR {_DESC_LINE} AS toma, regexp_matches(line, '(?i)^(DE\s+(JEFE|MINISTRO|SUBSECRETARI|DIRECTOR|SECRETARI|DIVISI[ÓOóo]N)|DE\s*:|A\s*:|SANTIAGO|VALPARA[ÍIíi]SO)') AS fin
+      FROM l LEFT JOIN b USING (doc_id) WHERE line_no >= coalesce(de, 0) AND line_no < 35 AND line <> ''),
+    p AS (SELECT doc_id, min(line_no) AS p FROM c WHERE toma GROUP BY 1), f AS (SELECT doc_id, min(line_no) AS f FROM c JOIN p USING (doc_id) WHERE NOT toma AND fin AND line_no > p GROUP BY 1),
+    t AS (SELECT doc_id, string_agg(CASE WHEN regexp_matches(line, '{_LABELLED}') THEN trim(regexp_extract(line, '{_LABELLED}', 1)) ELSE line END, ' ' ORDER BY line_no) AS v FROM c LEFT JOIN f USING (doc_id) WHERE toma AND line_no < coalesce(f, 99) GROUP BY 1)
+    SELECT d.doc_id, coalesce({S.squeeze('v')}, '') AS valor FROM documents d LEFT JOIN t USING (doc_id)""",
+)
 _field("date_place_extract", fields.date_and_place)
-_field("recipient_line", fields.recipient)
-_field("issuer_line", fields.issuer)
+_TO = r"(?i)^(?:A(?:\s|:)|PARA\s*:)\s*:?\s*(.+)$"
+_LATE = "coalesce(trim(regexp_extract(substring(coalesce(text, ''), 1, 1500), {}, 1)), '')"
+_field(
+    "recipient_line", fields.recipient,
+    _L + rf""", h AS (SELECT doc_id, arg_min(regexp_extract(line, '{_TO}', 1), line_no) AS v FROM l WHERE line_no < 40 AND regexp_matches(line, '{_TO}') AND NOT regexp_matches(regexp_extract(line, '{_TO}', 1), '(?i)^\s*LA\s+FECHA') GROUP BY 1),
+    t AS (SELECT doc_id, {S.strip(_LATE.format("'(?i)" + chr(92) + "b(?:A|PARA)" + chr(92) + "s*:" + chr(92) + "s*([^" + chr(92) + "n]+)'"))} AS x FROM documents)
+    SELECT doc_id, {S.squeeze("coalesce(nullif(v, ''), CASE WHEN regexp_matches(x, '(?i)^LA" + chr(92) + "s+FECHA') THEN '' ELSE x END)")} AS valor FROM t LEFT JOIN h USING (doc_id)""",
+)
+_FROM_SQL = r"CASE WHEN regexp_matches(line, '(?i)^DE\s*:\s*.+$') THEN regexp_extract(line, '(?i)^DE\s*:\s*(.+)$', 1) WHEN regexp_matches(line, '(?i)^DE\s+(JEFE|MINISTRO|SUBSECRETARI[OA]|DIRECTOR|DIVISI[ÓOóo]N)\b') THEN regexp_extract(line, '(?i)^DE\s+(.+)$', 1) END"
+_field(
+    "issuer_line", fields.issuer,
+    _L + rf""", h AS (SELECT doc_id, arg_min({_FROM_SQL}, line_no) AS v FROM l WHERE line_no < 40 AND {_FROM_SQL} IS NOT NULL GROUP BY 1),
+    t AS (SELECT doc_id, {_LATE.format("'(?i)" + chr(92) + "bDE" + chr(92) + "s*:" + chr(92) + "s*([^" + chr(92) + "n]+)'")} AS x FROM documents)
+    SELECT doc_id, {S.squeeze("regexp_replace(" + S.strip("coalesce(nullif(v, ''), x)") + ", '" + chr(92) + ".$', '')")} AS valor FROM t LEFT JOIN h USING (doc_id)""",
+)
 _field("footnote_islands", fields.footnotes)
 _field("amendment_notes", fields.amendments)
 _field("signer_fields", signer.signer)
@@ -759,9 +811,15 @@ def _(spark, sf_dir):
     return d.where("size(u) > 0").select("doc_id", F.array_join("u", " ").alias("uris"))
 
 
-@query("citation_inline_ref")
+@query(
+    "citation_inline_ref",
+    f"""WITH t AS (SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&apos;') AS x FROM documents),
+    p AS (SELECT doc_id, x, regexp_split_to_array(x, {S.q(_CITE)}) AS a, regexp_extract_all(x, {S.q(_CITE)}) AS c FROM t)
+    SELECT doc_id, CASE WHEN x IS NOT NULL THEN array_to_string(list_transform(a, lambda v, i: v || CASE WHEN i <= len(c) THEN '<ref id="ref_' || i || '" href="' || list_transform([c[i]], lambda h: {_URI})[1] || '">' || c[i] || '</ref>' ELSE '' END), '') END AS texto FROM p""",
+)
 def _(spark, sf_dir):
-    return docs(spark, sf_dir).where("text is not null").select("doc_id", G.with_references(T.xml_escape(F.col("text")), F.lit("ref")).alias("texto"))
+    """Texts with their citations as references; a null text stays null."""
+    return docs(spark, sf_dir).select("doc_id", G.with_references(T.xml_escape(F.col("text")), F.lit("ref")).alias("texto"))
 
 
 _CITED = r"(?i)(?:circular\s+(?:ddu\s+)?|\bddu\s+)n?[°oº]?\s*[0-9]+\b"
