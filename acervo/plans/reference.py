@@ -236,28 +236,95 @@ def _(spark, sf_dir):
     return docs(spark, sf_dir).where("text is not null").select("doc_id", F.md5(squeeze(F.col("text"))).alias("huella"))
 
 
-@query("text_repair")
+# Repairs, written out here: known words torn at any place (head and tail of each split; borders are taken in and given back), endings, blanks.
+_NB, _LT = r"[^\p{L}\p{N}_]", "a-zA-ZáéíóúÁÉÍÓÚñÑ"
+
+
+def _torn_sql(x: str, known: str) -> str:
+    loose = lambda t: "".join({"á": "[aá]", "é": "[eé]", "í": "[ií]", "ó": "[oó]", "ú": "[uú]"}.get(c, c) for c in t)
+    for w in known.split():
+        stem = w.rstrip("*")
+        for i in range(1, len(stem)):
+            if stem[i:] in ("a", "es") and stem[i - 1] in "lrdn":
+                continue
+            end, back = ("", "") if w.endswith("*") else (f"({_NB}|$)", r"\4")
+            x = f"regexp_replace({x}, '(?i)(^|{_NB})({loose(stem[:i])})\\s+({loose(stem[i:])}){end}', '\\1\\2\\3{back}', 'g')"
+    return x
+
+
+def _endings_sql(x: str, endings: str, ignore: str = "", word: str = f"[{_LT}]{{3,}}") -> str:
+    return f"regexp_replace({x}, '{ignore}(^|{_NB})({word})\\s+({endings})({_NB}|$)', '\\1\\2\\3\\4', 'g')"
+
+
+def _words_sql(x: str, known: str = "artícul* superior* secret* ordenanz* vigésim* arquitectónicos territorial inmobiliarios considerar instituto por") -> str:
+    x = _endings_sql(_torn_sql(x, known), "s|S|os|as|mo|ren")
+    return S.strip(f"regexp_replace(regexp_replace({x}, {S.q(S.BLANK + '+([,.:;])')}, '\\1', 'g'), '[ \\t]+', ' ', 'g')")
+
+
+_REPAIRED = _words_sql("text")
+
+
+@query("text_repair", f"SELECT doc_id, {_REPAIRED} AS texto FROM documents")
 def _(spark, sf_dir):
     """All repairs of torn words on every text."""
     return docs(spark, sf_dir).select("doc_id", T.fix_words(F.col("text")).alias("texto"))
 
 
-@query("body_text_repair")
+_BODY_KNOWN = """artícul* superior* secret* ordenanz* vigésim* arquitectónicos territorial inmobiliarios considerar instituto por instrumento instrucci* permiso permisos edificad* edificaci* incremento incrementos
+  circunscribirse porcentual porcentuales antes aplicable aplicables modificad* modificaci* específic* construida construidas construido construidos correspondient* circular* superfici* disposici* urbanístic*
+  territorial* solicitud* aprobad* aprobaci* expuesto expuestos expuesta expuestas"""
+_LEADS = (r"se\s+dejan\s+sin\s+efecto\s+las\s+siguientes\s+circulares", r"se\s+modifican\s+las\s+siguientes\s+circulares\s+en\s+la\s+forma\s+que\s+se\s+indica", r"la\s+urbanizaci[óo]n\s+solo\s+comprende\s+los\s+siguientes\s+tipos\s+de\s+gesti[óo]n")
+_BODY = f"regexp_replace({_words_sql('cuerpo', _BODY_KNOWN)}, '(^|{_NB})OS\\s+33({_NB}|$)', '\\1DS 33\\2', 'g')"
+_BODY = rf"regexp_replace({_BODY}, '(?i)\(?\s*(circular\s+modificada\s+por|modificada\s+por\s+circular|dejada\s+sin\s+efecto\s+por)\s+circular\s+ord\.?\s*n[°º?]?\s*[0-9]+[^\n)]*\)?', '', 'g')"
+_AT_END = r"'(?is)\s*(circular\s+)?materia\(s\)\s+que\s+se\s+modifica\(n\).*$'"
+
+
+@query(
+    "body_text_repair",
+    f"WITH a AS (SELECT circular_id, {_BODY} AS x FROM circulares), b AS (SELECT circular_id, {S.squeeze(f'CASE WHEN regexp_matches(x, {_AT_END}) THEN regexp_replace({S.strip(f"regexp_replace(x, {_AT_END}, {S.q('')})")}, {S.q(';$')}, {S.q(':')}) ELSE x END')} AS c0 FROM a)"
+    + "".join(f", l{i} AS (SELECT circular_id, CASE WHEN regexp_matches(c{i}, '(?i){p}') THEN {S.strip(f'regexp_extract(c{i}, {S.q("(?is)^(.*?" + p + ")")}, 1)')} || ':' ELSE c{i} END AS c{i + 1} FROM {'b' if not i else f'l{i - 1}'})" for i, p in enumerate(_LEADS))
+    + " SELECT circular_id, c3 AS cuerpo FROM l2",
+)
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "cuerpo").select("circular_id", T.cut_after_lead_in(T.fix_body(F.col("cuerpo"))).alias("cuerpo"))
 
 
-@query("footnote_text_repair")
+def _notes_sql(x: str) -> str:
+    x = _endings_sql(_torn_sql(x, "containers artículo artículos"), "i[óo]n|iones", "(?i)", f"[{_LT}]+c")
+    x = _endings_sql(x, "res|les|nes|dos|das|tos|tas|mente|nicos|nica|nicas")
+    return S.squeeze(_endings_sql(x, "[rlns]", "", f"[{_LT}]{{3,}}[a-záéíóúñ]"))
+
+
+@query("footnote_text_repair", f"SELECT circular_id, {_notes_sql('notas_al_pie')} AS notas_al_pie FROM circulares")
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "notas_al_pie").select("circular_id", T.fix_notes(F.col("notas_al_pie")).alias("notas_al_pie"))
 
 
-@query("recipient_text_repair")
+_RECIPIENT_KNOWN = """urbanismo urbanistas regional regionales secretaria secretarias secretarios subsecretaria desarrollo desarrolladores inmobiliarios territorial directores revisores independientes biblioteca
+  ministerio ministeriales instituto planificación ordenamiento ambiente división nacional contralora contraloría ejecutivo municipalidades documentación interna minvu seremi serviu"""
+_REC = "lista_distribucion"
+for _p, _r in ((r"^[,!;:_\s-]+([0-9]+)", r"\1"), (r"^[lIi|][.!;:,_\s-]+\s*", "1. "), (r"^([0-9]+)[!;:,_-]+\s*", r"\1. "), (r"^([0-9]+)\s*\.\s*", r"\1. ")):
+    _REC = f"regexp_replace({_REC}, '{_p}', '{_r}')"
+_REC = _endings_sql(_torn_sql(_REC, _RECIPIENT_KNOWN), "i[óo]n|iones", "(?i)", f"[{_LT}]+c")
+_REC = _endings_sql(_REC, "res|les|nes|dos|das|tos|tas|ria|rias|rios|tiva|tivas|ial|rial|loría")
+_REC = _endings_sql(_REC, "[rlns]", "(?i)", f"[{_LT}]{{3,}}[a-záéíóúñ]")
+_REC = rf"regexp_replace(regexp_replace(regexp_replace({_REC}, '[\s;]+$', ''), '\s*;\s*', ' ', 'g'), '\s+\.', '.', 'g')"
+
+
+@query("recipient_text_repair", f"SELECT circular_id, {S.squeeze(_REC)} AS lista FROM circulares")
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "lista_distribucion").select("circular_id", T.fix_recipient(F.col("lista_distribucion")).alias("lista"))
 
 
-@query("signer_text_repair")
+_SIGN = _words_sql("firmante")
+for _p, _r in (
+    (r"(D\s+VISI|IS[IÍÓ?�\s]+N)\s+DE\s+DESARROLLO\s+URBANO", "DIVISIÓN DE DESARROLLO URBANO"), (r"D\s+VISI[ÓO?I�\s]+N", "DIVISIÓN"), (r"MINIST\s*RIO|IS\s+RIO", "MINISTERIO"),
+):
+    _SIGN = f"regexp_replace({_SIGN}, '(?i)(^|{_NB})(?:{_p})({_NB}|$)', '\\1{_r}\\{2 if '(D' not in _p else 3}', 'g')"
+_SIGN = f"regexp_replace(regexp_replace({_SIGN}, '(^|{_NB})DIVISI[ÓO?I�\\s]+N({_NB}|$)', '\\1DIVISIÓN\\2', 'g'), '(^|{_NB})Divisi[ÓOóo?I�\\s]+[Nn]({_NB}|$)', '\\1División\\2', 'g')"
+
+
+@query("signer_text_repair", f"SELECT circular_id, {_SIGN} AS firmante FROM circulares")
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "firmante").select("circular_id", T.fix_signer(F.col("firmante")).alias("firmante"))
 
@@ -314,7 +381,17 @@ def _(spark, sf_dir):
     return rows.select("doc_id", "line_no", T.roman_numeral(F.regexp_extract(l, _SECTION, 1), F.regexp_extract(l, _SECTION, 2)).alias("romano")).where("romano is not null")
 
 
-@query("table_cell_text")
+_OPENER = (
+    r"^((?:[a-záéíó]|[ivx]{1,4})\)\s+|[a-záéíó]\.\s+|[0-9]+[.)]\s+|[-•*]\s+|por\s+la\s+siguiente:|reempl[aá]zase|mediante\s+circular|se\s+deja\s+sin\s+efecto|lo\s+anterior|en\s+el\s+mismo\s+contexto"
+    r"|luego,\s+el\s+art[ií]culo|a\s+su\s+vez,\s+el\s+primer|luego,\s+el\s+inciso|«art[ií]culo\s+134|el\s+art[ií]culo\s+1\.1\.2\.|“?5\.\s+obras\s+de)"
+)
+
+
+@query(
+    "table_cell_text",
+    f"""WITH a AS (SELECT circular_id, string_split({_words_sql("coalesce(notas_al_pie, '')")}, chr(10)) AS r FROM circulares), b AS (SELECT circular_id, list_filter(list_transform(r, lambda x: {S.strip('x')}), lambda x: x <> '') AS r FROM a)
+    SELECT circular_id, {S.strip("regexp_replace(array_to_string(list_transform(r, lambda x, i: CASE WHEN i = 1 THEN x WHEN regexp_matches(x, " + S.q("(?i)" + _OPENER) + ") THEN chr(10) || x ELSE ' ' || x END), ''), ' +', ' ', 'g')")} AS celda FROM b""",
+)
 def _(spark, sf_dir):
     """Cells as the lines of the notes: joined, but for lines that open a block."""
     return circ(spark, sf_dir, "notas_al_pie").select("circular_id", T.cell_text(F.col("notas_al_pie")).alias("celda"))
@@ -515,8 +592,26 @@ _field(
     t AS (SELECT doc_id, {_LATE.format("'(?i)" + chr(92) + "bDE" + chr(92) + "s*:" + chr(92) + "s*([^" + chr(92) + "n]+)'")} AS x FROM documents)
     SELECT doc_id, {S.squeeze("regexp_replace(" + S.strip("coalesce(nullif(v, ''), x)") + ", '" + chr(92) + ".$', '')")} AS valor FROM t LEFT JOIN h USING (doc_id)""",
 )
-_field("footnote_islands", fields.footnotes)
-_field("amendment_notes", fields.amendments)
+_FLUSH = r"regexp_matches(line, '(?i)p[áa]gina\s+[0-9]+\s+de\s+[0-9]+|saluda\s+atent|distribuci[óo?i\s]+n|gobierno\s+de\s+chile|alameda\s+924')"
+_OPENS = (
+    r"(regexp_matches(line, '^[0-9]{1,2}\s+[A-ZÁÉÍÓÚÑ\"“”''‘’«(].+$') AND try_cast(regexp_extract(line, '^([0-9]{1,2})\s', 1) AS INT) BETWEEN 1 AND 60 AND NOT regexp_matches(line, '^[0-9]{1,2}\. ') AND NOT "
+    + _w("^ [0-9]+ (o mas|para todas|y cumplan|de la (ley|lguc|oguc)|de (enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|setiembre|octubre|noviembre|diciembre)) ") + ")"
+)
+_field(
+    "footnote_islands", fields.footnotes,
+    _L + rf""", m AS (SELECT doc_id, line_no, line, {_FLUSH} AS c, {_OPENS} AS o FROM l WHERE line <> ''), g AS (SELECT *, sum((c OR o)::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS isla FROM m),
+    n AS (SELECT doc_id, isla, string_agg(CASE WHEN o THEN regexp_replace(line, '^([0-9]{{1,2}})\s+', '\1 ') ELSE line END, ' ' ORDER BY line_no) AS t FROM g WHERE NOT c GROUP BY 1, 2 HAVING bool_or(o)),
+    r AS (SELECT doc_id, isla, {_notes_sql('t')} AS t FROM n), t AS (SELECT doc_id, string_agg(t, ' | ' ORDER BY isla) FILTER (t <> '') AS t FROM r GROUP BY 1)
+    SELECT d.doc_id, coalesce({_notes_sql('t.t')}, '') AS valor FROM documents d LEFT JOIN t USING (doc_id)""",
+)
+_NOTES = [r"Circular\s+Modificada\s+por", r"Dejada\s+sin\s+efecto\s+por\s+Circular", r"Aclarada\s+por\s+Circular", r"Complementada\s+por\s+Circular"]
+_field(
+    "amendment_notes", fields.amendments,
+    "WITH r AS (SELECT doc_id, " + _REPAIRED + """ AS t FROM documents), b AS (SELECT doc_id, t, regexp_extract(t, '(?i)(Circular\\s+Modificada\\s+por\\s*Circular\\s+Ord\\.?\\s*N[°º?]?\\s*[0-9]+[^\\n]*(?:\\n[^\\n]*){0,4}\\bDDU\\s*[0-9]+[^\\n]*(?:\\s*\\([^)]+\\))?)', 1) AS blk FROM r),
+    n AS (SELECT doc_id, """ + S.squeeze("blk") + " AS blk, list_concat(" + ", ".join(f"regexp_extract_all(t, '(?i)({p}\\b[^\\n]+)', 1)" for p in _NOTES).replace("list_concat(", "") + """) AS l FROM b),
+    u AS (SELECT doc_id, blk, list_transform(l, lambda x: """ + S.squeeze("x") + """) AS l FROM n)
+    SELECT doc_id, coalesce(CASE WHEN blk <> '' THEN blk ELSE array_to_string(list_filter(list_reverse(list_distinct(list_reverse(l))), lambda x: x <> ''), '; ') END, '') AS valor FROM u""",
+)
 _field("signer_fields", signer.signer)
 _field("distribution_items", lambda t, l: distribution.distribution(t, l))
 
