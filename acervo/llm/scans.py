@@ -60,7 +60,7 @@ DIRT = "'.`~·"
 _WORD = re.compile(r"[^\s|]+")
 _OUTER = "\"'«»“”()[]{},;:.¿?¡!|…*•"
 _LETTER = re.compile(r"[^\W\d_]")
-_BROKEN_END = re.compile(rf"\S*[{BREAKS}][ \t\r]*(?:\n|\Z)")
+_ENDS = frozenset(BREAKS + " \t\r")
 _DIGITS = re.compile("[0-9]+")
 _NOT_WORD = re.compile(r"[a-z]{1,2}-?[0-9]+[a-z]?|[0-9.,]+[a-zº°]{0,2}|.*(?:www|@.*\.).*")
 _CLOSED_END = re.compile(r"[.:;)\]\"»]\s*$")
@@ -398,7 +398,7 @@ class Furniture:
         s = line.strip()
         n, share = self.forms.get(form, (0, 0.0))
         like = self.likeness(form)
-        letters = len(_LETTER.findall(s))
+        letters = sum(map(str.isalpha, s))
         room, last, first, before, after, closed, low, opened = p
         near, short, plain = int(like * 10), min(letters // 4, 6), bare(line)
         parts = (
@@ -409,8 +409,8 @@ class Furniture:
         return tuple(hash((i, *map(int, x))) & 0xFFFFFFFFFFFFFFFF for i, x in enumerate(parts))
 
     def candidate(self, line: str, form: str, p: Place) -> bool:
-        """True if a line may be furniture: it leaves room, is bare, or is like a form that intrudes."""
-        return p[0] or p[1] or self.likeness(form) > 0 or bare(line)
+        """True if a line may be furniture: it leaves room and is not closed, is bare, or is like a form that intrudes."""
+        return (p[0] or p[1]) and not p[5] or self.likeness(form) > 0 or bare(line)
 
 
 def fit_lines(texts: list[str], furniture: Furniture) -> Perceptron:
@@ -610,6 +610,12 @@ FIELDS = ("cuerpo", "notas_al_pie", "antecedentes")
 _FOUND = "campo string, linea int, sigue int, clase string, termino string, desde int, hasta int, arreglo string"
 
 
+def without_broken(line: str) -> str:
+    """A line without its last word if that is broken."""
+    end = line.rstrip(" \t\r")
+    return end[: max(end.rfind(" "), end.rfind("\t")) + 1] if end[-1:] in BREAKS and end else line
+
+
 def statistics(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """``(clase, forma, n, raras)`` over all values: words (``p``), and line forms (``r``) with how often they intrude."""
     source = df.select(*fields)
@@ -624,7 +630,8 @@ def statistics(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
                         continue
                     text = unicodedata.normalize("NFC", text)
                     lines = text.split("\n")
-                    raw.update((text if len(lines) == 1 else _BROKEN_END.sub(" ", text)).lower().replace("|", " ").split())
+                    whole = text if len(lines) == 1 else " ".join([x if x[-1:] not in _ENDS else without_broken(x) for x in lines])
+                    raw.update(whole.lower().replace("|", " ").split())
                     if len(lines) > 1:
                         for x, p in zip(lines, layout(lines)):
                             if p is not None and not p[5]:
