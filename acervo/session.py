@@ -89,11 +89,11 @@ def dealt(left: DataFrame, right: DataFrame, keys: list[str], hot: int = 100_000
     partners, so the join gives the same rows. The hot keys (at most one in ``hot`` rows) are counted first: without any the sides stay as they are, and
     they are broadcast only if they are few.
     """
-    counted = cut(left.groupBy(*keys).count().where(F.col("count") > hot).select(*keys, F.ceil(F.col("count") / hot).cast("int").alias("_copias")))
-    n = counted.count()
-    if not n:
+    counted = left.groupBy(*keys).count().where(F.col("count") > hot).select(*keys, F.ceil(F.col("count") / hot).cast("int").alias("_copias"))
+    if counted.isEmpty():
         return left, right, keys
-    heavy = F.broadcast(counted) if n <= hot else counted
+    counted = cut(counted)
+    heavy = F.broadcast(counted) if counted.count() <= hot else counted
     copies = F.coalesce("_copias", F.lit(1))
     place = F.pmod(F.xxhash64(*left.columns), copies).cast("int")
     split = left.join(heavy, keys, "left").select(*left.columns, place.alias("_sal"))
