@@ -273,22 +273,23 @@ def _own_form() -> tuple[Column, Column]:
 
 
 def forms_of(entities: DataFrame, rank: int) -> DataFrame:
-    """``(grupo, b, entidad, rango)``: the forms in which the names of some entities may be written."""
+    """``(grupo, b, entidad, rango)``: the forms in which the names of some entities may be written; one entity, one row per form."""
     each = F.array(*[F.struct(F.lit("".join(f)).alias("forma"), _form(f).alias("b")) for f in _FORMS])
     return entities.select("campo", "entidad", F.explode(each).alias("e")).select(
         F.concat_ws("|", "campo", "e.forma").alias("grupo"), F.col("e.b").alias("b"), "entidad", F.lit(rank).alias("rango")
-    ).distinct()
+    )
 
 
 def linked(rows: DataFrame, forms: DataFrame) -> DataFrame:
     """``(campo, nombre, entidad)`` of names that are within one edit of a form of only one entity; the nearest forms of the first rank count."""
     which, own = _own_form()
-    asked = cut(rows.select("campo", "nombre", F.concat_ws("|", "campo", which).alias("grupo"), own.alias("a")).where("a is not null").distinct())
+    asked = rows.select("campo", "nombre", F.concat_ws("|", "campo", which).alias("grupo"), own.alias("a")).where("a is not null").distinct()
     found = segment_join(asked.select("grupo", "a").distinct(), forms.select("grupo", "b").distinct())
     near_entities = found.join(forms, ["grupo", "b"]).groupBy("grupo", "a", F.struct("d", "rango").alias("cerca")).agg(F.min("entidad").alias("una"), F.max("entidad").alias("otra"))
-    each = asked.join(near_entities, ["grupo", "a"])
-    best = each.groupBy("campo", "nombre").agg(F.min("cerca").alias("cerca"))
-    only = each.join(best, ["campo", "nombre", "cerca"]).groupBy("campo", "nombre").agg(F.min("una").alias("entidad"), F.max("otra").alias("otra"))
+    # A name has few candidates: one for each distance and rank of each of its meanings.
+    each = asked.join(near_entities, ["grupo", "a"]).groupBy("campo", "nombre").agg(F.collect_list(F.struct("cerca", "una", "otra")).alias("x"))
+    nearest = F.filter("x", lambda e: e["cerca"] == F.array_min(F.transform("x", lambda y: y["cerca"])))
+    only = each.select("campo", "nombre", F.array_min(F.transform(nearest, lambda e: e["una"])).alias("entidad"), F.array_max(F.transform(nearest, lambda e: e["otra"])).alias("otra"))
     return only.where("entidad = otra").drop("otra")
 
 
@@ -301,11 +302,10 @@ def persons(rows: DataFrame) -> DataFrame:
     several, make entities of their own by what they have.
     """
     g = lambda c: F.substring_index(c, "|", 1)
-    known = cut(rows.where("base is not null"))
+    known = rows.where("base is not null")
     # The parts of an entity are those of the names that are spelt as its base; a torn surname is no part.
     spelt = known.where("clave = base").groupBy("campo", "base", "s1", "s2").agg(F.count("*").alias("n")).groupBy("campo", "base").agg(F.max(F.struct("n", "s1", "s2")).alias("s"))
-    seconds = known.where(_full("g2")).groupBy("campo", "base", "g2").agg(F.count("*").alias("n"))
-    doubled = seconds.groupBy("campo", "base").agg(F.count("*").alias("n2"))
+    doubled = known.where(_full("g2")).groupBy("campo", "base").agg(F.countDistinct("g2").alias("n2"))
     known = known.join(doubled, ["campo", "base"], "left").withColumn("doble", F.coalesce("n2", F.lit(0)) > 1)
     settled = cut(known.where(~F.col("doble") | _full("g2")).withColumn("entidad", F.concat_ws("|", "base", F.when(F.col("doble"), F.col("g2")))))
     every = settled.groupBy("campo", "base", "entidad").agg(F.max(F.when(_full("g2"), F.col("g2"))).alias("g2")).join(spelt, ["campo", "base"]).select(
