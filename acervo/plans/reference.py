@@ -653,9 +653,28 @@ def _(spark, sf_dir):
     return body.sections(with_lines(docs(spark, sf_dir)))
 
 
-@query("csv_body_resegment")
+# Flat bodies: a mark (character 1) before each section title, then (character 2) before each numeral that opens a sentence.
+_TITLE_AT = r"[IVX]+\.\s+[A-ZÁÉÍÓÚÑ\s0-9]+\s*:"
+
+
+def _segments_sql(x: str) -> str:
+    """A list of ``{t: title, p: paragraphs}``."""
+    blocks = rf"list_filter(list_transform(string_split(regexp_replace({x}, '(\||\n|^)\s*({_TITLE_AT})', chr(1) || '\2', 'g'), chr(1)), lambda b: {S.strip('b')}), lambda b: b <> '')"
+    rest = S.strip(f"regexp_replace(b, '^({_TITLE_AT})', '')")
+    pars = rf"list_filter(list_transform(regexp_split_to_array(regexp_replace({rest}, '([.:)|]\s)([0-9]{{1,2}}\.\s+[A-ZÁÉÍÓÚÑa-z])', '\1' || chr(2) || '\2', 'g'), '\n+|\x02'), lambda q: {S.strip('q')}), lambda q: q <> '')"
+    title = S.strip(f"regexp_extract(b, '^({_TITLE_AT})', 1)")
+    return f"list_transform({blocks}, lambda b: {{'t': {title}, 'p': {pars}}})"
+
+
+@query(
+    "csv_body_resegment",
+    f"""WITH s AS (SELECT circular_id, {_segments_sql('cuerpo')} AS s FROM circulares WHERE coalesce({S.strip('cuerpo')}, '') <> ''), e AS (SELECT circular_id, generate_subscripts(s, 1)::INT AS seccion, unnest(s) AS x FROM s)
+    SELECT circular_id, seccion, x.t AS titulo, len(x.p)::INT AS parrafos, array_to_string(x.p, ' | ') AS texto FROM e""",
+)
 def _(spark, sf_dir):
-    return circ(spark, sf_dir, "cuerpo").select("circular_id", body.resegment(F.col("cuerpo")).alias("secciones"))
+    """Sections of every flat body with their paragraphs."""
+    rows = circ(spark, sf_dir, "cuerpo").select("circular_id", F.posexplode(body.resegment(F.col("cuerpo"))).alias("i", "s"))
+    return rows.select("circular_id", (F.col("i") + 1).alias("seccion"), F.col("s.titulo").alias("titulo"), F.size("s.parrafos").alias("parrafos"), F.array_join("s.parrafos", " | ").alias("texto"))
 
 
 @query("extractor_registry")
@@ -1252,7 +1271,15 @@ def _records_of_files(spark, sf_dir, resegmented=True):
     return eav.record(eav.pivot(table(spark, sf_dir, "eav", "file", "row_no", "campo", "valor_extraido").where("file is not null")), resegmented)
 
 
-@query("csv_records")
+_PIVOTED = f"WITH e AS (SELECT DISTINCT file, row_no, {S.strip('campo')} AS c, {S.strip('coalesce(valor_extraido, chr(32))')} AS v FROM eav WHERE file IS NOT NULL), w AS (SELECT file, {_PIVOT} FROM e GROUP BY file)"
+
+
+@query(
+    "csv_records",
+    _PIVOTED + f""", r AS (SELECT file, coalesce(numero_ddu, '') AS numero, coalesce(fecha_emision, '') AS f, CASE WHEN coalesce(cuerpo, '') = '' THEN [] ELSE {_segments_sql('cuerpo')} END AS s FROM w)
+    SELECT file, numero, CASE WHEN contains(f, ',') THEN {S.strip("regexp_replace(f, '(?s)^[^,]*,', '')")} ELSE f END AS fecha, CASE WHEN contains(f, ',') THEN {S.strip("split_part(f, ',', 1)")} ELSE 'Santiago' END AS lugar,
+      len(s)::INT AS secciones, coalesce(list_sum(list_transform(s, lambda x: len(x.p))), 0)::INT AS parrafos FROM r""",
+)
 def _(spark, sf_dir):
     """Records read back from the attribute rows of every file, bodies split into sections."""
     r = _records_of_files(spark, sf_dir)
