@@ -1314,7 +1314,37 @@ def _(spark, sf_dir):
     return render.akoma_xml(_records_of_files(spark, sf_dir), as_of="2026-01-01").select("file", "xml")
 
 
-@query("rdf_triples")
+def _iso_sql(x: str) -> str:
+    """Date of a text in Spanish words or figures."""
+    return f"""CASE WHEN regexp_matches({x}, {S.q(_LONG)}) THEN regexp_extract({x}, {S.q(_LONG)}, 3) || '-' || {_MONTHS.replace('lower(m)', f"lower(regexp_extract({x}, {S.q(_LONG)}, 2))")} || '-' || lpad(regexp_extract({x}, {S.q(_LONG)}, 1), 2, '0')
+      WHEN regexp_matches({x}, {S.q(_NUM)}) THEN regexp_extract({x}, {S.q(_NUM)}, 3) || '-' || regexp_extract({x}, {S.q(_NUM)}, 2) || '-' || regexp_extract({x}, {S.q(_NUM)}, 1) ELSE '0000-00-00' END"""
+
+
+def _year_sql(x: str) -> str:
+    """Year near the first mention of circular ``n`` that has one."""
+    near = rf"regexp_extract_all({x}, '(?is).{{0,100}}\b(?:circular\s+(?:ddu\s+)?|ddu\s+)n?[°oº]?\s*' || n || '\b.{{0,100}}')"
+    return rf"coalesce(list_filter(list_transform({near}, lambda m: regexp_extract(m, '\b((?:19|20)[0-9]{{2}})\b', 1)), lambda y: y <> '')[1] || '-00-00', '0000-00-00')"
+
+
+def _own_out(x: str, pattern: str) -> str:
+    return f"list_filter(list_distinct(list_transform(regexp_extract_all({x}, {S.q(pattern)}), lambda h: try_cast(regexp_extract(h, '([0-9]+)$', 1) AS INT))), lambda v: v IS NOT NULL AND (own IS NULL OR v <> own))"
+
+
+@query(
+    "rdf_triples",
+    _PIVOTED + f""", f AS (SELECT *, coalesce(fecha_emision, '') AS fe FROM w),
+    r AS (SELECT trim(numero_ddu) AS numero, trim(CASE WHEN contains(fe, ',') THEN {S.strip("regexp_replace(fe, '(?s)^[^,]*,', '')")} ELSE fe END) AS fecha, trim(coalesce(materia, '')) AS titulo, coalesce(emisor, '') AS emisor,
+      {S.squeeze("concat_ws(' ', materia, antecedentes, cuerpo)")} AS t, coalesce(modificaciones_posteriores, '') AS nota, try_cast(regexp_extract(numero_ddu, '([0-9]+)', 1) AS INT) AS own FROM f),
+    k AS (SELECT *, '{G.CIRCULAR}/' || fecha || '/' || numero AS s FROM r WHERE coalesce(numero, '') <> '' AND fecha <> ''),
+    c AS (SELECT s, t, unnest({_own_out('t', _CITED)}) AS n FROM k), m AS (SELECT s, nota, unnest({_own_out('nota', _AMEND)}) AS n FROM k), u AS (SELECT s, unnest(regexp_extract_all(t, {S.q(_CITE)})) AS h FROM k),
+    x AS (SELECT s, 'rdf:type' AS p, 'minvu-ddu:CircularDDU' AS o, 'uri' AS o_kind, NULL AS o_type FROM k UNION ALL SELECT s, 'bcn-norms:hasNumber', numero, 'literal', NULL FROM k UNION ALL SELECT s, 'bcn-norms:publishDate', fecha, 'literal', 'xsd:date' FROM k
+      UNION ALL SELECT s, 'dc:title', titulo, 'literal', NULL FROM k UNION ALL SELECT s, 'bcn-norms:createdBy', CASE WHEN contains(lower(emisor), 'desarrollo urbano') THEN '{G.ORGANISATION}/ministerio-de-vivienda-y-urbanismo/division-de-desarrollo-urbano'
+        WHEN contains(lower(emisor), 'vivienda') THEN '{G.ORGANISATION}/ministerio-de-vivienda-y-urbanismo' ELSE '{G.ORGANISATION}/' || {_uri_sql('emisor')} END, 'uri', NULL FROM k
+      UNION ALL SELECT s, 'bcn-resources:tieneDocumentoAkomaNtoso', s || '/espanol/datos.xml', 'uri', NULL FROM k UNION ALL SELECT s, 'minvu-ddu:interpretaA', {_URI}, 'uri', NULL FROM u
+      UNION ALL SELECT s, 'minvu-ddu:complementaA', '{G.CIRCULAR}/' || {_year_sql('t')} || '/' || n, 'uri', NULL FROM c
+      UNION ALL SELECT s, 'minvu-ddu:modificadaPor', '{G.CIRCULAR}/' || CASE WHEN {_year_sql('nota')} = '0000-00-00' THEN {_iso_sql('nota')} ELSE {_year_sql('nota')} END || '/DDU ' || n, 'uri', NULL FROM m)
+    SELECT DISTINCT s, p, o, o_kind, o_type FROM x""",
+)
 def _(spark, sf_dir):
     return G.triples(_records_of_files(spark, sf_dir, resegmented=False))
 
