@@ -10,9 +10,10 @@ from acervo.functions.regex import any_of, ci, let, rx, strip
 from acervo.operators.lines import first_index, last_index
 from acervo.operators.signer import DISTRIBUTION
 
+# Lines that open a distribution list without its heading (patterns).
 OPENERS = r"^((\d+\.|\d+!|l\.|I\.)\s*)?(Sr\.|Sra\.|Sres\.)\s+(Ministr|Subsecretari|Contralor|Gobernador|Director|Jefe)"
 LATE_OPENERS = r"^(Sr\.|Sra\.|1\.|1!)"
-#: Page feet, rules and headings between the items. Names of signers are data: pass them as ``skip``.
+# Page feet, rules and headings between the items. Names of signers are data: pass them as ``skip``.
 SKIPPED = (
     r"P[áa]gina\s+\d+", r"Ministerio\s+de\s+Vivienda\s+y\s+Urban\s*ismo\s*-\s*Alameda", r"GOBIERNO\s+DE\s+CHILE", r"Alameda\s+924", r"Santiago\s*-\s*Chile", r"^[=:\-~\s]{4,}$", r"^!+$",
     r"^(JEFE\s+DIVISI[ÓO]N|DIVISI[ÓO]N\s+DE\s+DESARROLLO|MINISTERIO\s+DE\s+VIVIENDA)\b", r"^[.,\s~]+\s*k1",

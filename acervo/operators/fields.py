@@ -13,6 +13,7 @@ from acervo.operators.lines import capture, first_index, head, indexed, last_ind
 # The issuer and the place that hold if none is found.
 DEFAULT_ISSUER, DEFAULT_PLACE = "JEFE DIVISION DE DESARROLLO URBANO", "Santiago"
 
+# How circulars write their number, the mark of the act (with its misreadings), sender, recipient and the lines that end a block (patterns).
 NUMBER = r"\bDDU\s*N?[°oº]?\s*(\d+)\b"
 ORD_LINE = r"\b(CIRCULAR\s+)?(ORD|ORO|OR0|OR)\b"
 ORD_NUMBER = r"(?:CIRCULAR\s+)?(?:ORD|ORO|OR0|OR)\.?\s*(?:N[°oº?\s_-]*\s*)?([0-9\s_lI|·\-,°º.;~'/]+)"
@@ -120,6 +121,7 @@ def issuer(text: Column, lines: Column) -> Column:
     return squeeze(F.regexp_replace(strip(F.coalesce(F.when(F.coalesce(got, F.lit("")) != "", got), late, F.lit(""))), r"\.$", ""))
 
 
+# Lines that close a footnote and how one opens (patterns).
 NOTE_FLUSH = (r"P[áa]gina\s+\d+\s+de\s+\d+", r"Saluda\s+atent|DISTRIBUCI[ÓO?I\s]+N|GOBIERNO\s+DE\s+CHILE|Alameda\s+924")
 NOTE_OPEN = r"^\d{1,2}\s+[A-ZÁÉÍÓÚÑ\"“”'‘’«(].+$"
 
@@ -144,6 +146,7 @@ def footnotes(text: Column, lines: Column) -> Column:
     return T.fix_notes(F.array_join(F.filter(F.transform(notes, T.fix_notes), lambda x: x != ""), " | "))
 
 
+# How margin notes speak of later circulars (patterns).
 AMENDED_BLOCK = r"Circular\s+Modificada\s+por\s*Circular\s+Ord\.?\s*N[°º?]?\s*\d+[^\n]*(?:\n[^\n]*){0,4}\bDDU\s*\d+[^\n]*(?:\s*\([^)]+\))?"
 AMENDED_LINES = (r"Circular\s+Modificada\s+por", r"Dejada\s+sin\s+efecto\s+por\s+Circular", r"Aclarada\s+por\s+Circular", r"Complementada\s+por\s+Circular")
 

@@ -10,6 +10,7 @@ from acervo.functions.regex import ci, let, rx, squeeze, strip
 from acervo.operators import predicates as P
 from acervo.operators.lines import first_index, head, indexed, last_index
 
+# The greeting, posts, the heading of the distribution list with its misreadings, and the foot of the last page (patterns).
 GREETING = r"Saluda\s+atentamente|^Atentamente\b"
 POST = r"JEFE|DIRECTOR|MINISTRO|SUBSECRETARI[OA]|SECRETARI[OA]|DIVISI[ÓO?I�\s]+N\s+DE\s+DESARROLLO\s+URBANO"
 DISTRIBUTION = r"^(DISTRIBUCI[OÓ?I\s]+N|BUCI[OÓ?I\s]+N|STRIBUCI[OÓ?I\s]+N|D\s*STRIBUC[I?OÓ\s]*N|RIB[a-z\s)?]*[ÓO]N)[\s:]*"

@@ -1349,6 +1349,27 @@ def _(spark, sf_dir):
     return G.triples(_records_of_files(spark, sf_dir, resegmented=False))
 
 
-@query("turtle_render")
+_HEAD = """@prefix rdf: <http://www.w3.org/1999/02/22-rdf-syntax-ns#> .
+@prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .
+@prefix owl: <http://www.w3.org/2002/07/owl#> .
+@prefix dc: <http://purl.org/dc/elements/1.1/> .
+@prefix bcn-norms: <http://datos.bcn.cl/ontologies/bcn-norms#> .
+@prefix minvu-ddu: <http://datos.bcn.cl/ontologies/minvu-ddu#> .
+@prefix bcn-resources: <http://datos.bcn.cl/ontologies/bcn-resources#> .
+@prefix xsd: <http://www.w3.org/2001/XMLSchema#> .
+
+minvu-ddu:CircularDDU rdfs:subClassOf bcn-norms:Norm .
+
+<"""
+
+
+@query(
+    "turtle_render",
+    f"""WITH z AS ({CORE.oracles['rdf_triples']}), o AS (SELECT s, p, CASE WHEN o_kind = 'uri' AND starts_with(o, 'http') THEN '<' || o || '>' WHEN o_kind = 'uri' THEN o
+      WHEN p = 'dc:title' THEN '\"\"\"' || replace(replace(o, '\\', '\\\\'), '"', '\\"') || '\"\"\"' ELSE '"' || o || '"' || coalesce('^^' || o_type, '') END AS o FROM z),
+    g AS (SELECT s, p, string_agg(DISTINCT o, ', ' ORDER BY o) AS o FROM o GROUP BY 1, 2)
+    SELECT s, {S.q(_HEAD)} || s || '>' || chr(10) || string_agg('    ' || p || ' ' || o, ' ;' || chr(10) ORDER BY list_position(['rdf:type', 'bcn-norms:hasNumber', 'bcn-norms:publishDate', 'dc:title', 'bcn-norms:createdBy', 'minvu-ddu:interpretaA',
+      'minvu-ddu:complementaA', 'minvu-ddu:modificadaPor', 'bcn-resources:tieneDocumentoAkomaNtoso'], p)) || ' .' || chr(10) AS ttl FROM g GROUP BY s""",
+)
 def _(spark, sf_dir):
     return render.turtle(G.triples(_records_of_files(spark, sf_dir, resegmented=False)))
