@@ -87,3 +87,19 @@ def test_pack(spark):
     assert packing.pack(counts.limit(0), kinds).count() == 0 and packing.pack(counts, kinds.limit(0)).count() == 0
     report = {r["contenedor"]: r for r in packing.fill_report(packing.pack(counts, kinds), kinds).collect()}
     assert report["grande"]["mas_lleno"] <= 640 and report["grande"]["contenedores"] >= report["grande"]["minimo"]
+
+
+def test_proof_of_a_packing(spark):
+    """Nothing is overfull, lost, repeated or divided without need; also with texts beyond the capacity and without tokens."""
+    rng = random.Random(9)
+    sizes = [(i, rng.choice([0, 1, 7, 30, 64, 65, 200, 1000])) for i in range(400)]
+    counts = spark.createDataFrame(sizes, "doc_id bigint, tokens bigint")
+    kinds = spark.createDataFrame([("chico", 64), ("grande", 512)], "contenedor string, capacidad int")
+    rows = packing.proof(counts, kinds).collect()
+    assert {tuple(r) for r in rows} == {("chico", 0, 0, 0, 0), ("grande", 0, 0, 0, 0)}
+
+
+def test_columns_travel_with_counts(spark):
+    df = spark.createDataFrame([(None, "uno dos", "a"), (1, None, None), (1, "", "b"), (1, "uno dos", "a")], "doc_id bigint, text string, source string")
+    got = sorted((str(r["doc_id"]), str(r["source"]), r["tokens"]) for r in tokens.token_counts(df, also=("source",)).collect())
+    assert [(a, b, t > 0) for a, b, t in got] == [("1", "None", False), ("1", "a", True), ("1", "b", False), ("None", "a", True)]
