@@ -1,14 +1,16 @@
 """Filling containers of fixed capacity with items of varying length.
 
 Method: length-histogram planning. Best-fit-decreasing runs over the counts of lengths, not over items, and gives runs of
-slots; then items take the planned slots by joining on their rank within their length. The histogram and the plan are
-bounded by the capacity, whatever the number of items.
+slots; then items take the planned slots by joining on their rank within their length. The histogram and the plan of a
+kind of container are bounded by its capacity, whatever the number of items. Each kind is planned in one task and its plan
+is written to the shared folder; the driver gets one row per kind.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,25 @@ def plan_runs(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int,
     return runs, used
 
 
+def planned(parts: DataFrame, kinds: list[tuple[str, int]]) -> DataFrame:
+    """``(contenedor, largo, primero, n, desde_no, por)``: the runs of :func:`plan_runs` of each kind, planned in one task a kind.
+
+    Items without length have one run per kind that names no container (``por`` 0); it holds their number.
+    """
+    capacity = dict(kinds)
+    columns = ["largo", "primero", "n", "desde_no", "por"]
+
+    def run(kind: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        name = kind[0].as_py()
+        histogram = dict(zip(rows["largo"].to_pylist(), rows["n"].to_pylist()))
+        runs, _ = plan_runs(histogram, capacity[name])
+        runs += [(length, 0, n, 0, 0) for length, n in histogram.items() if length <= 0]
+        return pa.table([pa.array([name] * len(runs), pa.string()), *[pa.array([r[i] for r in runs], pa.int64()) for i in range(5)]], names=["contenedor", *columns])
+
+    histograms = parts.groupBy("contenedor", "largo").agg(F.count("*").alias("n"))
+    return histograms.groupBy("contenedor").applyInArrow(run, "contenedor string, " + ", ".join(f"{c} bigint" for c in columns))
+
+
 def items(counts: DataFrame, kinds: list[tuple[str, int]], key: str = "doc_id", size: str = "tokens") -> DataFrame:
     """``(contenedor, key, pieza, desde, largo)``: the items of each kind of container.
 
@@ -106,7 +127,7 @@ def pack(counts: DataFrame, containers: DataFrame, key: str = "doc_id") -> DataF
     ``counts`` has ``key`` and ``tokens``; ``containers`` has ``contenedor`` and ``capacidad`` (at least 1; other kinds are
     left out). Container numbers count from 0 within their kind. A text without tokens (null or empty) takes no room; such
     texts are dealt evenly over the planned containers (number 0 if there is none). Repeated and null keys are items of
-    their own. ``counts`` is written once to the shared folder, as it feeds the histogram and the ranks.
+    their own. ``counts`` is written once to the shared folder, as it feeds the histogram and the ranks, and so is the plan.
     """
     spark = counts.sparkSession
     rows = containers.where("contenedor is not null and capacidad >= 1").groupBy("contenedor").agg(F.min("capacidad").alias("c")).limit(MAX_KINDS + 1).collect()
@@ -117,24 +138,20 @@ def pack(counts: DataFrame, containers: DataFrame, key: str = "doc_id") -> DataF
     if not kinds:
         return spark.createDataFrame([], schema)
     parts = items(cut(counts), kinds, key)
-    histogram: dict[str, dict[int, int]] = {n: {} for n, _ in kinds}
-    total = 0
-    for r in parts.groupBy("contenedor", "largo").count().collect():  # at most one row per length up to the capacity
-        histogram[r["contenedor"]][r["largo"]] = r["count"]
-        total = max(total, r["count"])
-    plan, used = [], {}
-    for name, capacity in kinds:
-        runs, used[name] = plan_runs(histogram[name], capacity)
-        plan += [(name, *r) for r in runs]
-    groups = max(16, -(-total // GROUP_ROWS))
-    runs = spark.createDataFrame(plan, "contenedor string, largo bigint, primero bigint, n bigint, desde_no bigint, por bigint")
+    plan = cut(planned(parts, kinds))
+    end = F.when(F.col("por") > 0, F.col("desde_no") + F.ceil(F.col("n") / F.col("por")))
+    by_length = plan.groupBy("contenedor", "largo").agg(F.sum("n").alias("n"), F.max(end).alias("fin"))
+    ends = by_length.groupBy("contenedor").agg(F.max("n").alias("n"), F.max("fin").alias("fin")).collect()  # one row per kind
+    used = {n: 0 for n, _ in kinds} | {r["contenedor"]: r["fin"] or 0 for r in ends}
+    groups = max(16, -(-max((r["n"] for r in ends), default=0) // GROUP_ROWS))
+    runs = plan.where("por > 0")
     blocks = runs.withColumn("b", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / SLOT_BLOCK)))).repartition("contenedor", "largo", "b")
     low = F.col("b") * SLOT_BLOCK
     slots = blocks.withColumn("i", F.explode(F.sequence(low, F.least(low + SLOT_BLOCK, F.col("n")) - 1))).select(
         "contenedor", "largo", (F.col("primero") + F.col("i")).alias("orden"), (F.col("desde_no") + F.floor(F.col("i") / F.col("por"))).alias("contenedor_no")
     )
     at = ranked(parts, groups, key)
-    filled = at.where("largo > 0").join(slots, ["contenedor", "largo", "orden"])
+    filled = at.where("largo > 0").join(slots.hint("merge"), ["contenedor", "largo", "orden"])  # the plan's estimate says nothing of its slots
     number = F.create_map(*[F.lit(x) for n, c in used.items() for x in (n, max(c, 1))])
     empty = at.where("largo <= 0").withColumn("contenedor_no", F.pmod(F.col("orden"), F.element_at(number, F.col("contenedor"))).cast("bigint"))
     columns = ["contenedor", "contenedor_no", key, "pieza", "desde", "largo"]

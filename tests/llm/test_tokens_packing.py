@@ -99,6 +99,26 @@ def test_proof_of_a_packing(spark):
     assert {tuple(r) for r in rows} == {("chico", 0, 0, 0, 0), ("grande", 0, 0, 0, 0)}
 
 
+def test_driver_gets_one_row_per_kind(spark, monkeypatch):
+    """Neither histograms nor plans of the many kinds of containers pass through the driver."""
+    sizes = [(i, i % 250) for i in range(500)]
+    counts = spark.createDataFrame(sizes, "doc_id bigint, tokens bigint")
+    kinds = spark.createDataFrame([(f"k{i}", 150 + i) for i in range(20)], "contenedor string, capacidad int")
+    frame, collected = type(counts), []
+    collect, create = frame.collect, type(spark).createDataFrame
+    monkeypatch.setattr(frame, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: collected.append(data) or create(self, data, *a, **k))
+    packed = packing.pack(counts, kinds)
+    monkeypatch.undo()
+    assert collected and max(map(len, collected)) <= 20
+    packed = packed.cache()
+    fullest = packed.groupBy("contenedor", "contenedor_no").agg(F.sum("largo").alias("t")).groupBy("contenedor").agg(F.max("t").alias("t"), F.count("*").alias("n"), F.max("contenedor_no").alias("last")).collect()
+    assert len(fullest) == 20 and all(r["t"] <= 150 + int(r["contenedor"][1:]) and r["n"] == r["last"] + 1 for r in fullest)
+    placed = packed.groupBy("contenedor", "doc_id").agg(F.sum("largo").alias("l")).collect()
+    packed.unpersist()
+    assert len(placed) == 20 * len(sizes) and all(r["l"] == r["doc_id"] % 250 for r in placed)
+
+
 def test_columns_travel_with_counts(spark):
     df = spark.createDataFrame([(None, "uno dos", "a"), (1, None, None), (1, "", "b"), (1, "uno dos", "a")], "doc_id bigint, text string, source string")
     got = sorted((str(r["doc_id"]), str(r["source"]), r["tokens"]) for r in tokens.token_counts(df, also=("source",)).collect())
